@@ -2,12 +2,46 @@
 
 from __future__ import annotations
 
-from . import pnl
+from . import fx, pnl, retail
 
 QUERIES = {
     "topn_pnl_per_day": pnl.topn_pnl_per_day,
+    "fx_join": fx.fx_join,
+    "fx_join_stats": fx.fx_join_stats,
+    "fx_duplicate_keys": fx.fx_duplicate_keys,
+    "normalize_dates": fx.normalize_dates,
+    "sales_mart": retail.sales_mart,
+    "orders_without_customer": retail.orders_without_customer,
+    "clean_orders": retail.clean_orders,
+    "orders_enriched": retail.orders_enriched,
+    "order_category": retail.order_category,
+    "cumulative_spend": retail.cumulative_spend,
+    "rolling_avg_3": retail.rolling_avg_3,
+    "avg_rank": retail.avg_rank,
+    "customer_metrics": retail.customer_metrics,
+    "high_value_customers": retail.high_value_customers,
+    "pivot_city_month": retail.pivot_city_month,
+    "top3_per_city": retail.top3_per_city,
+    "inactive_customers": retail.inactive_customers,
 }
 
 ORACLE_SQL = {
     "topn_pnl_per_day": pnl.TOPN_PNL_SQL,
+    "fx_join": fx.FX_JOIN_SQL,
+    "fx_join_stats": fx.FX_JOIN_STATS_SQL,
+    "fx_duplicate_keys": fx.FX_DUPLICATE_KEYS_SQL,
+    "normalize_dates": fx.NORMALIZE_DATES_SQL,
+    "sales_mart": retail.SALES_MART_SQL,
+    "orders_without_customer": retail.ORDERS_WITHOUT_CUSTOMER_SQL,
+    "clean_orders": retail.CLEAN_ORDERS_SQL,
+    "orders_enriched": retail.ORDERS_ENRICHED_SQL,
+    "order_category": retail.ORDER_CATEGORY_SQL,
+    "cumulative_spend": retail.CUMULATIVE_SPEND_SQL,
+    "rolling_avg_3": retail.ROLLING_AVG_3_SQL,
+    "avg_rank": retail.AVG_RANK_SQL,
+    "customer_metrics": retail.CUSTOMER_METRICS_SQL,
+    "high_value_customers": retail.HIGH_VALUE_CUSTOMERS_SQL,
+    "pivot_city_month": retail.PIVOT_CITY_MONTH_SQL,
+    "top3_per_city": retail.TOP3_PER_CITY_SQL,
+    "inactive_customers": retail.INACTIVE_CUSTOMERS_SQL,
 }
