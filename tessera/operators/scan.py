@@ -12,6 +12,9 @@ into contiguous chunks spread over many tasks:
    what precedes each chunk (prefix totals, previous chunks' tail values).
 5. Join the carry back on ``(_pid, key)`` and combine.
 
+Step 2's output is cut from its lineage with a reliable ``checkpoint()`` so
+that the chunk ids seen by steps 3-5 come from a single range shuffle.
+
 Rows with identical sort keys never straddle a chunk border (range bounds
 are on the sort key), so the result equals a single ordered pass per key.
 The summary has at most ``#keys + P`` rows, and each key spans at most P
@@ -25,6 +28,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _UNB = Window.unboundedPreceding
 
 
@@ -33,7 +38,8 @@ def _cols(xs):
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str | None = None,
-               lags: int = 0, partitions: int | None = None, prefix: str = "") -> DataFrame:
+               lags: int = 0, partitions: int | None = None, prefix: str = "",
+               running: bool = True) -> DataFrame:
     """Add per-key ordered-scan columns to ``df``.
 
     ``order`` must be a total order inside each key (add a unique id).
@@ -41,6 +47,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
     With ``value``: ``{prefix}run_sum``, ``run_max``, ``run_min``,
     ``run_cnt`` (non-null count) up to and including the row, and
     ``lag1..lag{lags}`` (value ``k`` rows earlier, NULL before the start).
+    ``running=False`` skips the running aggregates (any value type).
     Catalyst prunes whatever the caller does not select.
     """
     spark = df.sparkSession
@@ -55,27 +62,35 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
     w_ord = Window.partitionBy("_pid", *keys).orderBy(*order)
 
     local_cols = [F.row_number().over(w_ord).alias("_l_rn")]
+    run = value is not None and running
     if value is not None:
         v = F.col(value)
+    if run:
         local_cols += [
             F.sum(v).over(w_run).alias("_l_sum"),
             F.max(v).over(w_run).alias("_l_max"),
             F.min(v).over(w_run).alias("_l_min"),
             F.count(v).over(w_run).alias("_l_cnt"),
         ]
+    if value is not None:
         local_cols += [F.lag(v, k).over(w_ord).alias(f"_l_lag{k}") for k in range(1, lags + 1)]
-    local = ranged.select("*", *local_cols)
+    # Materialise once (reliable checkpoint in the shared folder): both the
+    # summary and the join-back read the same rows with the same ``_pid``,
+    # upstream work is not recomputed per branch, and the recorded
+    # (_pid, key) partitioning spares the big side any further shuffle.
+    local = cut_lineage(ranged.select("*", *local_cols))
 
     # Summary per chunk; ``local`` is already clustered by (_pid, keys).
     last_key = F.col("_l_rn")
     summ_aggs = [F.max("_l_rn").alias("_s_n")]
-    if value is not None:
+    if run:
         summ_aggs += [
             F.sum(value).alias("_s_sum"),
             F.max(value).alias("_s_max"),
             F.min(value).alias("_s_min"),
             F.count(value).alias("_s_cnt"),
         ]
+    if value is not None:
         if lags:
             # tail = last ``lags`` values of the chunk, oldest first
             tail_parts = [F.max_by(F.col(f"_l_lag{k}"), last_key) for k in range(lags - 1, 0, -1)]
@@ -88,13 +103,14 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
 
     w_prev = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB, -1)
     carry_cols = [F.coalesce(F.sum("_s_n").over(w_prev), F.lit(0)).alias("_c_n")]
-    if value is not None:
+    if run:
         carry_cols += [
             F.sum("_s_sum").over(w_prev).alias("_c_sum"),
             F.max("_s_max").over(w_prev).alias("_c_max"),
             F.min("_s_min").over(w_prev).alias("_c_min"),
             F.coalesce(F.sum("_s_cnt").over(w_prev), F.lit(0)).alias("_c_cnt"),
         ]
+    if value is not None:
         if lags:
             w_tail = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(-lags, -1)
             flat = F.flatten(F.collect_list("_s_tail").over(w_tail))
@@ -103,7 +119,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
 
     out = local.join(carry, ["_pid", *keys], "left")
     res = [(F.col("_c_n") + F.col("_l_rn")).alias(f"{p}rn")]
-    if value is not None:
+    if run:
         sum_null = F.col("_c_sum").isNull() & F.col("_l_sum").isNull()
         res += [
             F.when(sum_null, None).otherwise(F.coalesce("_c_sum", F.lit(0)) + F.coalesce("_l_sum", F.lit(0)))
@@ -112,6 +128,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
             F.least("_c_min", "_l_min").alias(f"{p}run_min"),
             (F.col("_c_cnt") + F.col("_l_cnt")).alias(f"{p}run_cnt"),
         ]
+    if value is not None:
         for k in range(1, lags + 1):
             # inside the chunk when k < local rn; else from the carried tail
             from_tail = F.element_at(F.col("_c_tail"), F.size("_c_tail") - (F.lit(k) - F.col("_l_rn")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fx, pnl, retail
+from . import events as ev, fx, pnl, retail
 
 QUERIES = {
     "topn_pnl_per_day": pnl.topn_pnl_per_day,
@@ -23,6 +23,36 @@ QUERIES = {
     "pivot_city_month": retail.pivot_city_month,
     "top3_per_city": retail.top3_per_city,
     "inactive_customers": retail.inactive_customers,
+    "max_drawdown": ev.max_drawdown,
+    "max_k_sum": ev.max_k_sum,
+    "longest_unique_run": ev.longest_unique_run,
+    "change_points": ev.change_points,
+    "underwater_depth": ev.underwater_depth,
+    "offset_pairs": ev.offset_pairs,
+    "netting_triples": ev.netting_triples,
+    "sliding_admission": ev.sliding_admission,
+    "drift_match": ev.drift_match,
+    "daily_total": ev.daily_total,
+    "distinct_dates": ev.distinct_dates,
+    "dates_with_default": ev.dates_with_default,
+    "day_listing": ev.day_listing,
+    "local_day": ev.local_day,
+    "latest_n": ev.latest_n,
+    "latest_per_name": ev.latest_per_name,
+    "validate_rows": ev.validate_rows,
+    "claim_status": ev.claim_status,
+    "json_ops": ev.json_ops,
+    "map_ops": ev.map_ops,
+    "kv_current_state": ev.kv_current_state,
+    "kv_get": ev.kv_get,
+    "kv_prefix_scan": ev.kv_prefix_scan,
+    "kv_range_scan": ev.kv_range_scan,
+    "kv_field_query": ev.kv_field_query,
+    "kv_stats": ev.kv_stats,
+    "apply_changes": ev.apply_changes,
+    "kv_compaction": ev.kv_compaction,
+    "tumbling_index": ev.tumbling_index_q,
+    "log_checksum": ev.log_checksum,
 }
 
 ORACLE_SQL = {
@@ -44,4 +74,33 @@ ORACLE_SQL = {
     "pivot_city_month": retail.PIVOT_CITY_MONTH_SQL,
     "top3_per_city": retail.TOP3_PER_CITY_SQL,
     "inactive_customers": retail.INACTIVE_CUSTOMERS_SQL,
+    "max_drawdown": ev.MAX_DRAWDOWN_SQL,
+    "max_k_sum": ev.MAX_K_SUM_SQL,
+    "longest_unique_run": ev.LONGEST_UNIQUE_RUN_SQL,
+    "change_points": ev.CHANGE_POINTS_SQL,
+    "underwater_depth": ev.UNDERWATER_DEPTH_SQL,
+    "offset_pairs": ev.OFFSET_PAIRS_SQL,
+    "netting_triples": ev.NETTING_TRIPLES_SQL,
+    "sliding_admission": ev.SLIDING_ADMISSION_SQL,
+    "drift_match": ev.DRIFT_MATCH_SQL,
+    "daily_total": ev.DAILY_TOTAL_SQL,
+    "distinct_dates": ev.DISTINCT_DATES_SQL,
+    "dates_with_default": ev.DATES_WITH_DEFAULT_SQL,
+    "day_listing": ev.DAY_LISTING_SQL,
+    "local_day": ev.LOCAL_DAY_SQL,
+    "latest_n": ev.LATEST_N_SQL,
+    "latest_per_name": ev.LATEST_PER_NAME_SQL,
+    "validate_rows": ev.VALIDATE_ROWS_SQL,
+    "claim_status": ev.CLAIM_STATUS_SQL,
+    "json_ops": ev.JSON_OPS_SQL,
+    "map_ops": ev.MAP_OPS_SQL,
+    "kv_current_state": ev.KV_CURRENT_STATE_SQL,
+    "kv_get": ev.KV_GET_SQL,
+    "kv_prefix_scan": ev.KV_PREFIX_SCAN_SQL,
+    "kv_range_scan": ev.KV_RANGE_SCAN_SQL,
+    "kv_field_query": ev.KV_FIELD_QUERY_SQL,
+    "kv_stats": ev.KV_STATS_SQL,
+    "apply_changes": ev.APPLY_CHANGES_SQL,
+    "kv_compaction": ev.KV_COMPACTION_SQL,
+    "tumbling_index": ev.TUMBLING_INDEX_SQL,
 }
