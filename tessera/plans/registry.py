@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import events as ev, fx, pnl, retail
+from . import events as ev, fx, pnl, retail, text as tx
 
 QUERIES = {
     "topn_pnl_per_day": pnl.topn_pnl_per_day,
@@ -53,6 +53,14 @@ QUERIES = {
     "kv_compaction": ev.kv_compaction,
     "tumbling_index": ev.tumbling_index_q,
     "log_checksum": ev.log_checksum,
+    "normalize_text": tx.normalize_text,
+    "combined_export": tx.combined_export,
+    "tag_text": tx.tag_text,
+    "tag_attr": tx.tag_attr,
+    "string_ops": tx.string_ops,
+    "array_ops": tx.array_ops,
+    "dictionary_lookup": tx.dictionary_lookup,
+    "fuzzy_lookup": tx.fuzzy_lookup,
 }
 
 ORACLE_SQL = {
@@ -103,4 +111,11 @@ ORACLE_SQL = {
     "apply_changes": ev.APPLY_CHANGES_SQL,
     "kv_compaction": ev.KV_COMPACTION_SQL,
     "tumbling_index": ev.TUMBLING_INDEX_SQL,
+    "normalize_text": tx.NORMALIZE_TEXT_SQL,
+    "combined_export": tx.COMBINED_EXPORT_SQL,
+    "tag_text": tx.TAG_TEXT_SQL,
+    "tag_attr": tx.TAG_ATTR_SQL,
+    "string_ops": tx.STRING_OPS_SQL,
+    "array_ops": tx.ARRAY_OPS_SQL,
+    "dictionary_lookup": tx.DICTIONARY_LOOKUP_SQL,
 }
