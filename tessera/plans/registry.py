@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import events as ev, fx, pnl, retail, text as tx
+from . import basics as bx, events as ev, fx, pnl, retail, text as tx
 
 QUERIES = {
     "topn_pnl_per_day": pnl.topn_pnl_per_day,
@@ -61,6 +61,20 @@ QUERIES = {
     "array_ops": tx.array_ops,
     "dictionary_lookup": tx.dictionary_lookup,
     "fuzzy_lookup": tx.fuzzy_lookup,
+    "label_lookup": bx.label_lookup,
+    "position_slice": bx.position_slice,
+    "param_lookup": bx.param_lookup,
+    "frame_profile": bx.frame_profile,
+    "schema_rule": bx.schema_rule,
+    "elementwise": bx.elementwise,
+    "group_sum": bx.group_sum,
+    "share_of_total": bx.share_of_total,
+    "union_chunks": bx.union_chunks,
+    "dedup_first": bx.dedup_first,
+    "top5_salary": bx.top5_salary,
+    "date_spine": bx.date_spine,
+    "first_days_semi": bx.first_days_semi,
+    "run_report": bx.run_report,
 }
 
 ORACLE_SQL = {
@@ -118,4 +132,18 @@ ORACLE_SQL = {
     "string_ops": tx.STRING_OPS_SQL,
     "array_ops": tx.ARRAY_OPS_SQL,
     "dictionary_lookup": tx.DICTIONARY_LOOKUP_SQL,
+    "label_lookup": bx.LABEL_LOOKUP_SQL,
+    "position_slice": bx.POSITION_SLICE_SQL,
+    "param_lookup": bx.PARAM_LOOKUP_SQL,
+    "frame_profile": bx.FRAME_PROFILE_SQL,
+    "schema_rule": bx.SCHEMA_RULE_SQL,
+    "elementwise": bx.ELEMENTWISE_SQL,
+    "group_sum": bx.GROUP_SUM_SQL,
+    "share_of_total": bx.SHARE_OF_TOTAL_SQL,
+    "union_chunks": bx.UNION_CHUNKS_SQL,
+    "dedup_first": bx.DEDUP_FIRST_SQL,
+    "top5_salary": bx.TOP5_SALARY_SQL,
+    "date_spine": bx.DATE_SPINE_SQL,
+    "first_days_semi": bx.FIRST_DAYS_SEMI_SQL,
+    "run_report": bx.RUN_REPORT_SQL,
 }
