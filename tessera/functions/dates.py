@@ -30,6 +30,27 @@ FALLBACK_FORMATS = [
 ]
 FAILED_PREFIX = "FAILED: "
 
+# Permissive shape of the text each format can possibly parse. A format is
+# only tried on strings of its shape, so failed attempts (slow, exception
+# driven inside the parser) are avoided; each shape accepts a superset of
+# what its format accepts, so results are unchanged.
+_SHAPES = {
+    "d-MMM-yyyy": r"^\d+-\p{L}+-\d+$",
+    "yyyy/M/d": r"^\d+/\d+/\d+$",
+    "MMM d yyyy": r"^\p{L}+ \d+ \d+$",
+    "MMMM d yyyy": r"^\p{L}+ \d+ \d+$",
+    "M/d/yyyy": r"^\d+/\d+/\d+$",
+    "d/M/yyyy": r"^\d+/\d+/\d+$",
+    "yyyy-M-d": r"^\d+-\d+-\d+$",
+    "MMM d, yyyy": r"^\p{L}+ \d+, \d+$",
+    "MMMM d, yyyy": r"^\p{L}+ \d+, \d+$",
+    "d MMM yyyy": r"^\d+ \p{L}+ \d+$",
+    "d MMMM yyyy": r"^\d+ \p{L}+ \d+$",
+    "yyyy.M.d": r"^\d+\.\d+\.\d+$",
+    "yyyyMMdd": r"^\d+$",
+    "yyyy-M-d HH:mm:ss": r"^\d+-\d+-\d+ \d+:\d+:\d+$",
+}
+
 EPOCH_NTZ = _dt.datetime(1970, 1, 1)
 
 
@@ -38,19 +59,43 @@ def squeeze_blanks(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), r"\s+", " ")
 
 
-def parse_mixed_date(c: Column, formats=None) -> Column:
-    """First format that parses wins; NULL when none does."""
-    s = squeeze_blanks(c)
+def parse_mixed_date(c: Column, formats=None, squeezed: bool = False) -> Column:
+    """First format that parses wins; NULL when none does. For columns of a
+    DataFrame prefer ``with_mixed_date``, which squeezes the text once."""
+    s = c if squeezed else squeeze_blanks(c)
     fmts = list(formats or (DATE_FORMATS + FALLBACK_FORMATS))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in fmts])
+    tries = []
+    for f in fmts:
+        parsed = F.to_date(F.try_to_timestamp(s, F.lit(f)))
+        shape = _SHAPES.get(f)
+        tries.append(F.when(s.rlike(shape), parsed) if shape else parsed)
+    return F.coalesce(*tries)
 
 
 def normalize_date_string(c: Column) -> Column:
     """ISO ``yyyy-MM-dd`` or ``FAILED: <trimmed input>``; NULL stays NULL."""
     parsed = parse_mixed_date(c)
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
-             .when(parsed.isNotNull(), F.date_format(parsed, "yyyy-MM-dd"))
-             .otherwise(F.concat(F.lit(FAILED_PREFIX), F.regexp_replace(c, r"^\s+|\s+$", ""))))
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.date_format(parsed, "yyyy-MM-dd"),
+                   F.concat(F.lit(FAILED_PREFIX), F.regexp_replace(c, r"^\s+|\s+$", ""))))
+
+
+def with_mixed_date(df, src: str, out: str, formats=None):
+    """``df`` plus ``out`` = parsed DATE of text column ``src``. The squeezed
+    text is its own projection so that every format reads it once."""
+    tmp = f"_{out}_squeezed"
+    df = df.withColumn(tmp, squeeze_blanks(F.col(src)))
+    return df.withColumn(out, parse_mixed_date(F.col(tmp), formats, squeezed=True)).drop(tmp)
+
+
+def with_iso_date(df, src: str, out: str):
+    """``df`` plus ``out`` = ISO text or ``FAILED: <trimmed input>``."""
+    tmp = f"_{out}_parsed"
+    df = with_mixed_date(df, src, tmp)
+    iso = F.when(F.col(src).isNull(), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.date_format(F.col(tmp), "yyyy-MM-dd"),
+                   F.concat(F.lit(FAILED_PREFIX), F.regexp_replace(F.col(src), r"^\s+|\s+$", ""))))
+    return df.withColumn(out, iso).drop(tmp)
 
 
 def epoch_seconds(ts_ntz: Column) -> Column:

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 def canonical_json(s: Column) -> Column:
     """Compact JSON text of a parsed value; text that is not JSON is kept as
     a JSON string (the raw text)."""
-    parsed = F.try_parse_json(s)
-    return F.when(s.isNull(), None).when(parsed.isNotNull(), F.to_json(parsed)).otherwise(F.to_json(F.array(s)).substr(2, 1 << 30)) \
-        .alias("canonical")
+    as_text = F.regexp_extract(F.to_json(F.array(s)), r"^\[(.*)\]$", 1)
+    return F.coalesce(F.to_json(F.try_parse_json(s)), F.when(s.isNotNull(), as_text))
 
 
 def field_present(s: Column, field: str) -> Column:

@@ -23,17 +23,25 @@ def title_case(c: Column) -> Column:
     return F.when(c.isNull(), None).otherwise(F.array_join(cap, ""))
 
 
+# Fixed value: characters Java's ``\s`` matches (trimmed at both ends).
+_ASCII_SPACE = " \t\n\r\f\u000b"
+
+
 def normalize_text(c: Column) -> Column:
-    """Line ends to ``\\n``; runs of spaces/tabs to one space; each line
+    """Line ends to ``\n``; runs of spaces/tabs to one space; each line
     stripped; consecutive blank lines reduced to one; whole text stripped;
-    empty result becomes ``No text detected.``"""
-    s = F.regexp_replace(c, r"\r\n?", "\n")
+    empty result becomes ``No text detected.``
+
+    Three regex passes: CR fix-up (only when a CR is present), blank runs,
+    and one pass over every newline region (the whitespace around one or
+    more line breaks) that keeps one break, or two when the region holds
+    a blank line. Each intermediate value is referenced once, so nothing
+    is evaluated twice."""
+    s = F.when(F.instr(c, "\r") > 0, F.regexp_replace(c, r"\r\n?", "\n")).otherwise(c)
     s = F.regexp_replace(s, r"[ \t]+", " ")
-    # strip each line (all whitespace except the newline itself)
-    s = F.regexp_replace(s, r"(?m)^[^\S\n]+|[^\S\n]+$", "")
-    s = F.regexp_replace(s, r"\n{3,}", "\n\n")
-    s = strip_all(s)
-    return F.when(c.isNull(), F.lit(NO_TEXT)).when(s == "", F.lit(NO_TEXT)).otherwise(s)
+    s = F.regexp_replace(s, r"[^\S\n]*\n(?:[^\S\n]*(\n))?(?:[^\S\n]*\n)*[^\S\n]*", "\n$1")
+    s = F.trim(s, F.lit(_ASCII_SPACE))
+    return F.coalesce(F.nullif(s, F.lit("")), F.lit(NO_TEXT))
 
 
 def split_join(c: Column, sep: str = " ", joiner: str = "-") -> Column:

@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Largest lookup side we broadcast. Checked at run time by counting rows,
 # never assumed from the source.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -61,8 +63,14 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left (or inner) lookup join with a uniqueness guard on the lookup side,
     suffixing of clashing columns, and a size-checked broadcast.
-    ``_matched`` tells real misses from matched rows whose values are NULL."""
+    ``_matched`` tells real misses from matched rows whose values are NULL.
+
+    The lookup side is materialised once (reliable checkpoint): the guard,
+    the size check and the join then read the same rows, nothing upstream
+    of the lookup is recomputed, and filters the optimizer infers from the
+    join keys apply to stored columns instead of re-running key clean-up."""
     right = suffix_overlaps(left, right, keys, suffix).withColumn("_matched", F.lit(True))
+    right = cut_lineage(right)
     if require_unique:
         rows = guard_unique(right, keys)
     else:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import normalize_date_string, parse_mixed_date
+from ..functions.dates import with_iso_date, with_mixed_date
 from ..operators.joins import duplicate_keys, lookup_join
 from ..sources.tables import table
 
@@ -55,11 +55,12 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalize_keys(df: DataFrame, strict: bool = True) -> DataFrame:
     """Parse the mixed-format date key to a DATE. With ``strict`` an
     unparseable date raises (ANSI ``assert_true``) instead of turning NULL."""
-    d = parse_mixed_date(F.col("trade_date"))
+    df = with_mixed_date(df, "trade_date", "_d")
+    d = F.col("_d")
     if strict:
         d = F.when(F.col("trade_date").isNull() | d.isNotNull(), d).otherwise(
             F.raise_error(F.concat(F.lit("unparseable trade_date: "), F.col("trade_date"))))
-    return df.withColumn("trade_date", d.cast("date"))
+    return df.withColumn("trade_date", d.cast("date")).drop("_d")
 
 
 def fx_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +102,7 @@ def normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 5, F.date_format(d, "dd/MM/yyyy"))
             .when(k == 6, F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd"), F.lit(" ")))
             .otherwise(F.concat(F.date_format(d, "yyyy"), F.lit("-02-30"))))
-    return o.select(F.col("o_orderkey").alias("id"), raw.alias("raw"), normalize_date_string(raw).alias("iso"))
+    return with_iso_date(o.select(F.col("o_orderkey").alias("id"), raw.alias("raw")), "raw", "iso")
 
 
 _TX_SQL = """

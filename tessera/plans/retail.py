@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.dates import parse_mixed_date
+from ..functions.dates import with_mixed_date
 from ..functions.text import title_case
 from ..operators.scan import keyed_scan
 from ..operators.topn import top_n_per_group
@@ -64,11 +64,13 @@ def transform_orders(raw: DataFrame) -> DataFrame:
     """Mixed-format text dates are parsed (first matching format); timestamps
     are truncated to the day."""
     textual = isinstance(raw.schema["order_date"].dataType, StringType)
-    day = parse_mixed_date(F.col("order_date")) if textual else F.to_date("order_date")
+    if textual:
+        raw = with_mixed_date(raw, "order_date", "_day")
+    day = F.col("_day") if textual else F.to_date("order_date")
     return (raw.withColumn("status", F.lower("status"))
                .where((F.col("status") == "completed") & (F.col("quantity") > 0))
                .withColumn("gross_revenue", F.col("quantity") * F.col("unit_price"))
-               .withColumn("order_date", day))
+               .withColumn("order_date", day).drop("_day"))
 
 
 def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
