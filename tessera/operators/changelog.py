@@ -101,3 +101,23 @@ def audit(log: DataFrame) -> DataFrame:
                .when(stored != crc, "checksum_mismatch")
                .otherwise("ok"))
     return log.select("seq", "key", crc.alias("crc"), status.alias("status"))
+
+
+def assign_ids(rows: DataFrame, start_after: int, order: Sequence[str], id_col: str = "id") -> DataFrame:
+    """Auto-increment ids ``start_after + 1 ..`` in ``order`` (a total order),
+    without a global window: range-partition on the order, number rows
+    inside each partition, and offset each partition by the row counts of
+    the partitions before it (a table with one row per partition, so its
+    broadcast is bounded by the partition count). Checkpointed so the ids
+    stay fixed if tasks are re-run."""
+    from pyspark.sql import Window
+    from ..session import cut_lineage
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(rows.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    out = local.join(F.broadcast(offsets), "_pid")
+    return out.withColumn(id_col, (F.lit(start_after) + F.col("_off") + F.col("_rn")).cast("bigint")) \
+              .drop("_pid", "_rn", "_off")

@@ -15,14 +15,18 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: StructType, header
 
     Returns ``(rows, rejects)``. Rows with too few fields are padded with
     NULLs and kept (as a pandas reader does); rows with too many fields or a
-    value that does not fit its type go to ``rejects(raw, reason)``.
+    value that does not fit its type go to ``rejects(raw, reason, <fields
+    as far as they parsed>)``.
     """
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
     raw = (spark.read.schema(full).option("header", header).option("sep", sep)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     n_expected = len(schema.fields)
+    names = [f.name for f in schema.fields]
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))
+    # Keep the partially parsed fields next to the raw line: Spark refuses a
+    # query that reads nothing but the corrupt-record column.
+    bad = raw.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw")
     n_fields = F.size(F.split(F.col("raw"), sep))
     padded = F.concat(F.col("raw"), F.repeat(F.lit(sep), F.greatest(F.lit(n_expected) - n_fields, F.lit(0))))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -33,8 +37,9 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: StructType, header
         present = present & ((tok == "") | F.col("_p")[f.name].isNotNull())
     tagged = bad.withColumn("_p", reparsed).withColumn(
         "reason", F.when(n_fields > n_expected, "too_many_fields").when(~present, "bad_value"))
-    short_ok = tagged.where(F.col("reason").isNull()).select("_p.*")
-    rejects = tagged.where(F.col("reason").isNotNull()).select("raw", "reason")
+    short_ok = tagged.where(F.col("reason").isNull()).select(
+        *[F.coalesce(F.col("_p")[n], F.col(n)).alias(n) for n in names])
+    rejects = tagged.where(F.col("reason").isNotNull()).select("raw", "reason", *names)
     return good.unionByName(short_ok), rejects
 
 
