@@ -21,8 +21,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Schema of each (immutable) input path, learned on first read. Later reads
+# pass it explicitly, which skips the footer-reading inference job.
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    known = _SCHEMAS.get(path)
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    if known is None:
+        _SCHEMAS[path] = df.schema
     return df.select(*columns) if columns else df
 
 
