@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,9 +49,6 @@ _SHAPES = {
     "yyyy-M-d HH:mm:ss": r"^\d+-\d+-\d+ \d+:\d+:\d+$",
 }
 
-EPOCH_NTZ = _dt.datetime(1970, 1, 1)
-
-
 def squeeze_blanks(c: Column) -> Column:
     """Trim all whitespace at both ends and collapse inner runs to one space."""
     return F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), r"\s+", " ")
@@ -101,7 +96,10 @@ def with_iso_date(df, src: str, out: str):
 def epoch_seconds(ts_ntz: Column) -> Column:
     """Seconds (fractional) since 1970-01-01 for a TIMESTAMP_NTZ; independent
     of the session time zone."""
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts_ntz) / F.lit(1_000_000)
+    # The epoch is a TIMESTAMP_NTZ parsed from text: a Python datetime literal
+    # would become a session-zone TIMESTAMP and shift by the zone offset.
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, ts_ntz) / F.lit(1_000_000)
 
 
 def local_day(ts_utc_ntz: Column, zone: str) -> Column:

@@ -67,8 +67,9 @@ def fold_sorted(batches: Iterator[pd.DataFrame], limit: int, window: float) -> I
 def sliding_admission(df: DataFrame, key: str, ts_seconds: str, event_id: str, limit: int,
                       window: float, partitions: int | None = None) -> DataFrame:
     """Columns: key, ts, id, allowed, remaining, retry_after."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prepared = (df.select(F.col(key).cast("string").alias("key"), F.col(ts_seconds).cast("double").alias("ts"),
-                          F.col(event_id).cast("long").alias("id"))
-                  .repartition(n, "key").sortWithinPartitions("key", "ts", "id"))
+    cols = df.select(F.col(key).cast("string").alias("key"), F.col(ts_seconds).cast("double").alias("ts"),
+                     F.col(event_id).cast("long").alias("id"))
+    # no fixed count unless asked: AQE may then merge small partitions
+    parted = cols.repartition(partitions, "key") if partitions else cols.repartition("key")
+    prepared = parted.sortWithinPartitions("key", "ts", "id")
     return prepared.mapInPandas(lambda it: fold_sorted(it, limit, window), OUT_SCHEMA)

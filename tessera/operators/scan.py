@@ -50,14 +50,15 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
     ``running=False`` skips the running aggregates (any value type).
     Catalyst prunes whatever the caller does not select.
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
     order = _cols(order)
     p = prefix
 
-    ranged = df.repartitionByRange(n_parts, *[F.col(k) for k in keys], *order) \
-               .withColumn("_pid", F.spark_partition_id())
+    # Without an explicit count AQE may merge small neighbouring ranges;
+    # merged ranges are still contiguous, so chunk ids keep key order.
+    part_cols = [*[F.col(k) for k in keys], *order]
+    ranged = (df.repartitionByRange(partitions, *part_cols) if partitions else df.repartitionByRange(*part_cols)) \
+        .withColumn("_pid", F.spark_partition_id())
     w_run = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(_UNB, 0)
     w_ord = Window.partitionBy("_pid", *keys).orderBy(*order)
 
