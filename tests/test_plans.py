@@ -86,3 +86,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["trade_date", "rank", "trader_id", "pnl"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["tumbling_index", "drift_match", "sliding_admission", "claim_status", "local_day",
+                                  "daily_total", "normalize_dates", "fx_join", "topn_pnl_per_day"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
