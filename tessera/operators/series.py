@@ -13,7 +13,7 @@ from .scan import keyed_scan
 def max_drawdown(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str) -> DataFrame:
     """min over rows of (v - running max) / running max, per key."""
     s = keyed_scan(df, keys, order, value)
-    dd = (F.col(value) - F.col("run_max")) / F.col("run_max")
+    dd = F.try_divide(F.col(value) - F.col("run_max"), F.col("run_max"))  # NULL, not an error, at 0
     return s.groupBy(*keys).agg(F.min(dd).alias("max_drawdown"))
 
 

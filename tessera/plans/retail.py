@@ -89,7 +89,7 @@ def build_sales_mart(enriched: DataFrame) -> DataFrame:
             .agg(F.count_distinct("order_id").alias("total_orders"),
                  F.count_distinct("customer_id").alias("unique_customers"),
                  F.bround(F.sum("gross_revenue"), 2).cast("decimal(18,2)").alias("total_revenue"))
-            .orderBy(F.asc("order_date"), F.desc("total_revenue")))
+            .orderBy(F.asc_nulls_last("order_date"), F.desc_nulls_last("total_revenue")))
 
 
 def sales_mart(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.html import tag_attrs, tag_texts
 from ..functions.text import normalize_text as norm, split_join, strip_all, title_case
 from ..operators.fuzzy import best_close_match
+from ..operators.scan import keyed_scan
 from ..sources.tables import table
 
 
@@ -38,6 +39,27 @@ def combined_export(spark, sf_dir):
     return g.select("conv_id", strip_all(F.array_join(sections, "\n\n")).alias("export"))
 
 
+def export_sections(conversations: DataFrame) -> DataFrame:
+    """Row form of the combined export: (conv_id, pos, section). Nothing is
+    collected per conversation; ``write_export`` streams it to text."""
+    numbered = keyed_scan(conversations.select("conv_id", "turn", "role", "text"), ["conv_id"],
+                          [F.col("turn"), F.col("role")])  # skew-safe position, no per-key window
+    return numbered.select(
+        "conv_id", F.col("rn").alias("pos"),
+        F.concat(F.lit("===== Turn "), F.col("rn").cast("string"), F.lit(": "), F.col("role"),
+                 F.lit(" =====\n"), norm(F.col("text"))).alias("section"))
+
+
+def write_export(conversations: DataFrame, path: str) -> None:
+    """One text folder per conversation, sections in order, blank line
+    between them; rows stream through the writer in sorted order."""
+    s = export_sections(conversations)
+    s.select("conv_id", "pos", F.when(F.col("pos") > 1, F.concat(F.lit("\n"), "section")).otherwise(F.col("section"))
+             .alias("value")) \
+     .repartition("conv_id").sortWithinPartitions("conv_id", "pos").drop("pos") \
+     .write.mode("overwrite").partitionBy("conv_id").text(path)
+
+
 def tag_text(spark, sf_dir, tag: str = "h1"):
     p = table(spark, sf_dir, "pages", "page_id", "html")
     return p.select("page_id", F.posexplode(tag_texts(F.col("html"), tag)).alias("pos", "text")) \

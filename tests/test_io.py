@@ -110,3 +110,13 @@ def test_filter_append_and_lookup_stream(spark):
         .option("checkpointLocation", os.path.join(d, "ck2")).trigger(availableNow=True).start()
     q2.awaitTermination(300)
     assert sum(missing) == 9 and len(missing) == 3
+
+
+def test_write_export_matches_combined_string(spark):
+    from tessera.plans import text as tx
+    d = tmp()
+    conv = spark.createDataFrame([(1, 0, "user", "Alpha  \r\n"), (1, 1, "assistant", "Beta"), (2, 0, "user", "Gamma")],
+                                 "conv_id long, turn long, role string, text string")
+    tx.write_export(conv, os.path.join(d, "export"))
+    lines = [r.value for r in spark.read.text(os.path.join(d, "export", "conv_id=1")).collect()]
+    assert "\n".join(lines) == "===== Turn 1: user =====\nAlpha\n\n===== Turn 2: assistant =====\nBeta"
