@@ -53,7 +53,7 @@ def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = o.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
-        (F.col("o_orderkey") % 4).alias("quantity"),
+        F.floor(F.col("o_totalprice") / 100000).cast("int").alias("quantity"),  # whole 100k blocks
         F.col("o_totalprice").cast("decimal(18,2)").alias("unit_price"),
         F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "Open")
          .otherwise("pending").alias("status"))
@@ -116,8 +116,8 @@ ct AS (
   FROM c),
 o AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-         (o_orderkey % 4) * CAST(o_totalprice AS DECIMAL(18,2)) AS gross_revenue
-  FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 4 > 0)
+         CAST(floor(o_totalprice / 100000) AS INTEGER) * CAST(o_totalprice AS DECIMAL(18,2)) AS gross_revenue
+  FROM orders WHERE o_orderstatus = 'F' AND floor(o_totalprice / 100000) > 0)
 """
 
 SALES_MART_SQL = "WITH " + _MART_BASE_SQL + """
