@@ -6,6 +6,7 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -19,25 +20,41 @@ STATE_SCHEMA = "q array<double>"
 
 # K1 ------------------------------------------------------------ admission
 def admission_stream(stream: DataFrame, key: str, ts_seconds: str, event_id: str, limit: int,
-                     window: float) -> DataFrame:
+                     window: float, event_time: str | None = None, delay: str = "1 hour") -> DataFrame:
     """Per-key state: the admitted timestamps still inside the window (at most
     ``limit``). Rows of one key inside a micro-batch are folded in (ts, id)
-    order; across micro-batches the input must arrive in event-time order."""
+    order; across micro-batches the input must arrive in event-time order.
+
+    With ``event_time`` (a timestamp column) the stream gets a watermark and
+    each key's state expires once the watermark passes its last event plus
+    the window, when every stored timestamp has left the window anyway, so
+    state is bounded by the keys active within a window."""
+    timed = event_time is not None
 
     def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if timed and state.hasTimedOut:
+            state.remove()
+            return
         q = list(state.get[0]) if state.exists else []
         st = AdmissionState(limit, window, q)
         rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "id"], kind="mergesort")
         out = [st.check(float(t)) for t in rows["ts"].to_numpy()]
         state.update((list(st.q),))
+        if timed:
+            state.setTimeoutTimestamp(int((float(rows["ts"].max()) + window) * 1000))
         yield pd.DataFrame({"key": rows["key"].to_numpy(), "ts": rows["ts"].to_numpy(), "id": rows["id"].to_numpy(),
                             "allowed": [o[0] for o in out], "remaining": [o[1] for o in out],
                             "retry_after": [o[2] for o in out]})
 
-    prepared = stream.select(F.col(key).cast("string").alias("key"), F.col(ts_seconds).cast("double").alias("ts"),
-                             F.col(event_id).cast("long").alias("id"))
-    return prepared.groupBy("key").applyInPandasWithState(fold, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                                          GroupStateTimeout.NoTimeout)
+    cols = [F.col(key).cast("string").alias("key"), F.col(ts_seconds).cast("double").alias("ts"),
+            F.col(event_id).cast("long").alias("id")]
+    if timed:
+        prepared = stream.withWatermark(event_time, delay).select(*cols, event_time)
+        timeout = GroupStateTimeout.EventTimeTimeout
+    else:
+        prepared = stream.select(*cols)
+        timeout = GroupStateTimeout.NoTimeout
+    return prepared.groupBy("key").applyInPandasWithState(fold, OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 # K2 ------------------------------------------------- arriving CSV, mean
@@ -86,14 +103,15 @@ def changelog_sink(state_dir: str):
 
 
 def _latest_snapshot(spark, state_dir: str, before: int):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(state_dir)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    """Newest snapshot written by an earlier batch, found by partition
+    discovery on the ``batch=`` folders (a re-run batch's own folder is
+    ignored)."""
+    try:
+        snaps = spark.read.parquet(state_dir)
+    except AnalysisException:  # nothing written yet
         return None
-    ids = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(jvm_path)
-           if st.getPath().getName().startswith("batch=")]
-    ids = [i for i in ids if i < before]
-    return spark.read.parquet(f"{state_dir}/batch={max(ids)}") if ids else None
+    last = snaps.where(F.col("batch") < before).agg(F.max("batch")).first()[0]
+    return None if last is None else snaps.where(F.col("batch") == last).drop("batch")
 
 
 # K7 --------------------------------------------- stream-stream drift match

@@ -180,3 +180,21 @@ def test_fuzzy_matches_difflib(spark):
         if m:
             want[x] = m[0]
     assert got == want
+
+
+def test_null_keys_never_match_unless_null_safe(spark):
+    left = spark.createDataFrame([(1, "a", None), (2, None, "x")], "id int, k1 string, k2 string")
+    right = spark.createDataFrame([("a", None, 10), (None, "x", 20)], "k1 string, k2 string, v int")
+    plain = {r.id: r.v for r in lookup_join(left, right, ["k1", "k2"]).collect()}
+    assert plain == {1: None, 2: None}                       # SQL rule: NULL matches nothing
+    safe = {r.id: r.v for r in lookup_join(left, right, ["k1", "k2"], null_safe=True).collect()}
+    assert safe == {1: 10, 2: 20}                            # pandas-style NULL == NULL on request
+
+
+def test_null_group_keys_are_dropped(spark):
+    rows = [("T1", "2024-01-02", "BUY", "1", "1.00", "2.00"), (None, "2024-01-02", "BUY", "1", "1.00", "2.00")]
+    df = spark.createDataFrame(rows, "trader_id string, d string, buy_sell string, q string, e string, x string")
+    t = df.select("trader_id", F.to_date("d").alias("trade_date"), "buy_sell",
+                  F.col("q").cast("decimal(12,2)").alias("quantity"), F.col("e").cast("decimal(18,2)").alias("entry_price"),
+                  F.col("x").cast("decimal(18,2)").alias("exit_price"))
+    assert [r.trader_id for r in pnl.daily_trader_pnl(pnl.compute_pnl(t)).collect()] == ["T1"]

@@ -56,6 +56,17 @@ def test_admission_stream_equals_batch(spark, event_dir):
     assert len(got) == len(want) and got == want
 
 
+def test_admission_stream_with_state_timeout(spark, event_dir):
+    root, schema = event_dir
+    s = stream_of(spark, root, schema).withColumn("t", epoch_seconds(F.col("ts"))) \
+        .withColumn("et", F.col("ts").cast("timestamp"))
+    out = rules.admission_stream(s, "user_id", "t", "event_id", 2, 86400, event_time="et", delay="1 day")
+    got = sorted(run_to_end(out, root, "admission_timeout"))
+    b = spark.read.parquet(f"{SMALL}/events.parquet").withColumn("t", epoch_seconds(F.col("ts")))
+    want = sorted(map(tuple, sliding_admission(b, "user_id", "t", "event_id", 2, 86400).collect()))
+    assert got == want
+
+
 def test_drift_match_stream_equals_batch(spark, event_dir):
     root, schema = event_dir
 
