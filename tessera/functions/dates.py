@@ -103,8 +103,9 @@ def epoch_seconds(ts_ntz: Column) -> Column:
 
 
 def local_day(ts_utc_ntz: Column, zone: str) -> Column:
-    """Calendar day in ``zone`` of a UTC wall-clock timestamp."""
-    return F.to_date(F.from_utc_timestamp(ts_utc_ntz.cast("timestamp_ntz"), zone))
+    """Calendar day in ``zone`` of a UTC wall-clock TIMESTAMP_NTZ
+    (independent of the session time zone)."""
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), ts_utc_ntz))
 
 
 def tumbling_index(seconds: Column, width: int) -> Column:

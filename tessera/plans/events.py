@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import epoch_seconds, seconds_to_window_end, tumbling_index
+from ..functions.dates import epoch_seconds, local_day as local_day_of, seconds_to_window_end, tumbling_index
 from ..functions.jsonx import canonical_json, claim_status as claim_rule
 from ..operators import changelog as kv
 from ..operators.admission import sliding_admission as admit
@@ -146,8 +146,7 @@ def day_listing(spark, sf_dir, day: str = LISTING_DAY):
 
 def local_day(spark, sf_dir, zone: str = "Asia/Kolkata"):
     e = events(spark, sf_dir, "event_id", "ts")
-    return e.select("event_id", F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("ts")))
-                    .alias("local_day"))
+    return e.select("event_id", local_day_of(F.col("ts"), zone).alias("local_day"))
 
 
 def latest_n(spark, sf_dir, n: int = 24):

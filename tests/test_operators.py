@@ -1,4 +1,3 @@
-import datetime as dt
 import difflib
 from decimal import Decimal
 
@@ -198,3 +197,24 @@ def test_null_group_keys_are_dropped(spark):
                   F.col("q").cast("decimal(12,2)").alias("quantity"), F.col("e").cast("decimal(18,2)").alias("entry_price"),
                   F.col("x").cast("decimal(18,2)").alias("exit_price"))
     assert [r.trader_id for r in pnl.daily_trader_pnl(pnl.compute_pnl(t)).collect()] == ["T1"]
+
+
+def test_fuzzy_prefix_filter_is_exact_on_random_strings(spark):
+    import random
+    rnd = random.Random(11)
+    alphabet = "abcdeé"
+
+    def word(lo, hi):
+        return "".join(rnd.choice(alphabet) for _ in range(rnd.randint(lo, hi)))
+
+    words = sorted({word(2, 9) for _ in range(150)})
+    queries = sorted({word(1, 10) for _ in range(60)} | {w.upper() for w in words[:5]})
+    d = spark.createDataFrame([(w,) for w in words], "word string")
+    q = spark.createDataFrame([(x,) for x in queries], "query string")
+    got = {r.query: (r.match, round(r.score, 12)) for r in best_close_match(q, "query", d, "word").collect()}
+    want = {}
+    for x in queries:
+        m = difflib.get_close_matches(x.lower(), words, n=1, cutoff=0.6)
+        if m:
+            want[x] = (m[0], round(difflib.SequenceMatcher(None, m[0], x.lower()).ratio(), 12))
+    assert got == want

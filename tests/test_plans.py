@@ -6,7 +6,6 @@ import math
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tessera.plans import events, fx, pnl, retail, text
