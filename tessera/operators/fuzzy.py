@@ -50,9 +50,10 @@ def best_close_match(queries: DataFrame, qcol: str, words: DataFrame, wcol: str,
     """For each query (compared lower-cased), the dictionary word with the
     highest ratio >= cutoff; ties go to the larger word. Columns: query,
     match, score. Queries with no match are absent."""
+    # strings are their own ids (no hash collisions can merge two of them)
     q = queries.select(F.col(qcol).alias("query")).distinct() \
-               .withColumn("qs", F.lower("query")).withColumn("qid", F.xxhash64("query"))
-    w = words.select(F.col(wcol).alias("word")).distinct().withColumn("wid", F.xxhash64("word"))
+               .withColumn("qs", F.lower("query")).withColumn("qid", F.col("query"))
+    w = words.select(F.col(wcol).alias("word")).distinct().withColumn("wid", F.col("word"))
     q_len = q.select("qid", F.length("qs").alias("len"))
     w_len = w.select("wid", F.length("word").alias("len"))
     w_tok = _tokens(w, "wid", "word")
