@@ -120,3 +120,17 @@ def test_write_export_matches_combined_string(spark):
     tx.write_export(conv, os.path.join(d, "export"))
     lines = [r.value for r in spark.read.text(os.path.join(d, "export", "conv_id=1")).collect()]
     assert "\n".join(lines) == "===== Turn 1: user =====\nAlpha\n\n===== Turn 2: assistant =====\nBeta"
+
+
+def test_pnl_job_report_matches_query(spark):
+    from tessera.plans import pnl
+    d = tmp()
+    rep = pnl.run_job(spark, "/root/testdata/sf0.001", d)
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert rep["rows_read"] == li.count()
+    assert rep["rows_kept"] == li.where("l_returnflag = 'N' AND l_linestatus = 'O'").count()
+    top = pnl.topn_pnl_per_day(spark, "/root/testdata/sf0.001")
+    assert rep["output_rows"] == top.count()
+    back = spark.read.option("header", True).csv(os.path.join(d, "top_traders"))
+    assert back.count() == rep["output_rows"]
+    assert json.loads(spark.read.text(os.path.join(d, "run_report")).first()[0])["rows_read"] == rep["rows_read"]
