@@ -129,8 +129,11 @@ def test_pnl_job_report_matches_query(spark):
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert rep["rows_read"] == li.count()
     assert rep["rows_kept"] == li.where("l_returnflag = 'N' AND l_linestatus = 'O'").count()
+    groups = li.where("l_returnflag = 'N' AND l_linestatus = 'O'").select("l_suppkey", F.to_date("l_shipdate")).distinct()
+    assert rep["daily_groups"] == groups.count()
     top = pnl.topn_pnl_per_day(spark, "/root/testdata/sf0.001")
     assert rep["output_rows"] == top.count()
+    assert rep["days"] == top.select("trade_date").distinct().count()
     back = spark.read.option("header", True).csv(os.path.join(d, "top_traders"))
     assert back.count() == rep["output_rows"]
     assert json.loads(spark.read.text(os.path.join(d, "run_report")).first()[0])["rows_read"] == rep["rows_read"]
