@@ -5,11 +5,16 @@ last ``window`` seconds (an event exactly ``window`` old still counts).
 Blocked events are not recorded; ``retry_after = int(oldest - cutoff) + 1``.
 
 Whether an event is admitted depends on earlier decisions, so the fold is
-sequential per key. The batch form hash-partitions by key, sorts inside
-partitions and folds Arrow batches with ``mapInPandas``; the state carried
-between batches is at most ``limit`` timestamps for the current key, so
-memory stays bounded even for a key holding a third of all rows. The same
-``AdmissionState`` drives the streaming form.
+sequential within a key's timeline. But when a key's previous event is more
+than ``window`` seconds older, every stored timestamp has expired and the
+state is empty: the timeline splits there into independent segments. The
+batch form finds those idle gaps with two skew-safe scans (previous time,
+then a running count of gap starts), hash-partitions by (key, segment),
+sorts inside partitions and folds Arrow batches with ``mapInPandas``; the
+state carried between batches is at most ``limit`` timestamps, so memory
+stays bounded. A hot key is spread over as many tasks as it has idle gaps;
+only a key that is never idle for a whole window stays in one task. The
+same ``AdmissionState`` drives the streaming form.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scan import keyed_scan
+
 OUT_SCHEMA = "key string, ts double, id long, allowed boolean, remaining int, retry_after long"
 
 
@@ -47,29 +54,44 @@ class AdmissionState:
 
 
 def fold_sorted(batches: Iterator[pd.DataFrame], limit: int, window: float) -> Iterator[pd.DataFrame]:
-    """Fold rows already sorted by (key, ts, id) within the partition."""
-    cur_key, state = None, None
+    """Fold rows already sorted by (key, segment, ts, id) in the partition;
+    the state restarts at every new (key, segment)."""
+    cur, state = None, None
     for pdf in batches:
         n = len(pdf)
         allowed = np.empty(n, dtype=bool)
         remaining = np.empty(n, dtype=np.int32)
         retry = np.empty(n, dtype=np.int64)
-        keys, tss = pdf["key"].to_numpy(), pdf["ts"].to_numpy()
+        keys, segs, tss = pdf["key"].to_numpy(), pdf["seg"].to_numpy(), pdf["ts"].to_numpy()
         for i in range(n):
-            k = keys[i]
-            if k != cur_key:
-                cur_key, state = k, AdmissionState(limit, window)
+            k = (keys[i], segs[i])
+            if k != cur:
+                cur, state = k, AdmissionState(limit, window)
             allowed[i], remaining[i], retry[i] = state.check(float(tss[i]))
         yield pd.DataFrame({"key": pdf["key"], "ts": pdf["ts"], "id": pdf["id"], "allowed": allowed,
                             "remaining": remaining, "retry_after": retry})
 
 
+def idle_segments(events: DataFrame, window: float) -> DataFrame:
+    """Add ``seg``: the number of idle gaps (previous event of the key more
+    than ``window`` seconds earlier) up to each event. Both steps are
+    skew-safe scans, so a hot key is never gathered into one task here."""
+    prev = keyed_scan(events, ["key"], [F.col("ts"), F.col("id")], "ts", lags=1, running=False, prefix="_p_")
+    starts = prev.select("key", "ts", "id", (F.col("_p_lag1").isNull() | (F.col("_p_lag1") < F.col("ts") - F.lit(window)))
+                         .cast("int").alias("_start"))
+    seg = keyed_scan(starts, ["key"], [F.col("ts"), F.col("id")], "_start", prefix="_s_")
+    return seg.select("key", "ts", "id", F.col("_s_run_sum").cast("long").alias("seg"))
+
+
 def sliding_admission(df: DataFrame, key: str, ts_seconds: str, event_id: str, limit: int,
-                      window: float, partitions: int | None = None) -> DataFrame:
-    """Columns: key, ts, id, allowed, remaining, retry_after."""
+                      window: float, partitions: int | None = None, split_idle: bool = True) -> DataFrame:
+    """Columns: key, ts, id, allowed, remaining, retry_after.
+    ``split_idle`` cuts each key's timeline at idle gaps (exact, see module
+    doc) so hot keys fold in parallel."""
     cols = df.select(F.col(key).cast("string").alias("key"), F.col(ts_seconds).cast("double").alias("ts"),
                      F.col(event_id).cast("long").alias("id"))
+    cols = idle_segments(cols, window) if split_idle else cols.withColumn("seg", F.lit(0).cast("long"))
     # no fixed count unless asked: AQE may then merge small partitions
-    parted = cols.repartition(partitions, "key") if partitions else cols.repartition("key")
-    prepared = parted.sortWithinPartitions("key", "ts", "id")
+    parted = cols.repartition(partitions, "key", "seg") if partitions else cols.repartition("key", "seg")
+    prepared = parted.sortWithinPartitions("key", "seg", "ts", "id")
     return prepared.mapInPandas(lambda it: fold_sorted(it, limit, window), OUT_SCHEMA)

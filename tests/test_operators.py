@@ -218,3 +218,19 @@ def test_fuzzy_prefix_filter_is_exact_on_random_strings(spark):
         if m:
             want[x] = (m[0], round(difflib.SequenceMatcher(None, m[0], x.lower()).ratio(), 12))
     assert got == want
+
+
+def test_admission_split_at_idle_gaps_is_exact(spark):
+    import random
+    from tessera.operators.admission import idle_segments
+    rnd = random.Random(5)
+    rows, t = [], 0.0
+    for i in range(1500):
+        t += rnd.choice([0.5, 1.0, 2.0, 3.0, 10.0, 10.0001, 25.0])  # bursts, exact-window gaps, idle gaps
+        rows.append(("hot" if i % 4 else f"k{i % 7}", t, i))
+    df = spark.createDataFrame(rows, "key string, t double, id long")
+    split = sliding_admission(df, "key", "t", "id", 3, 10, split_idle=True)
+    whole = sliding_admission(df, "key", "t", "id", 3, 10, split_idle=False)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    segs = idle_segments(df.select("key", F.col("t").alias("ts"), "id"), 10)
+    assert segs.where("key = 'hot'").agg(F.max("seg")).first()[0] > 10   # the hot key is cut into many pieces
