@@ -137,3 +137,16 @@ def test_pnl_job_report_matches_query(spark):
     back = spark.read.option("header", True).csv(os.path.join(d, "top_traders"))
     assert back.count() == rep["output_rows"]
     assert json.loads(spark.read.text(os.path.join(d, "run_report")).first()[0])["rows_read"] == rep["rows_read"]
+
+
+def test_tolerant_csv_with_date_column(spark):
+    from pyspark.sql.types import DateType
+    d = tmp()
+    with open(os.path.join(d, "orders.csv"), "w") as f:
+        f.write("order_id,order_date,amount\n1,2023-01-05,10.5\n2,2023-02-30,3.0\n3,2023-03-01\n")
+    schema = StructType([StructField("order_id", IntegerType()), StructField("order_date", DateType()),
+                         StructField("amount", DoubleType())])
+    good, bad = files.read_csv_tolerant(spark, d, schema)
+    import datetime as dt
+    assert sorted(map(tuple, good.collect())) == [(1, dt.date(2023, 1, 5), 10.5), (3, dt.date(2023, 3, 1), None)]
+    assert [(r.reason, r.raw) for r in bad.collect()] == [("bad_value", "2,2023-02-30,3.0")]
