@@ -48,6 +48,9 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
     ``run_cnt`` (non-null count) up to and including the row, and
     ``lag1..lag{lags}`` (value ``k`` rows earlier, NULL before the start).
     ``running=False`` skips the running aggregates (any value type).
+    Sums are combined chunk by chunk, so for floating-point values the last
+    bits may differ from a strictly sequential sum; integer and DECIMAL sums
+    are exact (money is DECIMAL throughout the library).
     Catalyst prunes whatever the caller does not select.
     """
     keys = list(keys)
