@@ -39,7 +39,7 @@ def _cols(xs):
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str | None = None,
                lags: int = 0, partitions: int | None = None, prefix: str = "",
-               running: bool = True) -> DataFrame:
+               running: bool = True, suffix: bool = False) -> DataFrame:
     """Add per-key ordered-scan columns to ``df``.
 
     ``order`` must be a total order inside each key (add a unique id).
@@ -48,6 +48,9 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
     ``run_cnt`` (non-null count) up to and including the row, and
     ``lag1..lag{lags}`` (value ``k`` rows earlier, NULL before the start).
     ``running=False`` skips the running aggregates (any value type).
+    ``suffix=True`` also adds ``suf_sum``, ``suf_max``, ``suf_min`` over the
+    row and everything after it in the key, from the same pass (local window
+    to the end of the chunk plus a carry from the following chunks).
     Sums are combined chunk by chunk, so for floating-point values the last
     bits may differ from a strictly sequential sum; integer and DECIMAL sums
     are exact (money is DECIMAL throughout the library).
@@ -76,6 +79,10 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
             F.min(v).over(w_run).alias("_l_min"),
             F.count(v).over(w_run).alias("_l_cnt"),
         ]
+    if value is not None and suffix:
+        w_suf = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+        local_cols += [F.sum(v).over(w_suf).alias("_l_ssum"), F.max(v).over(w_suf).alias("_l_smax"),
+                       F.min(v).over(w_suf).alias("_l_smin")]
     if value is not None:
         local_cols += [F.lag(v, k).over(w_ord).alias(f"_l_lag{k}") for k in range(1, lags + 1)]
     # Materialise once (reliable checkpoint in the shared folder): both the
@@ -87,7 +94,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
     # Summary per chunk; ``local`` is already clustered by (_pid, keys).
     last_key = F.col("_l_rn")
     summ_aggs = [F.max("_l_rn").alias("_s_n")]
-    if run:
+    if run or (value is not None and suffix):
         summ_aggs += [
             F.sum(value).alias("_s_sum"),
             F.max(value).alias("_s_max"),
@@ -107,6 +114,10 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
 
     w_prev = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB, -1)
     carry_cols = [F.coalesce(F.sum("_s_n").over(w_prev), F.lit(0)).alias("_c_n")]
+    if value is not None and suffix:
+        w_next = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(1, Window.unboundedFollowing)
+        carry_cols += [F.sum("_s_sum").over(w_next).alias("_cf_sum"), F.max("_s_max").over(w_next).alias("_cf_max"),
+                       F.min("_s_min").over(w_next).alias("_cf_min")]
     if run:
         carry_cols += [
             F.sum("_s_sum").over(w_prev).alias("_c_sum"),
@@ -132,6 +143,14 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], valu
             F.least("_c_min", "_l_min").alias(f"{p}run_min"),
             (F.col("_c_cnt") + F.col("_l_cnt")).alias(f"{p}run_cnt"),
         ]
+    if value is not None and suffix:
+        ssum_null = F.col("_cf_sum").isNull() & F.col("_l_ssum").isNull()
+        res += [
+            F.when(ssum_null, None).otherwise(F.coalesce("_cf_sum", F.lit(0)) + F.coalesce("_l_ssum", F.lit(0)))
+             .alias(f"{p}suf_sum"),
+            F.greatest("_cf_max", "_l_smax").alias(f"{p}suf_max"),
+            F.least("_cf_min", "_l_smin").alias(f"{p}suf_min"),
+        ]
     if value is not None:
         for k in range(1, lags + 1):
             # inside the chunk when k < local rn; else from the carried tail

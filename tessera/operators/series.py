@@ -48,10 +48,9 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[Column], v
     return s.groupBy(*keys).agg(F.count_if(kept).alias("n_kept"))
 
 
-def underwater_depth(df: DataFrame, keys: Sequence[str], order_asc: Sequence[Column],
-                     order_desc: Sequence[Column], value: str) -> DataFrame:
-    """sum over rows of max(0, min(max up to here, max from here on) - v)."""
-    fwd = keyed_scan(df, keys, order_asc, value, prefix="_f_")
-    both = keyed_scan(fwd, keys, order_desc, value, prefix="_b_")
-    depth = F.greatest(F.lit(0), F.least("_f_run_max", "_b_run_max") - F.col(value))
+def underwater_depth(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str) -> DataFrame:
+    """sum over rows of max(0, min(max up to here, max from here on) - v);
+    both maxima come from one skew-safe pass (running and suffix)."""
+    both = keyed_scan(df, keys, order, value, suffix=True)
+    depth = F.greatest(F.lit(0), F.least("run_max", "suf_max") - F.col(value))
     return both.groupBy(*keys).agg(F.sum(depth).cast("bigint").alias("depth"))

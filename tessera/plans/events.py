@@ -21,10 +21,6 @@ def _order():
     return [F.col("ts"), F.col("event_id")]
 
 
-def _order_desc():
-    return [F.desc("ts"), F.desc("event_id")]
-
-
 def events(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return table(spark, sf_dir, "events", *(cols or ("event_id", "ts", "user_id", "event_type", "value", "props")))
 
@@ -57,7 +53,7 @@ def change_points(spark, sf_dir):
 
 def underwater_depth(spark, sf_dir):
     e = events(spark, sf_dir, "event_id", "ts", "user_id", "props").withColumn("h", k_of() % 10)
-    return depth(e, ["user_id"], _order(), _order_desc(), "h")
+    return depth(e, ["user_id"], _order(), "h")
 
 
 def offset_pairs(spark, sf_dir, target: int = 9):

@@ -108,7 +108,7 @@ def test_series_answers(spark):
     assert longest_distinct_run(runs, ["s"], [F.col("pos")], "v").first()[1] == 3
     assert change_points(series(spark, "a", [1, 1, 2, 3, 3, 4]), ["s"], [F.col("pos")], "v").first()[1] == 4
     water = series(spark, "a", [0, 1, 0, 2, 1, 0, 1, 3, 1, 0, 1, 2])
-    assert underwater_depth(water, ["s"], [F.col("pos")], [F.desc("pos")], "v").first()[1] == 9
+    assert underwater_depth(water, ["s"], [F.col("pos")], "v").first()[1] == 9
     dd = max_drawdown(series(spark, "a", [100.0, 120.0, 110.0, 130.0, 90.0], "v double"), ["s"], [F.col("pos")], "v")
     assert abs(dd.first()[1] - (90 - 130) / 130) < 1e-12
     tri = zero_sum_triples(series(spark, "a", [-4, -1, -1, 0, 1, 2]), "s", "v")

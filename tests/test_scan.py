@@ -13,12 +13,15 @@ def test_keyed_scan_matches_windows_with_hot_key(spark):
         k = "hot" if random.random() < 0.5 else f"k{random.randint(0, 30)}"
         rows.append((k, i, random.choice([None] + list(range(-5, 40)))))
     df = spark.createDataFrame(rows, "k string, pos long, v long")
-    res = keyed_scan(df, ["k"], [F.col("pos")], "v", lags=3, partitions=11)
+    res = keyed_scan(df, ["k"], [F.col("pos")], "v", lags=3, partitions=11, suffix=True)
     w = Window.partitionBy("k").orderBy("pos")
     wr = w.rowsBetween(Window.unboundedPreceding, 0)
+    ws = w.rowsBetween(0, Window.unboundedFollowing)
     ref = df.select("*", F.row_number().over(w).alias("rn"), F.sum("v").over(wr).alias("run_sum"),
                     F.max("v").over(wr).alias("run_max"), F.min("v").over(wr).alias("run_min"),
                     F.count("v").over(wr).alias("run_cnt"),
+                    F.sum("v").over(ws).alias("suf_sum"), F.max("v").over(ws).alias("suf_max"),
+                    F.min("v").over(ws).alias("suf_min"),
                     *[F.lag("v", j).over(w).alias(f"lag{j}") for j in (1, 2, 3)])
     a = sorted(map(tuple, res.select(ref.columns).collect()), key=str)
     b = sorted(map(tuple, ref.collect()), key=str)
