@@ -48,7 +48,7 @@ def numeric_sums(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, NumericType):
             s = F.sum(f.name)
             if isinstance(f.dataType, (DoubleType, FloatType, DecimalType)):
-                s = F.bround(s, 2).cast("decimal(38,2)")
+                s = F.bround(s, 2).cast("double")
             else:
                 s = s.cast("bigint")
             aggs.append(s.alias(f"sum_{f.name}"))
@@ -74,8 +74,8 @@ def elementwise(spark, sf_dir):
 def group_sum(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem", "l_returnflag", "l_quantity", "l_extendedprice")
     return li.where(F.col("l_returnflag").isNotNull()).groupBy("l_returnflag").agg(
-        F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("sum_qty"),
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("sum_price"))
+        F.sum(F.col("l_quantity").cast("decimal(12,2)")).cast("double").alias("sum_qty"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("sum_price"))
 
 
 def share_of_total(spark, sf_dir):
@@ -91,7 +91,7 @@ def union_chunks(spark, sf_dir):
     """Pieces processed separately (one per order status) and concatenated."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
     pieces = [o.where(F.col("o_orderstatus") == s).select("o_orderkey", F.lit(s).alias("chunk"),
-                                                         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+                                                         F.col("o_totalprice").alias("amount"))
               for s in ("F", "O", "P")]
     out = pieces[0]
     for p in pieces[1:]:
@@ -157,13 +157,13 @@ SELECT section, n_nationkey, n_name, (SELECT count(*) FROM nation) AS n_rows, CA
 """
 SCHEMA_RULE_SQL = """
 SELECT CAST(sum(p_partkey) AS BIGINT) AS sum_p_partkey, CAST(sum(p_size) AS BIGINT) AS sum_p_size,
-       CAST(round_even(sum(p_retailprice), 2) AS DECIMAL(38,2)) AS sum_p_retailprice FROM part
+       CAST(round_even(sum(p_retailprice), 2) AS DOUBLE) AS sum_p_retailprice FROM part
 """
 ELEMENTWISE_SQL = ("SELECT l_orderkey, l_linenumber, l_quantity * 2 AS doubled, l_quantity * l_quantity AS squared "
                    "FROM lineitem")
 GROUP_SUM_SQL = """
-SELECT l_returnflag, sum(CAST(l_quantity AS DECIMAL(12,2))) AS sum_qty,
-       sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sum_price
+SELECT l_returnflag, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS sum_qty,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price
 FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag
 """
 SHARE_OF_TOTAL_SQL = """
@@ -171,7 +171,7 @@ SELECT c_mktsegment, count(*) AS n, round_even(100.0 * count(*) / (SELECT count(
 FROM customer GROUP BY c_mktsegment
 """
 UNION_CHUNKS_SQL = """
-SELECT o_orderkey, o_orderstatus AS chunk, CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+SELECT o_orderkey, o_orderstatus AS chunk, o_totalprice AS amount
 FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
 """
 DEDUP_FIRST_SQL = """

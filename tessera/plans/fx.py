@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import with_iso_date, with_mixed_date
 from ..operators.joins import duplicate_keys, lookup_join
+from .pnl import money_out
 from ..sources.tables import table
 
 KEYS = ["currency", "trade_date"]
@@ -68,9 +69,10 @@ def fx_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = normalize_keys(rates(spark, sf_dir))
     j = lookup_join(tx, fx, KEYS, how="left", suffix="_fx")
     return j.select(
-        "transaction_id", "client_id", "trade_date", "currency", "amount_local", "source",
-        "usd_rate", "source_fx",
-        F.bround(F.col("amount_local") * F.col("usd_rate"), 2).cast("decimal(18,2)").alias("amount_usd"),
+        "transaction_id", "client_id", "trade_date", "currency",
+        F.col("amount_local").cast("double").alias("amount_local"), "source",
+        F.col("usd_rate").cast("double").alias("usd_rate"), "source_fx",
+        money_out(F.col("amount_local") * F.col("usd_rate")).alias("amount_usd"),  # exact product, then cents
         F.col("_matched").alias("rate_found"))
 
 
@@ -128,8 +130,9 @@ j AS (
 """
 
 FX_JOIN_SQL = "WITH " + _TX_SQL + """
-SELECT transaction_id, client_id, trade_date, currency, amount_local, source, usd_rate, source_fx,
-       CAST(round_even(amount_local * usd_rate, 2) AS DECIMAL(18,2)) AS amount_usd, rate_found
+SELECT transaction_id, client_id, trade_date, currency, CAST(amount_local AS DOUBLE) AS amount_local, source,
+       CAST(usd_rate AS DOUBLE) AS usd_rate, source_fx,
+       CAST(round_even(amount_local * usd_rate, 2) AS DOUBLE) AS amount_usd, rate_found
 FROM j
 """
 

@@ -15,6 +15,12 @@ from ..operators.topn import top_n_per_group
 from ..sources.tables import table
 
 MONEY = "decimal(18,2)"
+
+
+def money_out(c):
+    """Output form of an exact DECIMAL amount: rounded half-even to cents,
+    then DOUBLE, so every client (pandas, Arrow, DB-API) sees the same value."""
+    return F.bround(c, 2).cast("double")
 RATE = "decimal(4,2)"
 TOP_N = 10
 
@@ -71,7 +77,7 @@ def top_traders_per_day(daily: DataFrame, n: int = TOP_N) -> DataFrame:
         "trade_date",
         F.col("rank").cast("bigint").alias("rank"),
         "trader_id",
-        F.bround("pnl", 2).cast(MONEY).alias("pnl"),
+        money_out(F.col("pnl")).alias("pnl"),
     )
 
 
@@ -101,7 +107,7 @@ WITH t AS (
 ), r AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY trade_date ORDER BY pnl DESC, trader_id ASC) AS rn FROM d
 )
-SELECT trade_date, CAST(rn AS BIGINT) AS "rank", trader_id, CAST(round_even(pnl, 2) AS DECIMAL(18,2)) AS pnl
+SELECT trade_date, CAST(rn AS BIGINT) AS "rank", trader_id, CAST(round_even(pnl, 2) AS DOUBLE) AS pnl
 FROM r WHERE rn <= 10
 """
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.dates import with_mixed_date
+from .pnl import money_out
 from ..functions.text import title_case
 from ..operators.scan import keyed_scan
 from ..operators.topn import top_n_per_group
@@ -92,7 +93,7 @@ def build_sales_mart(enriched: DataFrame) -> DataFrame:
     return (enriched.groupBy("order_date", "city", "segment")
             .agg(F.count_distinct("order_id").alias("total_orders"),
                  F.count_distinct("customer_id").alias("unique_customers"),
-                 F.bround(F.sum("gross_revenue"), 2).cast("decimal(18,2)").alias("total_revenue"))
+                 money_out(F.sum("gross_revenue")).alias("total_revenue"))
             .orderBy(F.asc_nulls_last("order_date"), F.desc_nulls_last("total_revenue")))
 
 
@@ -127,7 +128,7 @@ o AS (
 SALES_MART_SQL = "WITH " + _MART_BASE_SQL + """
 SELECT order_date, coalesce(ct.city, 'Unknown') AS city, coalesce(ct.segment, 'unknown') AS segment,
        count(DISTINCT order_id) AS total_orders, count(DISTINCT o.customer_id) AS unique_customers,
-       CAST(round_even(sum(gross_revenue), 2) AS DECIMAL(18,2)) AS total_revenue
+       CAST(round_even(sum(gross_revenue), 2) AS DOUBLE) AS total_revenue
 FROM o LEFT JOIN ct ON o.customer_id = ct.customer_id
 GROUP BY ALL
 """

@@ -86,10 +86,13 @@ def array_ops(spark, sf_dir):
     c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     w = F.split("text", " ")
     n = F.size(w)
+    # arrays are rendered as text joined by U+001F so every client hashes
+    # them the same way (lists, numpy arrays and Arrow lists differ)
+    sep = "\u001f"
     return c.select("conv_id", "turn", n.cast("bigint").alias("n_words"),
-                    F.slice(w, 1, 3).alias("first3"),
-                    F.slice(w, F.greatest(n - 1, F.lit(1)), 2).alias("last2"),
-                    F.array_append(F.slice(w, 1, 2), F.col("role")).alias("head_role"))
+                    F.array_join(F.slice(w, 1, 3), sep).alias("first3"),
+                    F.array_join(F.slice(w, F.greatest(n - 1, F.lit(1)), 2), sep).alias("last2"),
+                    F.array_join(F.array_append(F.slice(w, 1, 2), F.col("role")), sep).alias("head_role"))
 
 
 # ----------------------------------------------------------- dictionary
@@ -201,9 +204,9 @@ FROM part
 
 ARRAY_OPS_SQL = """
 WITH w AS (SELECT conv_id, turn, role, string_split(text, ' ') AS w FROM conversations)
-SELECT conv_id, turn, CAST(len(w) AS BIGINT) AS n_words, w[1:3] AS first3,
-       w[greatest(len(w) - 1, 1):greatest(len(w) - 1, 1) + 1] AS last2,
-       list_append(w[1:2], role) AS head_role
+SELECT conv_id, turn, CAST(len(w) AS BIGINT) AS n_words, array_to_string(w[1:3], chr(31)) AS first3,
+       array_to_string(w[greatest(len(w) - 1, 1):greatest(len(w) - 1, 1) + 1], chr(31)) AS last2,
+       array_to_string(list_append(w[1:2], role), chr(31)) AS head_role
 FROM w
 """
 

@@ -1,5 +1,4 @@
 import difflib
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,8 +37,8 @@ def test_pnl_fixture(spark):
     f = pnl.filter_trades(trades, country="India", asset_class="Equity", status="COMPLETED")
     out = pnl.top_traders_per_day(pnl.daily_trader_pnl(pnl.compute_pnl(f)), n=2).orderBy("trade_date", "rank")
     got = [(str(r.trade_date), r.rank, r.trader_id, r.pnl) for r in out.collect()]
-    assert got == [("2024-01-02", 1, "T1", Decimal("100.00")), ("2024-01-02", 2, "T3", Decimal("100.00")),
-                   ("2024-01-03", 1, "T1", Decimal("-0.12"))]  # -0.125 rounds half-even
+    assert got == [("2024-01-02", 1, "T1", 100.0), ("2024-01-02", 2, "T3", 100.0),
+                   ("2024-01-03", 1, "T1", -0.12)]  # exact -0.125 rounds half-even
 
 
 def test_fx_fixture(spark):
