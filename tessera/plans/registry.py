@@ -147,3 +147,53 @@ ORACLE_SQL = {
     "first_days_semi": bx.FIRST_DAYS_SEMI_SQL,
     "run_report": bx.RUN_REPORT_SQL,
 }
+
+# Output columns of DATE type per query. The driver-facing layer returns them
+# as TIMESTAMP_NTZ at midnight (the convention of the input tables) on both
+# the Spark and the SQL side: a DATE reaches pandas as a date on one engine
+# and as a timestamp on the other, while a timestamp reads the same in every
+# client. ``tests/test_plans.py`` checks this list against the Spark schemas.
+DATE_COLUMNS = {
+    "clean_orders": ["order_date"],
+    "cumulative_spend": ["order_date"],
+    "customer_metrics": ["last_order_date"],
+    "daily_total": ["entry_date"],
+    "date_spine": ["day"],
+    "dates_with_default": ["entry_date"],
+    "day_listing": ["entry_date"],
+    "distinct_dates": ["entry_date"],
+    "first_days_semi": ["trade_date"],
+    "fx_duplicate_keys": ["trade_date"],
+    "fx_join": ["trade_date"],
+    "high_value_customers": ["last_order_date"],
+    "inactive_customers": ["last_order_date"],
+    "local_day": ["local_day"],
+    "orders_enriched": ["order_date"],
+    "orders_without_customer": ["order_date"],
+    "sales_mart": ["order_date"],
+    "topn_pnl_per_day": ["trade_date"],
+}
+
+
+def days_as_timestamps(df):
+    """Every DATE column of ``df`` as TIMESTAMP_NTZ at midnight (zone-free)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DateType
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, DateType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def driver_query(fn):
+    def run(spark, sf_dir):
+        return days_as_timestamps(fn(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def driver_sql(name: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(name)
+    if not cols:
+        return sql
+    repl = ", ".join(f'CAST("{c}" AS TIMESTAMP) AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql.strip()}) AS q"

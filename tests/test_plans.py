@@ -96,3 +96,16 @@ def test_results_do_not_depend_on_session_zone(spark, duck, name):
         test_query_matches_oracle(spark, duck, name)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_date_column_list_matches_spark_schemas(spark):
+    from pyspark.sql.types import DateType
+    from tessera.plans import registry
+    found = {}
+    for name, fn in registry.QUERIES.items():
+        cols = [f.name for f in fn(spark, SMALL).schema.fields if isinstance(f.dataType, DateType)]
+        if cols:
+            found[name] = cols
+    assert found == registry.DATE_COLUMNS
+    for name, fn in E.queries().items():
+        assert not any(isinstance(f.dataType, DateType) for f in fn(spark, SMALL).schema.fields), name
