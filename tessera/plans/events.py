@@ -202,7 +202,8 @@ def map_ops(spark, sf_dir):
     e = events(spark, sf_dir, "event_id", "props")
     m = F.from_json("props", "map<string,bigint>")
     return e.select("event_id", F.try_element_at(m, F.lit("k")).alias("k"),
-                    F.try_element_at(m, F.lit("zz")).alias("missing"), F.size(m).cast("bigint").alias("n_keys"))
+                    F.try_element_at(m, F.lit("zz")).isNull().alias("zz_missing"),  # absent key -> NULL
+                    F.size(m).cast("bigint").alias("n_keys"))
 
 
 # -------------------------------------------------------------- change log
@@ -419,7 +420,8 @@ FROM ({_EV})
 """
 
 MAP_OPS_SQL = f"""
-SELECT event_id, k, CAST(NULL AS BIGINT) AS missing, CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM ({_EV})
+SELECT event_id, k, json_extract(props, '$.zz') IS NULL AS zz_missing, CAST(len(json_keys(props)) AS BIGINT) AS n_keys
+FROM ({_EV})
 """
 
 _LOG = """
