@@ -6,6 +6,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tessera.plans import events, fx, pnl, retail, text
@@ -109,3 +110,39 @@ def test_date_column_list_matches_spark_schemas(spark):
     assert found == registry.DATE_COLUMNS
     for name, fn in E.queries().items():
         assert not any(isinstance(f.dataType, DateType) for f in fn(spark, SMALL).schema.fields), name
+
+
+def test_lookup_join_broadcasts_only_under_the_counted_bound(spark):
+    from tessera.operators.joins import lookup_join
+    left = spark.range(2000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:                      # only our own size check may choose a broadcast
+            spark.conf.set(k, "-1")
+        small = lookup_join(left, right, ["k"], max_broadcast_rows=1000)
+        small.collect()
+        assert "BroadcastHashJoin" in plan_of(small)
+        big = lookup_join(left, right, ["k"], max_broadcast_rows=10)
+        big.collect()
+        assert "BroadcastHashJoin" not in plan_of(big)
+        assert sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_compacted_snapshot_is_clustered_and_prunable(spark):
+    from tessera.operators import changelog as kv
+    log = events.change_log(spark, SMALL)
+    path = kv.compact(log)
+    snap = spark.read.parquet(path)
+    one = snap.where(F.col("key") == "user:5")
+    p = one._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "EqualTo(key,user:5)" in p
+    keys = [r.key for r in snap.collect()]
+    assert sorted(keys) == sorted(r.key for r in kv.current_state(log).collect())
