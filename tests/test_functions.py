@@ -66,3 +66,18 @@ def test_claim_status(spark):
     df = spark.createDataFrame(rows, "c string, now long")
     got = [r[0] for r in df.select(claim_status(F.col("c"), F.col("now").cast("double"), "otp")).collect()]
     assert got == ["expired", "expired", "active", "invalid"]
+
+
+def test_window_index_and_seconds_left(spark):
+    from tessera.functions.dates import seconds_to_window_end, tumbling_index
+    df = spark.createDataFrame([(0.0,), (299.5,), (300.0,), (601.2,)], "t double")
+    got = [tuple(r) for r in df.select(tumbling_index(F.col("t"), 300), seconds_to_window_end(F.col("t"), 300)).collect()]
+    assert got == [(0, 300), (0, 1), (1, 300), (2, 299)]
+
+
+def test_filename_helpers_and_split_join(spark):
+    from tessera.functions.text import file_suffix, safe_filename, split_join
+    df = spark.createDataFrame([("/up/loads/My Photo (1).PNG",), ("C:\\tmp\\scan.jpeg",), ("noext",)], "p string")
+    got = [tuple(r) for r in df.select(safe_filename(F.col("p")), file_suffix(F.col("p"))).collect()]
+    assert got == [("My_Photo__1_.PNG", ".png"), ("scan.jpeg", ".jpeg"), ("noext", "")]
+    assert spark.createDataFrame([("a b c",)], "s string").select(split_join(F.col("s"))).first()[0] == "a-b-c"
