@@ -146,3 +146,12 @@ def test_compacted_snapshot_is_clustered_and_prunable(spark):
     assert "EqualTo(key,user:5)" in p
     keys = [r.key for r in snap.collect()]
     assert sorted(keys) == sorted(r.key for r in kv.current_state(log).collect())
+
+
+@pytest.mark.parametrize("name", ["topn_pnl_per_day", "top3_per_city", "top5_salary"])
+def test_top_n_cuts_groups_before_the_shuffle(spark, name):
+    from tessera.plans import registry
+    df = registry.QUERIES[name](spark, SMALL)
+    df.collect()
+    p = plan_of(df)
+    assert "WindowGroupLimit" in p and "Partial" in p, name
