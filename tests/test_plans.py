@@ -155,3 +155,9 @@ def test_top_n_cuts_groups_before_the_shuffle(spark, name):
     df.collect()
     p = plan_of(df)
     assert "WindowGroupLimit" in p and "Partial" in p, name
+
+
+def test_every_query_has_an_oracle_except_documented_ones():
+    q, o = E.queries(), E.oracle_sql()
+    assert set(o) <= set(q)
+    assert set(q) - set(o) == {"fuzzy_lookup", "log_checksum"}   # checked by brute force / rows only
