@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm.common import materialise
+from tessera.llm.decontaminate import mark_contaminated
+from tessera.llm.jaccard_join import keep_one_of_each
 from tessera.llm.packing import pack_documents
 from tessera.sources.tables import table
 
 
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar n-gram sets stays: that of the least id."""
+    return keep_one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    marked = mark_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), prefix="__decon_")
+    return marked.where(F.size("__decon_hits") == 0).select(*docs.columns)
+
+
 def pack_best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The last stage: a row per piece with its sequence and place there."""
     return pack_documents(docs)
 
 
 STAGES = [
+    ("n-gram Jaccard join", join_near_copies),
+    ("benchmark decontamination", drop_contaminated),
     ("best-fit packing", pack_best_fit),
 ]
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from .decontaminate import contamination
+from .jaccard_join import jaccard_components
 from .packing import pack_documents
 from .token_counts import count_tokens
 from .token_files import token_files
@@ -22,6 +24,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), "word_bpe_49k.json", 2048)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_token_files, op5_token_counts)}
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                         table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_best_fit_packing, op4_token_files, op5_token_counts, op6_benchmark_decontamination, op8_ngram_jaccard_join)}
 
 ORACLE_SQL: dict[str, str] = {}
