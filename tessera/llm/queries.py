@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import table
 from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .langid import predict_languages
 from .packing import pack_documents
+from .quality import judge_documents
 from .token_counts import count_tokens
 from .token_files import token_files
 
@@ -16,6 +18,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -33,7 +39,13 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"),
+                           table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op4_token_files, op5_token_counts, op6_benchmark_decontamination, op8_ngram_jaccard_join)}
+    op2_best_fit_packing, op3_language_id, op4_token_files, op5_token_counts, op6_benchmark_decontamination,
+    op8_ngram_jaccard_join, op9_quality_classifier)}
 
 ORACLE_SQL: dict[str, str] = {}
