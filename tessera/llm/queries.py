@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .decontaminate import contamination
+from .grid_join import near_duplicates
 from .jaccard_join import jaccard_components
 from .langid import predict_languages
 from .packing import pack_documents
@@ -35,6 +36,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                          table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -46,6 +51,6 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_best_fit_packing, op3_language_id, op4_token_files, op5_token_counts, op6_benchmark_decontamination,
-    op8_ngram_jaccard_join, op9_quality_classifier)}
+    op7_embedding_near_dedup, op8_ngram_jaccard_join, op9_quality_classifier)}
 
 ORACLE_SQL: dict[str, str] = {}
