@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from .chat import format_digests
 from .decontaminate import contamination
 from .grid_join import near_duplicates
 from .jaccard_join import jaccard_components
@@ -13,6 +14,11 @@ from .packing import pack_documents
 from .quality import judge_documents
 from .token_counts import count_tokens
 from .token_files import token_files
+from .url_templates import filter_urls
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_digests(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +55,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                            table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_language_id, op4_token_files, op5_token_counts, op6_benchmark_decontamination,
-    op7_embedding_near_dedup, op8_ngram_jaccard_join, op9_quality_classifier)}
+    op1_chat_formatting, op2_best_fit_packing, op3_language_id, op4_token_files, op5_token_counts, op6_benchmark_decontamination,
+    op7_embedding_near_dedup, op8_ngram_jaccard_join, op9_quality_classifier, op10_url_filters)}
 
 ORACLE_SQL: dict[str, str] = {}
