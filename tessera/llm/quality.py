@@ -3,7 +3,8 @@
 Evidence of a document: a logistic regression over statistics of its whole
 text (shape of its characters, repetition, words that a lexicon of
 log-odds marks). It is learned from at most ``SAMPLE_DOCS`` labelled
-documents, half for the lexicon and half for the regression. A document is
+documents: a lexicon of half of them gives the regression over the other half
+its statistics, and the lexicon of all of them is used from then on. A document is
 good when its quality label is 1 and its toxic label is 0.
 
 Priors: the expected number of good documents is summed by path and by host
@@ -189,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
     good = np.array([r["good"] for r in rows], float)
     if not len(rows) or good.min() == good.max():
         return None
-    return train(np.array([r["x"] for r in rows]), good, lexicon)
+    return train(np.array([r["x"] for r in rows]), good, fit_lexicon(sample.select("text", "good")))
 
 
 def evidence(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
