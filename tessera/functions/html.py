@@ -11,11 +11,14 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&ap
             ("&nbsp;", " "), ("&amp;", "&")]
 
 
+# One alternation, so that each piece ends where it began: a ``<!--`` inside a
+# script is script text, a ``<script>`` inside a comment is a comment.
+NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+
+
 def strip_noise(html: Column) -> Column:
     """Drop comments, scripts and styles (they may contain tag-like text)."""
-    s = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    s = F.regexp_replace(s, r"(?is)<script\b[^>]*>.*?</script\s*>", "")
-    return F.regexp_replace(s, r"(?is)<style\b[^>]*>.*?</style\s*>", "")
+    return F.regexp_replace(html, NOISE, "")
 
 
 def unescape(c: Column) -> Column:
@@ -27,12 +30,14 @@ def unescape(c: Column) -> Column:
 def tag_texts(html: Column, tag: str) -> Column:
     """Array of the text content of every ``<tag>...</tag>`` (inner tags
     removed, entities decoded)."""
-    inner = F.regexp_extract_all(strip_noise(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), 1)
+    inner = F.regexp_extract_all(strip_noise(html), F.lit(rf"(?is)<{tag}(?:[\s/][^>]*)?>(.*?)</{tag}\s*>"), 1)
     return F.transform(inner, lambda x: unescape(F.regexp_replace(x, r"<[^>]*>", "")))
 
 
 def tag_attrs(html: Column, tag: str, attr: str) -> Column:
-    """Array of ``attr`` values of every ``<tag ...>``; tags without the
-    attribute are skipped."""
-    pat = rf"""(?is)<{tag}\b[^>]*?\s{attr}\s*=\s*["']([^"']*)["']"""
-    return F.transform(F.regexp_extract_all(strip_noise(html), F.lit(pat), 1), unescape)
+    """Array of ``attr`` values (quoted either way, or bare) of every
+    ``<tag ...>``; tags without the attribute are skipped."""
+    pat = rf"""(?is)<{tag}(?:[\s/][^>]*?)?\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    quoted = lambda x: x.startswith('"') | x.startswith("'")
+    return F.transform(F.regexp_extract_all(strip_noise(html), F.lit(pat), 1), lambda x: unescape(
+        F.when(quoted(x), F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x)))

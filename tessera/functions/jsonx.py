@@ -20,8 +20,8 @@ def field_present(s: Column, field: str) -> Column:
 def field_token(s: Column, field: str) -> Column:
     """Type-aware token of a top-level field so that ``1``, ``1.0``,
     ``"1"``, ``true`` and ``null`` stay distinct; NULL when absent."""
-    v = F.try_variant_get(F.try_parse_json(s), f"$.{field}", "variant")
-    raw = F.get_json_object(s, f"$.{field}")
+    v = F.try_variant_get(F.try_parse_json(s), f"$['{field}']", "variant")
+    raw = F.get_json_object(s, f"$['{field}']")
     tok = F.concat(F.schema_of_variant(v), F.lit(":"),
                    F.when(F.schema_of_variant(v).startswith("OBJECT"), F.to_json(v))
                     .otherwise(F.coalesce(raw, F.lit("null"))))

@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 NO_TEXT = "No text detected."
 
 
+# Fixed value: the characters of Python's ``str.isspace`` (Java's ``\s`` has only the ASCII ones).
+BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+          "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+BLANK_CLASS = "[" + "".join(f"\\x{{{ord(b):x}}}" for b in BLANKS) + "]"
+INLINE_CLASS = "[" + "".join(f"\\x{{{ord(b):x}}}" for b in BLANKS if b != "\n") + "]"
+
+
 def strip_all(c: Column) -> Column:
     """Python ``str.strip()``: remove every kind of whitespace at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.trim(c, F.lit(BLANKS))
 
 
 def title_case(c: Column) -> Column:
@@ -19,33 +26,29 @@ def title_case(c: Column) -> Column:
     lower-case the others (``o'neil-x`` -> ``O'Neil-X``), unlike ``initcap``
     which only looks at spaces."""
     tokens = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    cap = F.transform(tokens, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1 << 30))))
+    cap = F.transform(tokens, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substr(t, F.lit(2)))))
     return F.when(c.isNull(), None).otherwise(F.array_join(cap, ""))
 
 
-# Fixed value: characters Java's ``\s`` matches (trimmed at both ends).
-_ASCII_SPACE = " \t\n\r\f\u000b"
-
-
 def normalize_text(c: Column) -> Column:
     """Line ends to ``\n``; runs of spaces/tabs to one space; each line
     stripped; consecutive blank lines reduced to one; whole text stripped;
     empty result becomes ``No text detected.``
 
-    Three regex passes: CR fix-up (only when a CR is present), blank runs,
-    and one pass over every newline region (the whitespace around one or
-    more line breaks) that keeps one break, or two when the region holds
-    a blank line. Each intermediate value is referenced once, so nothing
-    is evaluated twice."""
+    No pattern repeats a group, so the depth of the matcher does not grow
+    with the text. Each intermediate value is referenced once, so nothing is
+    evaluated twice."""
     s = F.when(F.instr(c, "\r") > 0, F.regexp_replace(c, r"\r\n?", "\n")).otherwise(c)
     s = F.regexp_replace(s, r"[ \t]+", " ")
-    s = F.regexp_replace(s, r"[^\S\n]*\n(?:[^\S\n]*(\n))?(?:[^\S\n]*\n)*[^\S\n]*", "\n$1")
-    s = F.trim(s, F.lit(_ASCII_SPACE))
+    s = F.regexp_replace(s, f"{INLINE_CLASS}*+\n{INLINE_CLASS}*+", "\n")  # each line stripped
+    s = F.regexp_replace(s, r"\n{3,}", "\n\n")
+    s = F.trim(s, F.lit(BLANKS))
     return F.coalesce(F.nullif(s, F.lit("")), F.lit(NO_TEXT))
 
 
 def split_join(c: Column, sep: str = " ", joiner: str = "-") -> Column:
-    return F.array_join(F.split(c, sep), joiner)
+    """Split at the literal ``sep`` and join again."""
+    return F.replace(c, F.lit(sep), F.lit(joiner))
 
 
 def safe_filename(c: Column) -> Column:

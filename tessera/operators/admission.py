@@ -1,26 +1,30 @@
 """Sliding-window admission (rate limiting) as an ordered fold per key.
 
-An event is allowed when fewer than ``limit`` *allowed* events lie in the
-last ``window`` seconds (an event exactly ``window`` old still counts).
-Blocked events are not recorded; ``retry_after = int(oldest - cutoff) + 1``.
+The rule: an event is admitted when fewer than ``limit`` admitted events lie
+in the last ``window`` seconds, an event exactly ``window`` old included;
+blocked events are not counted. So the next event admitted is the first one
+after the last admitted that lies more than ``window`` after the
+``limit``-th last admitted: it is found by binary search over the sorted
+times, and blocked events are never visited. What is left of the limit, and
+the whole seconds until the oldest admitted event leaves the window, follow
+as array expressions. Times are integer microseconds.
 
 Whether an event is admitted depends on earlier decisions, so the fold is
 sequential within a key's timeline. But when a key's previous event is more
-than ``window`` seconds older, every stored timestamp has expired and the
-state is empty: the timeline splits there into independent segments. The
-batch form finds those idle gaps with two skew-safe scans (previous time,
-then a running count of gap starts), hash-partitions by (key, segment),
-sorts inside partitions and folds Arrow batches with ``mapInPandas``; the
-state carried between batches is at most ``limit`` timestamps, so memory
-stays bounded. A hot key is spread over as many tasks as it has idle gaps;
-only a key that is never idle for a whole window stays in one task. The
-same ``AdmissionState`` drives the streaming form.
+than ``window`` seconds older, no admitted event is in the window: the
+timeline splits there into independent segments. The batch form finds those
+idle gaps with two skew-safe scans (previous time, then a running count of
+gap starts), hash-partitions by (key, segment), sorts inside partitions and
+folds Arrow batches with ``mapInPandas``; what is carried between batches is
+at most ``limit`` times, so memory stays bounded. A hot key is spread over as
+many tasks as it has idle gaps; a key that is never idle for a whole window
+stays in one task (in the worst case the rule itself is serial). The
+streaming form uses the same ``admit``.
 """
 
 from __future__ import annotations
 
-from collections import deque
-from typing import Iterable, Iterator
+from typing import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,42 +36,57 @@ from .scan import keyed_scan
 OUT_SCHEMA = "key string, ts double, id long, allowed boolean, remaining int, retry_after long"
 
 
-class AdmissionState:
-    """Deque of admitted timestamps for one key."""
-
-    __slots__ = ("limit", "window", "q")
-
-    def __init__(self, limit: int, window: float, admitted: Iterable[float] = ()):
-        self.limit, self.window = limit, window
-        self.q = deque(admitted)
-
-    def check(self, now: float) -> tuple[bool, int, int]:
-        cutoff = now - self.window
-        q = self.q
-        while q and q[0] < cutoff:
-            q.popleft()
-        remaining = self.limit - len(q)
-        if remaining <= 0:
-            return False, 0, int(q[0] - cutoff) + 1
-        q.append(now)
-        return True, remaining - 1, 0
+def micros(seconds) -> np.ndarray:
+    return np.round(np.asarray(seconds, np.float64) * 1e6).astype(np.int64)
+
+
+def admit(times: np.ndarray, held: np.ndarray, limit: int, window: int):
+    """Fold sorted ``times`` (microseconds) after the admitted times ``held``.
+
+    Returns (allowed, remaining, retry_after seconds, the last ``limit``
+    admitted times)."""
+    admitted, chosen, nxt = held.tolist(), [], 0
+    while nxt < len(times):
+        if limit <= 0:
+            break
+        if len(admitted) >= limit:
+            nxt = max(nxt, int(np.searchsorted(times, admitted[-limit] + window, "right")))
+            if nxt >= len(times):
+                break
+        chosen.append(nxt)
+        admitted.append(int(times[nxt]))
+        nxt += 1
+    allowed = np.zeros(len(times), bool)
+    allowed[chosen] = True
+    admitted = np.array(admitted, np.int64)
+    before = len(held) + np.cumsum(allowed) - allowed
+    gone = np.searchsorted(admitted, times - window, "left")
+    inside = before - np.minimum(gone, before)
+    remaining = np.where(allowed, limit - inside - 1, 0).astype(np.int32)
+    oldest = admitted[np.minimum(gone, max(0, len(admitted) - 1))] if len(admitted) else times
+    retry = np.where(allowed, 0, (oldest - (times - window)) // 1_000_000 + 1)
+    return allowed, remaining, retry, admitted[-limit:] if limit > 0 else admitted[:0]
 
 
 def fold_sorted(batches: Iterator[pd.DataFrame], limit: int, window: float) -> Iterator[pd.DataFrame]:
     """Fold rows already sorted by (key, segment, ts, id) in the partition;
-    the state restarts at every new (key, segment)."""
-    cur, state = None, None
+    nothing is carried over to a new (key, segment)."""
+    last, held, none = None, None, np.zeros(0, np.int64)
+    span = int(micros(window))
     for pdf in batches:
-        n = len(pdf)
-        allowed = np.empty(n, dtype=bool)
-        remaining = np.empty(n, dtype=np.int32)
-        retry = np.empty(n, dtype=np.int64)
-        keys, segs, tss = pdf["key"].to_numpy(), pdf["seg"].to_numpy(), pdf["ts"].to_numpy()
-        for i in range(n):
-            k = (keys[i], segs[i])
-            if k != cur:
-                cur, state = k, AdmissionState(limit, window)
-            allowed[i], remaining[i], retry[i] = state.check(float(tss[i]))
+        if not len(pdf):
+            continue
+        keys = pdf["key"].fillna("").to_numpy(), pdf["key"].isna().to_numpy(), pdf["seg"].to_numpy()
+        fresh = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        starts = np.flatnonzero(fresh).tolist() + [len(pdf)]
+        times = micros(pdf["ts"])
+        parts = []
+        for a, b in zip(starts[:-1], starts[1:]):
+            now = tuple(k[a] for k in keys)
+            *out, held = admit(times[a:b], held if now == last else none, limit, span)
+            parts.append(out)
+            last = now
+        allowed, remaining, retry = (np.concatenate(c) for c in zip(*parts))
         yield pd.DataFrame({"key": pdf["key"], "ts": pdf["ts"], "id": pdf["id"], "allowed": allowed,
                             "remaining": remaining, "retry_after": retry})
 
@@ -77,8 +96,8 @@ def idle_segments(events: DataFrame, window: float) -> DataFrame:
     than ``window`` seconds earlier) up to each event. Both steps are
     skew-safe scans, so a hot key is never gathered into one task here."""
     prev = keyed_scan(events, ["key"], [F.col("ts"), F.col("id")], "ts", lags=1, running=False, prefix="_p_")
-    starts = prev.select("key", "ts", "id", (F.col("_p_lag1").isNull() | (F.col("_p_lag1") < F.col("ts") - F.lit(window)))
-                         .cast("int").alias("_start"))
+    gap = F.rint(F.col("ts") * 1e6) - F.rint(F.col("_p_lag1") * 1e6)  # whole microseconds, as in the fold
+    starts = prev.select("key", "ts", "id", F.coalesce(gap > round(window * 1e6), F.lit(True)).cast("int").alias("_start"))
     seg = keyed_scan(starts, ["key"], [F.col("ts"), F.col("id")], "_start", prefix="_s_")
     return seg.select("key", "ts", "id", F.col("_s_run_sum").cast("long").alias("seg"))
 

@@ -63,14 +63,21 @@ def stats(log: DataFrame, state: DataFrame, indexed: Sequence[str]) -> DataFrame
 
 
 def apply_changes(base: DataFrame, changes: DataFrame) -> DataFrame:
-    """Set-based insert/update/delete: base (key, seq, value) full-outer
-    joined with the last change per key; deletes drop the key."""
+    """Set-based insert/update/delete: base (key, seq, value[, deleted])
+    full-outer joined with the last change per key. The larger seq wins, so
+    an older change that arrives late alters nothing. Deletes drop the key;
+    where ``base`` has a ``deleted`` column they stay as tombstones with
+    their seq, so that a late SET cannot revive the key."""
     last = changes.groupBy("key").agg(F.max_by(F.struct("seq", "flag", "value"), F.col("seq")).alias("_c"))
     j = base.join(last, "key", "full_outer")
-    has_change = F.col("_c").isNotNull()
-    return (j.where(~has_change | (F.col("_c.flag") == SET))
-             .select("key", F.when(has_change, F.col("_c.seq")).otherwise(F.col("seq")).alias("seq"),
-                     F.when(has_change, F.col("_c.value")).otherwise(F.col("value")).alias("value")))
+    newer = F.col("_c").isNotNull() & (F.col("seq").isNull() | (F.col("_c.seq") > F.col("seq")))
+    gone = newer & ~F.coalesce(F.col("_c.flag") == SET, F.lit(False))
+    seq = F.when(newer, F.col("_c.seq")).otherwise(F.col("seq")).alias("seq")
+    value = F.when(newer, F.col("_c.value")).otherwise(F.col("value")).alias("value")
+    if "deleted" not in base.columns:
+        return j.where(~gone).select("key", seq, value)
+    deleted = F.when(newer, gone).otherwise(F.col("deleted"))
+    return j.select("key", seq, F.when(~deleted, value).alias("value"), deleted.alias("deleted"))
 
 
 def compact(log: DataFrame, upto_seq: int | None = None, path: str | None = None) -> str:

@@ -6,8 +6,8 @@ ratio >= c needs overlap >= c*L/(2-c) for a string of length L whatever its
 partner. Ordering character tokens (char, occurrence) rarest-first, any two
 strings with that overlap share a token within their first
 ``L - ceil(c*L/(2-c)) + 1`` tokens. Candidates are the pairs sharing such a
-prefix token (equi join on the token) that also pass the length bound; only
-they are scored, by an Arrow-batched pandas UDF. No pair is dropped that
+prefix token (equi join on the token) whose multiset overlap allows the cutoff;
+only they are scored, by an Arrow-batched pandas UDF. No pair is dropped that
 could reach the cutoff.
 """
 
@@ -20,8 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .joins import maybe_broadcast
-
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -36,12 +34,12 @@ def _tokens(df: DataFrame, sid: str, text: str) -> DataFrame:
     return ch.select(sid, F.concat(F.col("ch"), F.lit("#"), occ.cast("string")).alias("tok"))
 
 
-def _prefix(tokens: DataFrame, lengths: DataFrame, ranks: DataFrame, sid: str, cutoff: float) -> DataFrame:
-    t = tokens.join(ranks, "tok", "left").withColumn("r", F.coalesce("r", F.lit(-1)))
+def _prefix(tokens: DataFrame, lengths: DataFrame, freq: DataFrame, sid: str, cutoff: float) -> DataFrame:
+    t = tokens.join(freq, "tok", "left").withColumn("f", F.coalesce("f", F.lit(0)))
     t = t.join(lengths, sid)
     need = F.ceil(F.col("len") * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9))
     plen = F.col("len") - F.greatest(need, F.lit(1)) + 1
-    rn = F.row_number().over(Window.partitionBy(sid).orderBy("r", "tok"))
+    rn = F.row_number().over(Window.partitionBy(sid).orderBy("f", "tok"))
     return t.withColumn("_rn", rn).where(F.col("_rn") <= plen).select(sid, "tok")
 
 
@@ -58,13 +56,16 @@ def best_close_match(queries: DataFrame, qcol: str, words: DataFrame, wcol: str,
     w_len = w.select("wid", F.length("word").alias("len"))
     w_tok = _tokens(w, "wid", "word")
     freq = w_tok.groupBy("tok").agg(F.count(F.lit(1)).alias("f"))
-    n_tok = freq.count()
-    ranks = maybe_broadcast(freq.select("tok", F.row_number().over(Window.orderBy("f", "tok")).alias("r")), n_tok)
-    qp = _prefix(_tokens(q, "qid", "qs"), q_len, ranks, "qid", cutoff)
-    wp = _prefix(w_tok, w_len, ranks, "wid", cutoff)
+    q_tok = _tokens(q, "qid", "qs")
+    qp = _prefix(q_tok, q_len, freq, "qid", cutoff)
+    wp = _prefix(w_tok, w_len, freq, "wid", cutoff)
     cand = qp.join(wp, "tok").select("qid", "wid").distinct()
-    cand = cand.join(q_len.withColumnRenamed("len", "lq"), "qid").join(w_len.withColumnRenamed("len", "lw"), "wid")
-    cand = cand.where(2 * F.least("lq", "lw") >= F.lit(cutoff) * (F.col("lq") + F.col("lw")) - F.lit(1e-9))
+    # the ratio is at most 2 * shared tokens / total length: checked before any string is scored
+    q_all = q_tok.groupBy("qid").agg(F.collect_list("tok").alias("tq"))
+    w_all = w_tok.groupBy("wid").agg(F.collect_list("tok").alias("tw"))
+    shared = F.size(F.array_intersect("tq", "tw"))
+    cand = cand.join(q_all, "qid").join(w_all, "wid").where(
+        2 * shared >= F.lit(cutoff) * (F.size("tq") + F.size("tw")) - F.lit(1e-9)).select("qid", "wid")
     scored = cand.join(q, "qid").join(w, "wid").withColumn("score", sequence_ratio(F.col("word"), F.col("qs")))
     hits = scored.where(F.col("score") >= cutoff)
     best = hits.groupBy("query").agg(F.max(F.struct("score", "word")).alias("b"))

@@ -1,4 +1,4 @@
-"""Joins: size-checked lookups, uniqueness guard, band and pair matching."""
+"""Joins: guarded lookups, uniqueness guard, band and pair matching."""
 
 from __future__ import annotations
 
@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Largest lookup side we broadcast. Checked at run time by counting rows,
-# never assumed from the source.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
 class DuplicateKeyError(ValueError):
     pass
 
@@ -33,20 +28,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], sample: int = 5) -> DataF
               .where(F.col("n_rows") > 1).orderBy(*keys).limit(sample))
 
 
-def guard_unique(df: DataFrame, keys: Sequence[str], sample: int = 5) -> int:
-    """Raise ``DuplicateKeyError`` listing sample duplicates; return row count."""
-    rows, _, dups = key_profile(df, keys)
+def guard_unique(df: DataFrame, keys: Sequence[str], sample: int = 5) -> None:
+    """Raise ``DuplicateKeyError`` listing sample duplicates."""
+    dups = key_profile(df, keys)[2]
     if dups:
         shown = [tuple(r[k] for k in keys) for r in duplicate_keys(df, keys, sample).collect()]
         raise DuplicateKeyError(
             f"lookup must hold a single row per {tuple(keys)}; {dups} duplicated keys, e.g. {shown}")
-    return rows
-
-
-def maybe_broadcast(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only when the counted size is within the bound; otherwise
-    leave the choice to the planner (shuffle join, AQE skew handling)."""
-    return F.broadcast(df) if rows <= max_rows else df
 
 
 def suffix_overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
@@ -59,23 +47,20 @@ def suffix_overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], suff
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                suffix: str = "_r", require_unique: bool = True, null_safe: bool = False,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left (or inner) lookup join with a uniqueness guard on the lookup side,
-    suffixing of clashing columns, and a size-checked broadcast.
-    ``_matched`` tells real misses from matched rows whose values are NULL.
-
-    The lookup side is materialised once (reliable checkpoint): the guard,
-    the size check and the join then read the same rows, nothing upstream
-    of the lookup is recomputed, and filters the optimizer infers from the
-    join keys apply to stored columns instead of re-running key clean-up."""
+                suffix: str = "_r", require_unique: bool = True, null_safe: bool = False) -> DataFrame:
+    """Left (or inner) lookup join with a uniqueness guard on the lookup side
+    and suffixing of clashing columns. ``_matched`` tells real misses from
+    matched rows whose values are NULL. Whether the lookup is broadcast is
+    left to the planner, which goes by its bytes.
+
+    The lookup side is materialised once (reliable checkpoint): the guard
+    and the join then read the same rows, nothing upstream of the lookup is
+    recomputed, and filters the optimizer infers from the join keys apply to
+    stored columns instead of re-running key clean-up."""
     right = suffix_overlaps(left, right, keys, suffix).withColumn("_matched", F.lit(True))
     right = cut_lineage(right)
     if require_unique:
-        rows = guard_unique(right, keys)
-    else:
-        rows = key_profile(right, keys)[0]
-    right = maybe_broadcast(right, rows, max_broadcast_rows)
+        guard_unique(right, keys)
     if null_safe:
         cond = None
         r = right.select(*[F.col(c).alias(f"_rk_{c}") if c in keys else F.col(c) for c in right.columns])

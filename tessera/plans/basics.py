@@ -47,7 +47,9 @@ def numeric_sums(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, NumericType):
             s = F.sum(f.name)
-            if isinstance(f.dataType, (DoubleType, FloatType, DecimalType)):
+            if isinstance(f.dataType, (DoubleType, FloatType)):  # exact: the order of the rows plays no part
+                s = F.bround(F.sum(F.col(f.name).cast("decimal(28,10)")), 2).cast("double")
+            elif isinstance(f.dataType, DecimalType):
                 s = F.bround(s, 2).cast("double")
             else:
                 s = s.cast("bigint")
@@ -88,11 +90,14 @@ def share_of_total(spark, sf_dir):
 
 
 def union_chunks(spark, sf_dir):
-    """Pieces processed separately (one per order status) and concatenated."""
+    """Pieces processed separately (known order statuses, and every other
+    row) and concatenated; together the pieces hold each row once."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
-    pieces = [o.where(F.col("o_orderstatus") == s).select("o_orderkey", F.lit(s).alias("chunk"),
-                                                         F.col("o_totalprice").alias("amount"))
-              for s in ("F", "O", "P")]
+    known = ("F", "O", "P")
+    others = ~F.coalesce(F.col("o_orderstatus").isin(*known), F.lit(False))
+    parts = [(F.col("o_orderstatus") == s, s) for s in known] + [(others, "other")]
+    pieces = [o.where(cond).select("o_orderkey", F.lit(s).alias("chunk"), F.col("o_totalprice").alias("amount"))
+              for cond, s in parts]
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)
@@ -157,7 +162,7 @@ SELECT section, n_nationkey, n_name, (SELECT count(*) FROM nation) AS n_rows, CA
 """
 SCHEMA_RULE_SQL = """
 SELECT CAST(sum(p_partkey) AS BIGINT) AS sum_p_partkey, CAST(sum(p_size) AS BIGINT) AS sum_p_size,
-       CAST(round_even(sum(p_retailprice), 2) AS DOUBLE) AS sum_p_retailprice FROM part
+       CAST(round_even(sum(CAST(p_retailprice AS DECIMAL(28,10))), 2) AS DOUBLE) AS sum_p_retailprice FROM part
 """
 ELEMENTWISE_SQL = ("SELECT l_orderkey, l_linenumber, l_quantity * 2 AS doubled, l_quantity * l_quantity AS squared "
                    "FROM lineitem")
@@ -171,8 +176,9 @@ SELECT c_mktsegment, count(*) AS n, round_even(100.0 * count(*) / (SELECT count(
 FROM customer GROUP BY c_mktsegment
 """
 UNION_CHUNKS_SQL = """
-SELECT o_orderkey, o_orderstatus AS chunk, o_totalprice AS amount
-FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
+SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O', 'P') THEN o_orderstatus ELSE 'other' END AS chunk,
+       o_totalprice AS amount
+FROM orders
 """
 DEDUP_FIRST_SQL = """
 SELECT o_custkey, o_orderkey, o_orderdate FROM orders

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds, local_day as local_day_of, seconds_to_window_end, tumbling_index
-from ..functions.jsonx import canonical_json, claim_status as claim_rule
+from ..functions.jsonx import canonical_json, claim_status as claim_rule, record_checksum
 from ..operators import changelog as kv
 from ..operators.admission import sliding_admission as admit
 from ..operators.joins import band_match, first_offset_pair, zero_sum_triples
@@ -163,7 +163,8 @@ KNOWN_TYPES = ["click", "view", "purchase", "signup"]
 
 def validate_rows(spark, sf_dir):
     e = events(spark, sf_dir, "event_id", "event_type", "value", "props")
-    code = F.lpad(k_of().cast("string"), 6, "0")
+    digits = k_of().cast("string")
+    code = F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)  # padded, never cut
     rules = [
         ("missing_type", F.col("event_type").isNull() | (F.trim("event_type") == "")),
         ("unknown_type", ~F.col("event_type").isin(*KNOWN_TYPES)),
@@ -269,7 +270,12 @@ def kv_compaction(spark, sf_dir):
 
 
 def log_checksum(spark, sf_dir):
-    return kv.audit(change_log(spark, sf_dir))
+    """Audit against the checksum stored with each record; every 37th record
+    was damaged after it was stored."""
+    log = change_log(spark, sf_dir)
+    stored = log.withColumn("checksum", record_checksum(F.col("flag"), F.col("key"), F.col("value")))
+    damaged = F.when(F.col("seq") % 37 == 0, F.concat(F.coalesce("value", F.lit("")), F.lit(" "))).otherwise(F.col("value"))
+    return kv.audit(stored.withColumn("value", damaged))
 
 
 # ------------------------------------------------------------ oracle SQL
@@ -398,7 +404,8 @@ r AS (SELECT event_id,
              WHEN event_type NOT IN ('click', 'view', 'purchase', 'signup') THEN 'unknown_type'
              WHEN value <= 0 OR value > 400 THEN 'value_out_of_range'
              WHEN try(json(props)) IS NULL THEN 'bad_props'
-             WHEN NOT regexp_full_match(lpad(CAST(k AS VARCHAR), 6, '0'), '[0-9]{{6}}') THEN 'code_not_digits'
+             WHEN NOT regexp_full_match(CASE WHEN length(CAST(k AS VARCHAR)) < 6 THEN lpad(CAST(k AS VARCHAR), 6, '0')
+                                            ELSE CAST(k AS VARCHAR) END, '[0-9]{{6}}') THEN 'code_not_digits'
         END AS reason FROM e)
 SELECT event_id, reason IS NULL AS is_valid, reason FROM r
 """

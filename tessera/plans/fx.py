@@ -1,6 +1,7 @@
 """FX lookup join: transactions with mixed date formats x one rate per
-(currency, day). Transactions = orders (currency = order priority), rates =
-one row per (priority, day) derived from orders with one priority missing.
+(currency, day). Transactions = orders (currency = order priority; every
+seventh has a currency without rates), rates = one row per (priority, day)
+derived from all orders.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from .pnl import money_out
 from ..sources.tables import table
 
 KEYS = ["currency", "trade_date"]
-MISSING_CURRENCY = "5-LOW"
+UNQUOTED_EVERY = 7  # transactions whose currency key is mapped to one without rates
 
 
 def render_mixed(d):
@@ -30,7 +31,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("client_id"),
         F.when(sel == 0, forms[0]).when(sel == 1, forms[1]).otherwise(forms[2]).alias("trade_date"),
-        F.col("o_orderpriority").alias("currency"),
+        F.when(F.col("o_orderkey") % UNQUOTED_EVERY == 0, F.concat(F.lit("X-"), "o_orderpriority"))
+         .otherwise(F.col("o_orderpriority")).alias("currency"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount_local"),
         F.lit("orders").alias("source"),
     )
@@ -39,7 +41,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quote per order (so keys repeat): the input of the duplicate guard."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
-    return o.where(F.col("o_orderpriority") != MISSING_CURRENCY).select(
+    return o.select(
         F.col("o_orderpriority").alias("currency"),
         F.date_format("o_orderdate", "yyyy/MM/dd").alias("trade_date"),
         F.col("o_orderkey").alias("quote_id"))
@@ -113,7 +115,8 @@ tx AS (
          CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
                              WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
                              ELSE strftime(o_orderdate, '%b %d %Y') END AS raw_date,
-         o_orderpriority AS currency, CAST(o_totalprice AS DECIMAL(18,2)) AS amount_local, 'orders' AS source
+         CASE WHEN o_orderkey % 7 = 0 THEN 'X-' || o_orderpriority ELSE o_orderpriority END AS currency,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS amount_local, 'orders' AS source
   FROM orders),
 txn AS (
   SELECT * EXCLUDE (raw_date),
@@ -123,7 +126,7 @@ txn AS (
 fx AS (
   SELECT o_orderpriority AS currency, CAST(o_orderdate AS DATE) AS trade_date,
          CAST(1 + count(*) * 0.01 AS DECIMAL(10,4)) AS usd_rate, 'rates' AS source_fx
-  FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY ALL),
+  FROM orders GROUP BY ALL),
 j AS (
   SELECT txn.*, fx.usd_rate, fx.source_fx, fx.currency IS NOT NULL AS rate_found
   FROM txn LEFT JOIN fx ON txn.currency = fx.currency AND txn.trade_date = fx.trade_date)
@@ -144,7 +147,7 @@ FROM j
 
 FX_DUPLICATE_KEYS_SQL = """
 SELECT o_orderpriority AS currency, CAST(o_orderdate AS DATE) AS trade_date, count(*) AS n_rows
-FROM orders WHERE o_orderpriority <> '5-LOW'
+FROM orders
 GROUP BY ALL HAVING count(*) > 1
 ORDER BY currency, trade_date LIMIT 5
 """

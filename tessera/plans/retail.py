@@ -1,7 +1,8 @@
 """Sales mart and customer metrics over orders x customer (x payments).
 
-Mart: orders LEFT JOIN a customer dimension restricted to some segments
-(so some orders miss), text clean-up, grouped by (day, city, segment).
+Mart: orders LEFT JOIN the customer dimension (every fifth order refers to an
+unknown customer, so some orders miss), text clean-up, grouped by (day, city,
+segment).
 Metrics: cleaned recent orders INNER JOIN customers INNER JOIN payments
 (one status per order, aggregated from lineitem), then windows, ranks,
 pivots and inactivity.
@@ -21,14 +22,13 @@ from ..operators.topn import top_n_per_group
 from ..sources.tables import table
 
 # ---------------------------------------------------------------- sales mart
-MART_EXCLUDED_SEGMENT = "HOUSEHOLD"
+UNKNOWN_CUSTOMER_EVERY = 5  # orders whose customer key is mapped out of range
 
 
 def mart_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    raw = (c.where(F.col("c_mktsegment") != MART_EXCLUDED_SEGMENT)
-            .join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")  # nation: fixed 25 rows
+    raw = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
                     F.col("n_name").alias("city"), F.lower("c_mktsegment").alias("segment"),
                     F.col("c_custkey").alias("_file_order")))
@@ -56,7 +56,9 @@ def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # reach the parquet scan, which cannot see through the mapping below.
     o = o.where((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") >= 100000))
     raw = o.select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.when(F.col("o_orderkey") % UNKNOWN_CUSTOMER_EVERY == 0, -F.col("o_custkey"))
+         .otherwise(F.col("o_custkey")).alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
         F.floor(F.col("o_totalprice") / 100000).cast("int").alias("quantity"),  # whole 100k blocks
         F.col("o_totalprice").cast("decimal(18,2)").alias("unit_price"),
@@ -112,15 +114,15 @@ _MART_BASE_SQL = """
 c AS (
   SELECT c_custkey AS customer_id, c_name AS customer_name,
          coalesce(n_name, 'Unknown') AS city0, replace(coalesce(lower(c_mktsegment), 'consumer'), '_', ' ') AS segment
-  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_mktsegment <> 'HOUSEHOLD'),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 ct AS (
   SELECT customer_id, customer_name, segment,
          array_to_string(list_transform(regexp_extract_all(city0, '(\\p{L}+|\\P{L}+)'),
                                         lambda t: upper(t[1]) || lower(t[2:])), '') AS city
   FROM c),
 o AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+  SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS customer_id,
+         CAST(o_orderdate AS DATE) AS order_date,
          CAST(floor(o_totalprice / 100000) AS INTEGER) * CAST(o_totalprice AS DECIMAL(18,2)) AS gross_revenue
   FROM orders WHERE o_orderstatus = 'F' AND floor(o_totalprice / 100000) > 0)
 """
@@ -163,7 +165,7 @@ def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metric_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
         F.coalesce("c_mktsegment", F.lit("Unknown")).alias("segment"), F.col("n_name").alias("city"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import tag_attrs, tag_texts
-from ..functions.text import normalize_text as norm, split_join, strip_all, title_case
+from ..functions.text import BLANK_CLASS, INLINE_CLASS, normalize_text as norm, split_join, strip_all, title_case
 from ..operators.fuzzy import best_close_match
 from ..operators.scan import keyed_scan
 from ..sources.tables import table
@@ -140,9 +140,9 @@ FROM documents"""
 def _norm_sql(x: str) -> str:
     s = f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')"
     s = f"regexp_replace({s}, '[ \\t]+', ' ', 'g')"
-    s = f"regexp_replace({s}, '(?m)^[^\\S\\n]+|[^\\S\\n]+$', '', 'g')"
+    s = f"regexp_replace({s}, '(?m)^{INLINE_CLASS}+|{INLINE_CLASS}+$', '', 'g')"
     s = f"regexp_replace({s}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
-    s = f"regexp_replace({s}, '^\\s+|\\s+$', '', 'g')"
+    s = f"regexp_replace({s}, '^{BLANK_CLASS}+|{BLANK_CLASS}+$', '', 'g')"
     return f"CASE WHEN {x} IS NULL OR {s} = '' THEN 'No text detected.' ELSE {s} END"
 
 
@@ -154,15 +154,14 @@ WITH s AS (
          '===== Turn ' || CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS VARCHAR) || ': '
            || role || ' =====' || chr(10) || {_norm_sql('text')} AS sec
   FROM conversations)
-SELECT conv_id, regexp_replace(string_agg(sec, chr(10) || chr(10) ORDER BY turn), '^\\s+|\\s+$', '', 'g') AS export
+SELECT conv_id, regexp_replace(string_agg(sec, chr(10) || chr(10) ORDER BY turn), '^{BLANK_CLASS}+|{BLANK_CLASS}+$', '', 'g') AS export
 FROM s GROUP BY conv_id
 """
 
 
 def _clean_html(x):
-    s = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
-    s = f"regexp_replace({s}, '(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g')"
-    return f"regexp_replace({s}, '(?is)<style\\b[^>]*>.*?</style\\s*>', '', 'g')"
+    noise = "(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>"
+    return f"regexp_replace({x}, '{noise}', '', 'g')"
 
 
 def _unescape_sql(x):
@@ -173,7 +172,7 @@ def _unescape_sql(x):
 
 
 TAG_TEXT_SQL = f"""
-WITH l AS (SELECT page_id, regexp_extract_all({_clean_html('html')}, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1) AS xs
+WITH l AS (SELECT page_id, regexp_extract_all({_clean_html('html')}, '(?is)<h1(?:[\\s/][^>]*)?>(.*?)</h1\\s*>', 1) AS xs
            FROM pages),
 u AS (SELECT page_id, unnest(xs) AS x, generate_subscripts(xs, 1) - 1 AS pos FROM l)
 SELECT page_id, CAST(pos AS BIGINT) AS pos, {_unescape_sql("regexp_replace(x, '<[^>]*>', '', 'g')")} AS text FROM u
@@ -181,9 +180,10 @@ SELECT page_id, CAST(pos AS BIGINT) AS pos, {_unescape_sql("regexp_replace(x, '<
 
 TAG_ATTR_SQL = f"""
 WITH l AS (SELECT page_id,
-                  regexp_extract_all({_clean_html('html')}, '(?is)<a\\b[^>]*?\\shref\\s*=\\s*["'']([^"'']*)["'']', 1) AS xs
+                  regexp_extract_all({_clean_html('html')}, '(?is)<a(?:[\\s/][^>]*?)?\\shref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1) AS xs
            FROM pages),
-u AS (SELECT page_id, unnest(xs) AS x, generate_subscripts(xs, 1) - 1 AS pos FROM l)
+q AS (SELECT page_id, unnest(xs) AS y, generate_subscripts(xs, 1) - 1 AS pos FROM l),
+u AS (SELECT page_id, pos, CASE WHEN y[1] IN ('"', '''') THEN y[2:length(y) - 1] ELSE y END AS x FROM q)
 SELECT page_id, CAST(pos AS BIGINT) AS pos, {_unescape_sql('x')} AS value FROM u
 """
 
@@ -198,7 +198,7 @@ SELECT p_partkey, upper(p_name) AS upper_name, lower(p_brand) AS lower_brand,
        {_title_sql("p_name || '''s-' || p_type")} AS title,
        array_to_string(string_split(p_name, ' '), '-') AS dashed,
        substring(concat_ws(' ', p_name, p_type, p_brand), 1, 16) AS left16,
-       regexp_replace(' ' || chr(9) || p_name || chr(10) || ' ', '^\\s+|\\s+$', '', 'g') AS stripped
+       regexp_replace(' ' || chr(9) || p_name || chr(10) || ' ', '^{BLANK_CLASS}+|{BLANK_CLASS}+$', '', 'g') AS stripped
 FROM part
 """
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt"
+MARK = "\u0001end"
 
 
 def read_csv_tolerant(spark: SparkSession, path: str, schema: StructType, header: bool = True,
@@ -27,16 +28,21 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: StructType, header
     # Keep the partially parsed fields next to the raw line: Spark refuses a
     # query that reads nothing but the corrupt-record column.
     bad = raw.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw")
-    n_fields = F.size(F.split(F.col("raw"), sep))
-    padded = F.concat(F.col("raw"), F.repeat(F.lit(sep), F.greatest(F.lit(n_expected) - n_fields, F.lit(0))))
+    # the CSV parser itself counts the fields: a mark appended as one more
+    # field is found right behind the row's own
+    wide = ", ".join(f"`c{i}` string" for i in range(n_expected + 1))
+    cells = F.from_csv(F.concat(F.col("raw"), F.lit(sep + MARK)), wide, {"sep": sep, "mode": "PERMISSIVE"})
+    bad = bad.withColumn("_cells", F.array(*[cells[f"c{i}"] for i in range(n_expected + 1)]))
+    n_fields = F.array_position("_cells", MARK) - 1  # -1: the mark lies beyond, so there are too many
+    padded = F.concat(F.col("raw"), F.repeat(F.lit(sep), F.greatest(F.lit(n_expected) - n_fields, F.lit(0)).cast("int")))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     reparsed = F.from_csv(padded, ddl, {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     present = F.lit(True)
     for i, f in enumerate(schema.fields):
-        tok = F.trim(F.element_at(F.split(padded, sep), i + 1))
-        present = present & ((tok == "") | F.col("_p")[f.name].isNotNull())
+        own = F.when(F.lit(i) < n_fields, F.trim(F.get("_cells", F.lit(i))))
+        present = present & (F.coalesce(own, F.lit("")).eqNullSafe("") | F.col("_p")[f.name].isNotNull())
     tagged = bad.withColumn("_p", reparsed).withColumn(
-        "reason", F.when(n_fields > n_expected, "too_many_fields").when(~present, "bad_value"))
+        "reason", F.when(n_fields < 0, "too_many_fields").when(~present, "bad_value"))
     short_ok = tagged.where(F.col("reason").isNull()).select(
         *[F.coalesce(F.col("_p")[n], F.col(n)).alias(n) for n in names])
     rejects = tagged.where(F.col("reason").isNotNull()).select("raw", "reason", *names)
@@ -69,9 +75,9 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **props) -> DataFrame:
 
 
 # File signatures and extension to MIME type.
-SIGNATURES = [("png", "89504E470D0A1A0A"), ("jpeg", "FFD8FF"), ("gif", "47494638"), ("webp", "52494646")]
-EXT_FORMAT = {".png": "png", ".jpg": "jpeg", ".jpeg": "jpeg", ".gif": "gif", ".webp": "webp"}
-MIME = {"png": "image/png", "jpeg": "image/jpeg", "gif": "image/gif", "webp": "image/webp"}
+SIGNATURES = [("png", "89504E470D0A1A0A"), ("jpeg", "FFD8FF"), ("gif", "47494638")]
+EXT_FORMAT = {".png": "png", ".jpg": "jpeg", ".jpeg": "jpeg", ".gif": "gif"}
+MIME = {"png": "image/png", "jpeg": "image/jpeg", "gif": "image/gif"}
 
 
 def sniff_format(content: Column) -> Column:

@@ -5,17 +5,18 @@ from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.admission import OUT_SCHEMA, AdmissionState
+from ..operators.admission import OUT_SCHEMA, admit, micros
 from ..operators.changelog import apply_changes
 from ..plans.pnl import compute_pnl, filter_trades
 
-STATE_SCHEMA = "q array<double>"
+STATE_SCHEMA = "admitted array<long>"
 
 
 # K1 ------------------------------------------------------------ admission
@@ -35,16 +36,14 @@ def admission_stream(stream: DataFrame, key: str, ts_seconds: str, event_id: str
         if timed and state.hasTimedOut:
             state.remove()
             return
-        q = list(state.get[0]) if state.exists else []
-        st = AdmissionState(limit, window, q)
+        held = np.array(state.get[0] if state.exists else [], np.int64)
         rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "id"], kind="mergesort")
-        out = [st.check(float(t)) for t in rows["ts"].to_numpy()]
-        state.update((list(st.q),))
+        allowed, remaining, retry, held = admit(micros(rows["ts"]), held, limit, int(micros(window)))
+        state.update((held.tolist(),))
         if timed:
             state.setTimeoutTimestamp(int((float(rows["ts"].max()) + window) * 1000))
         yield pd.DataFrame({"key": rows["key"].to_numpy(), "ts": rows["ts"].to_numpy(), "id": rows["id"].to_numpy(),
-                            "allowed": [o[0] for o in out], "remaining": [o[1] for o in out],
-                            "retry_after": [o[2] for o in out]})
+                            "allowed": allowed, "remaining": remaining, "retry_after": retry})
 
     cols = [F.col(key).cast("string").alias("key"), F.col(ts_seconds).cast("double").alias("ts"),
             F.col(event_id).cast("long").alias("id")]
@@ -90,12 +89,14 @@ def running_pnl(trades: DataFrame, watermark: str = "2 days", **equals) -> DataF
 def changelog_sink(state_dir: str):
     """``foreachBatch`` function: merge the batch's changes into the latest
     snapshot and write ``state_dir/batch=<id>``. Re-running a batch id
-    rewrites the same folder, so retries are idempotent."""
+    rewrites the same folder, so retries are idempotent. Deleted keys stay
+    as tombstones (``deleted``); ``live_state`` leaves them out. A batch
+    after the first without any earlier snapshot raises."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = _latest_snapshot(spark, state_dir, batch_id)
-        base = prev if prev is not None else spark.createDataFrame([], "key string, seq long, value string")
+        base = prev if prev is not None else spark.createDataFrame([], "key string, seq long, value string, deleted boolean")
         apply_changes(base, batch.select("seq", "key", "flag", "value")) \
             .write.mode("overwrite").parquet(f"{state_dir}/batch={batch_id}")
 
@@ -108,10 +109,18 @@ def _latest_snapshot(spark, state_dir: str, before: int):
     ignored)."""
     try:
         snaps = spark.read.parquet(state_dir)
+        last = snaps.where(F.col("batch") < before).agg(F.max("batch")).first()[0]
     except AnalysisException:  # nothing written yet
+        last = None
+    if last is None:
+        if before > 0:
+            raise RuntimeError(f"no snapshot before batch {before} in {state_dir}")
         return None
-    last = snaps.where(F.col("batch") < before).agg(F.max("batch")).first()[0]
-    return None if last is None else snaps.where(F.col("batch") == last).drop("batch")
+    return snaps.where(F.col("batch") == last).drop("batch")
+
+
+def live_state(snapshot: DataFrame) -> DataFrame:
+    return snapshot.where(~F.col("deleted")).drop("deleted")
 
 
 # K7 --------------------------------------------- stream-stream drift match

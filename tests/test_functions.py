@@ -81,3 +81,30 @@ def test_filename_helpers_and_split_join(spark):
     got = [tuple(r) for r in df.select(safe_filename(F.col("p")), file_suffix(F.col("p"))).collect()]
     assert got == [("My_Photo__1_.PNG", ".png"), ("scan.jpeg", ".jpeg"), ("noext", "")]
     assert spark.createDataFrame([("a b c",)], "s string").select(split_join(F.col("s"))).first()[0] == "a-b-c"
+
+
+def test_many_blank_lines_and_unicode_blanks(spark):
+    from tessera.functions.text import normalize_text, strip_all
+    rows = [("a" + "\n \t" * 1_000_000 + "b",), ("\u00a0x\u2003\n\u00a0\n\u3000\n\u00a0y\x1c",), (" \u2003\n ",), ("p\r\nq\rr",)]
+    df = spark.createDataFrame(rows, "s string")
+    assert [r[0] for r in df.select(normalize_text(F.col("s"))).collect()] == ["a\n\nb", "x\n\ny", "No text detected.", "p\nq\nr"]
+    assert [r[0] for r in df.select(strip_all(F.col("s"))).collect()] == [t.strip() for t, in rows]
+
+
+def test_split_join_takes_the_separator_literally(spark):
+    from tessera.functions.text import split_join
+    assert spark.createDataFrame([("a.b.c",)], "s string").select(split_join(F.col("s"), ".")).first()[0] == "a-b-c"
+
+
+def test_attributes_and_noise_in_document_order(spark):
+    html = """<script>var x = "<!--";</script><h1>kept</h1><!-- <script> --><a href="it's.html">1</a><a class=x href=bare.html>2</a>
+    <a-b href="no.html"></a-b><a href='say "x"'>3</a><h1 class=y>also</h1><h12>no</h12>"""
+    df = spark.createDataFrame([(html,)], "h string")
+    texts, links = df.select(tag_texts(F.col("h"), "h1"), tag_attrs(F.col("h"), "a", "href")).first()
+    assert texts == ["kept", "also"]
+    assert links == ["it's.html", "bare.html", 'say "x"']
+
+
+def test_field_with_a_dot(spark):
+    df = spark.createDataFrame([('{"a.b": 1, "a": {"b": 2}}',)], "s string")
+    assert df.select(field_token(F.col("s"), "a.b") == literal_token("1")).first()[0]

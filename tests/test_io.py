@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
@@ -150,3 +151,15 @@ def test_tolerant_csv_with_date_column(spark):
     import datetime as dt
     assert sorted(map(tuple, good.collect())) == [(1, dt.date(2023, 1, 5), 10.5), (3, dt.date(2023, 3, 1), None)]
     assert [(r.reason, r.raw) for r in bad.collect()] == [("bad_value", "2,2023-02-30,3.0")]
+
+
+@pytest.mark.parametrize("sep", [",", "|"])
+def test_short_rows_with_quoted_separators_are_kept(spark, sep):
+    d = tempfile.mkdtemp(prefix="tessera-csv-")
+    lines = ["name,n,note", '"Lee, K",7', "T4,8", 'a,9,"x,y"', "b,10,c,d", "e,oops", "f"]
+    with open(os.path.join(d, "x.csv"), "w") as f:
+        f.write("\n".join(line.replace(",", sep) for line in lines) + "\n")
+    good, bad = files.read_csv_tolerant(spark, d, StructType.fromDDL("name string, n int, note string"), sep=sep)
+    assert {tuple(r) for r in good.collect()} == {
+        ("T4", 8, None), (f"Lee{sep} K", 7, None), ("a", 9, f"x{sep}y"), ("f", None, None)}
+    assert sorted((r.raw.split(sep)[0], r.reason) for r in bad.collect()) == [("b", "too_many_fields"), ("e", "bad_value")]

@@ -43,16 +43,15 @@ def test_pnl_fixture(spark):
 
 def test_fx_fixture(spark):
     tx = spark.createDataFrame(
-        [(101, "C001", "2024-01-01", "USD", 1000.0), (102, "C002", "2024/01/01", "EUR", 2000.0),
-         (103, "C003", "Jan 02 2024", "JPY", 150000.0), (104, "C004", "2024-01-03", "EUR", 800.0),
-         (105, "C005", "2024-01-03", "GBP", 600.0), (106, "C006", "2024-01-03", None, 1.0)],
+        [(7, "k9", "2021-11-30", "SEK", 12.5), (8, "k9", "2021/11/30", "NOK", 40.0), (9, "k3", "Dec 05 2021", "PLN", 7.75),
+         (10, "k4", "2021-12-06", "NOK", 3.0), (11, "k4", "2021-12-06", "HUF", 90.0), (12, "k4", "2021-12-06", None, 2.0)],
         "transaction_id int, client_id string, trade_date string, currency string, amount_local double")
     rates = spark.createDataFrame(
-        [("2024-01-01", "USD", 1.00), ("2024-01-01", "EUR", 1.10), ("2024-01-02", "JPY", 0.0068),
-         ("2024-01-03", "EUR", 1.11), ("2024-01-03", None, 9.9)], "trade_date string, currency string, usd_rate double")
+        [("2021-11-30", "SEK", 0.5), ("2021-11-30", "NOK", 0.25), ("2021-12-05", "PLN", 2.5),
+         ("2021-12-06", "NOK", 0.75), ("2021-12-06", None, 4.0)], "trade_date string, currency string, usd_rate double")
     j = lookup_join(fx.normalize_keys(tx), fx.normalize_keys(rates), fx.KEYS, suffix="_fx")
     got = {r.transaction_id: r.usd_rate for r in j.collect()}
-    assert got == {101: 1.0, 102: 1.1, 103: 0.0068, 104: 1.11, 105: None, 106: None}
+    assert got == {7: 0.5, 8: 0.25, 9: 2.5, 10: 0.75, 11: None, 12: None}
     assert j.where(~F.col("_matched")).count() == 2
     dup = rates.unionByName(rates.limit(1))
     with pytest.raises(DuplicateKeyError):
@@ -71,15 +70,14 @@ def test_fx_suffix_and_strict_dates(spark):
 
 def test_sales_mart_fixture(spark):
     customers = spark.createDataFrame(
-        [("C001", "Aarav", "mumbai", "enterprise", 0), ("C002", "Diya", "Bengaluru", "small_business", 1),
-         ("C003", "Kabir", "mumbai", None, 2), ("C004", "Meera", None, "consumer", 3),
-         ("C001", "Dup", "o'neil-x", "x", 4)],
+        [("a1", "Ines", "porto", "key_account", 0), ("a2", "Olof", "Umea", "start_up", 1), ("a3", "Rui", "porto", None, 2),
+         ("a4", "Mira", None, "retail", 3), ("a1", "again", "d'arc-le", "x", 4)],
         "customer_id string, customer_name string, city string, segment string, _file_order int")
     orders = spark.createDataFrame(
-        [(1001, "C001", "2024-04-01", 2, 1200.0, "completed"), (1002, "C002", "2024/04/01", 1, 800.0, "completed"),
-         (1003, "C003", "Apr 2 2024", 3, 500.0, "completed"), (1004, "C003", "2024-04-02", 1, 650.0, "cancelled"),
-         (1005, "C004", "2024-04-03", 4, 300.0, "completed"), (1006, "C999", "2024-04-03", 2, 450.0, "completed"),
-         (1007, "C001", "2024-04-03", 0, 450.0, "completed")],
+        [(1, "a1", "2020-02-28", 3, 10.0, "completed"), (2, "a2", "2020/02/28", 1, 99.5, "completed"),
+         (3, "a3", "Feb 29 2020", 2, 7.0, "completed"), (4, "a3", "2020-02-29", 5, 1.0, "open"),
+         (5, "a4", "2020-03-01", 1, 60.0, "completed"), (6, "zz", "2020-03-01", 2, 25.0, "completed"),
+         (7, "a1", "2020-03-01", 0, 5.0, "completed")],
         "order_id int, customer_id string, order_date string, quantity int, unit_price double, status string")
     c = retail.transform_customers(customers)
     o = retail.transform_orders(orders)
@@ -88,11 +86,9 @@ def test_sales_mart_fixture(spark):
     mart = retail.build_sales_mart(e)
     got = [(str(r.order_date), r.city, r.segment, r.total_orders, r.unique_customers, float(r.total_revenue))
            for r in mart.collect()]
-    assert got == [("2024-04-01", "Mumbai", "enterprise", 1, 1, 2400.0),
-                   ("2024-04-01", "Bengaluru", "small business", 1, 1, 800.0),
-                   ("2024-04-02", "Mumbai", "consumer", 1, 1, 1500.0),
-                   ("2024-04-03", "Unknown", "consumer", 1, 1, 1200.0),
-                   ("2024-04-03", "Unknown", "unknown", 1, 1, 900.0)]
+    assert got == [("2020-02-28", "Umea", "start up", 1, 1, 99.5), ("2020-02-28", "Porto", "key account", 1, 1, 30.0),
+                   ("2020-02-29", "Porto", "consumer", 1, 1, 14.0),
+                   ("2020-03-01", "Unknown", "retail", 1, 1, 60.0), ("2020-03-01", "Unknown", "unknown", 1, 1, 50.0)]
 
 
 def test_order_bands(spark):
@@ -119,36 +115,52 @@ def test_series_answers(spark):
 
 
 def test_top5_with_tie(spark):
-    rows = [("Alice", "HR", 70000), ("Bob", "HR", 75000), ("Charlie", "IT", 90000), ("David", "IT", 85000),
-            ("Eve", "Finance", 80000), ("Frank", "Finance", 95000), ("Grace", "HR", 72000), ("Heidi", "IT", 88000),
-            ("Ivan", "Finance", 82000), ("Judy", "HR", 78000), ("Ken", "IT", 92000), ("Leo", "Finance", 98000),
-            ("Zed", "IT", 88000), ("Yan", "IT", 60000)]
+    pay = {"ops": [31, 44, 44, 52, 29, 60, 47], "lab": [12, 15], "art": [70, 70, 70, 70, 70, 70]}
+    rows = [(f"{team}{i}", team, p) for team, own in pay.items() for i, p in enumerate(own)]
     df = spark.createDataFrame(rows, "emp_name string, Department string, Salary int")
     t = top_n_per_group(df, ["Department"], [F.desc("Salary"), F.asc("emp_name")], 5)
-    it = [r.emp_name for r in t.where("Department = 'IT'").orderBy("rank").collect()]
-    assert it == ["Ken", "Charlie", "Heidi", "Zed", "David"]
+    names = {team: [r.emp_name for r in t.where(F.col("Department") == team).orderBy("rank").collect()] for team in pay}
+    assert names == {"ops": ["ops5", "ops3", "ops6", "ops1", "ops2"], "lab": ["lab1", "lab0"],
+                     "art": [f"art{i}" for i in range(5)]}
 
 
 def test_changelog(spark):
     log = spark.createDataFrame(
-        [(1, "user:1", "SET", '{"name":"Aarav","tier":"gold","balance":1200}'),
-         (2, "user:2", "SET", '{"name":"Diya","tier":"silver","balance":650}'),
-         (3, "order:1001", "SET", '{"customer_id":"user:1","amount":299.99}'),
-         (4, "user:1", "SET", '{"name":"Aarav","tier":"platinum","balance":1500}'),
-         (5, "user:2", "DELETE", None)], "seq long, key string, flag string, value string")
+        [(10, "cart:a", "SET", '{"items":2,"state":"open"}'), (11, "cart:b", "SET", '{"items":5,"state":"open"}'),
+         (12, "bill:77", "SET", '{"cart":"cart:a","total":8.5}'), (13, "cart:a", "SET", '{"items":3,"state":"paid"}'),
+         (14, "cart:b", "DELETE", None)], "seq long, key string, flag string, value string")
     st = kv.current_state(log)
-    assert sorted(r.key for r in st.collect()) == ["order:1001", "user:1"]
-    assert [r.key for r in kv.range_scan(st, "user:1", "user:9").collect()] == ["user:1"]
-    assert [r.key for r in kv.field_query(st, "tier", '"platinum"', ["tier"]).collect()] == ["user:1"]
+    assert sorted(r.key for r in st.collect()) == ["bill:77", "cart:a"]
+    assert [r.key for r in kv.range_scan(st, "cart:a", "cart:z").collect()] == ["cart:a"]
+    assert [r.key for r in kv.field_query(st, "state", '"paid"', ["state"]).collect()] == ["cart:a"]
     with pytest.raises(ValueError):
-        kv.field_query(st, "balance", "1", ["tier"])
-    got = kv.point_get(st, spark.createDataFrame([("user:2",), ("user:1",)], "key string"), "none")
-    assert {r.key: r.exists for r in got.collect()} == {"user:1": True, "user:2": False}
+        kv.field_query(st, "items", "1", ["state"])
+    got = kv.point_get(st, spark.createDataFrame([("cart:b",), ("cart:a",)], "key string"), "none")
+    assert {r.key: r.exists for r in got.collect()} == {"cart:a": True, "cart:b": False}
     assert kv.audit(log).where("status != 'ok'").count() == 0
-    applied = kv.apply_changes(kv.current_state(log.where("seq <= 3")), log.where("seq > 3"))
+    applied = kv.apply_changes(kv.current_state(log.where("seq <= 12")), log.where("seq > 12"))
     assert sorted(map(tuple, applied.collect())) == sorted(map(tuple, st.collect()))
 
 
+def test_older_changes_alter_nothing(spark):
+    base = spark.createDataFrame([("a", 10, "new", False), ("b", 4, None, True)], "key string, seq long, value string, deleted boolean")
+    changes = spark.createDataFrame([(5, "a", "SET", "old"), (3, "b", "SET", "late"), (6, "c", "DELETE", None), (7, "d", "SET", "d")],
+                                    "seq long, key string, flag string, value string")
+    got = {r.key: (r.seq, r.value, r.deleted) for r in kv.apply_changes(base, changes).collect()}
+    assert got == {"a": (10, "new", False), "b": (4, None, True), "c": (6, None, True), "d": (7, "d", False)}
+    plain = {r.key: r.value for r in kv.apply_changes(base.drop("deleted").where("key = 'a'"), changes).collect()}
+    assert plain == {"a": "new", "b": "late", "d": "d"}
+
+
+def test_audit_against_a_stored_checksum(spark):
+    log = spark.createDataFrame([(1, "k", "SET", "v"), (2, "k", "SET", "w"), (3, None, "SET", "x"), (4, "k", "??", "x")],
+                                "seq long, key string, flag string, value string")
+    stored = log.withColumn("checksum", kv.record_checksum(F.col("flag"), F.col("key"), F.col("value")))
+    broken = stored.withColumn("value", F.when(F.col("seq") == 2, "W").otherwise(F.col("value")))
+    assert {r.seq: r.status for r in kv.audit(broken).collect()} == {
+        1: "ok", 2: "checksum_mismatch", 3: "missing_key", 4: "unknown_flag"}
+
+
 def test_admission_fixture(spark):
     ts = [0, 1, 2, 9, 10, 11, 12, 30]
     rows = [("a", float(t), i) for i, t in enumerate(ts)] + [("b", 5.0, 100)]

@@ -107,7 +107,8 @@ def test_changelog_stream_equals_batch(spark, event_dir):
     q.awaitTermination(600)
     last = max(int(n.split("=")[1]) for n in os.listdir(state_dir) if n.startswith("batch="))
     assert last > 3  # several micro-batches
-    got = sorted(map(tuple, spark.read.parquet(f"{state_dir}/batch={last}").select("key", "seq", "value").collect()))
+    snapshot = spark.read.parquet(f"{state_dir}/batch={last}")
+    got = sorted(map(tuple, rules.live_state(snapshot).select("key", "seq", "value").collect()))
     want = sorted(map(tuple, kv.current_state(to_log(spark.read.parquet(f"{SMALL}/events.parquet"))).collect()))
     assert got == want
 
@@ -137,8 +138,20 @@ def test_running_pnl_stream_equals_batch(spark):
 def test_csv_mean_stream(spark):
     root = tempfile.mkdtemp(prefix="tessera-csv-")
     os.makedirs(os.path.join(root, "in"))
-    with open(os.path.join(root, "in", "temps_today.csv"), "w") as f:
-        f.write("st1,st2\n23.3,22.1\n24.0,23.1\n22.1,20.2\n19.1,16.8\n")
-    got = run_to_end(rules.csv_column_mean(spark, os.path.join(root, "in"), "st1 double, st2 double", "st1"),
+    with open(os.path.join(root, "in", "readings.csv"), "w") as f:
+        f.write("inner,outer\n4.5,1.0\n7.25,0.5\n-2.0,3.0\n")
+    got = run_to_end(rules.csv_column_mean(spark, os.path.join(root, "in"), "inner double, outer double", "inner"),
                      root, "csv", mode="complete")
-    assert abs(got[-1][0] - 22.125) < 1e-9
+    assert abs(got[-1][0] - 3.25) < 1e-9
+
+
+def test_changelog_sink_needs_its_earlier_snapshot(spark):
+    state_dir = tempfile.mkdtemp(prefix="tessera-kv-")
+    handle = rules.changelog_sink(state_dir)
+    cols = "seq long, key string, flag string, value string"
+    with pytest.raises(RuntimeError):
+        handle(spark.createDataFrame([(1, "k", "SET", "{}")], cols), 5)
+    handle(spark.createDataFrame([(4, "k", "SET", "4"), (9, "gone", "DELETE", None)], cols), 0)
+    handle(spark.createDataFrame([(3, "k", "SET", "3"), (8, "gone", "SET", "8"), (6, "new", "SET", "6")], cols), 1)
+    state = rules.live_state(spark.read.parquet(f"{state_dir}/batch=1"))
+    assert sorted((r.key, r.seq, r.value) for r in state.collect()) == [("k", 4, "4"), ("new", 6, "6")]
