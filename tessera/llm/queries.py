@@ -63,4 +63,62 @@ QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_best_fit_packing, op3_language_id, op4_token_files, op5_token_counts, op6_benchmark_decontamination,
     op7_embedding_near_dedup, op8_ngram_jaccard_join, op9_quality_classifier, op10_url_filters)}
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SHINGLE_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+OP6_SQL = f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+spot AS (SELECT item, w, least(10, len(w)) AS k, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i
+       FROM item WHERE len(w) > 0),
+pattern AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS p FROM spot),
+doc AS (SELECT doc_id, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+place AS (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+          FROM doc, (SELECT DISTINCT k FROM pattern) WHERE len(w) >= k),
+hit AS (SELECT doc_id, i, place.k, item FROM place JOIN pattern
+        ON place.k = pattern.k AND array_to_string(w[i:i + place.k - 1], ' ') = p),
+word AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+         FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS pos FROM hit) GROUP BY doc_id),
+own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
+_REACH = """
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT reach.a, e.b FROM reach JOIN both_ways e ON reach.b = e.a),
+least_id AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+"""
+
+OP7_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+         WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+{_REACH},
+links AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id <= coalesce(b, vec_id) AS kept
+FROM embeddings LEFT JOIN links ON vec_id = links.a LEFT JOIN least_id ON vec_id = least_id.a
+"""
+
+OP8_SQL = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, coalesce({_SHINGLE_WORDS}, []) AS w FROM documents),
+spot AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM doc WHERE len(w) > 0),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM spot),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id
+         GROUP BY x.doc_id, y.doc_id),
+link AS (SELECT a, b FROM pair JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * o >= 75 * (p.n + q.n - o)),
+{_REACH}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_id ON doc_id = least_id.a
+"""
+
+#: The others need a tokenizer's or a trained model's results, or digests of the operator's own format.
+ORACLE_SQL: dict[str, str] = {
+    "op6_benchmark_decontamination": OP6_SQL, "op7_embedding_near_dedup": OP7_SQL, "op8_ngram_jaccard_join": OP8_SQL}
