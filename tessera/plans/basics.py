@@ -128,26 +128,35 @@ def date_spine(spark, sf_dir):
 
 
 def first_days_semi(spark, sf_dir, days: int = 3):
-    """Top-N PnL rows of the first ``days`` trade days (semi join against a
-    list whose size is bounded by ``days``)."""
-    top = pnl.topn_pnl_per_day(spark, sf_dir)
-    first = top.select("trade_date").distinct().orderBy("trade_date").limit(days)
-    return top.join(F.broadcast(first), "trade_date", "left_semi")
+    """Top-N PnL rows of the first ``days`` trade days. The days (at most
+    ``days`` rows) are found first, so only their trades are aggregated."""
+    li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus",
+               "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_discount")
+    trades = pnl.trades_from_lineitem(li.where((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")))
+    trades = trades.where(F.col("trade_date").isNotNull() & F.col("trader_id").isNotNull())
+    first = trades.select("trade_date").distinct().orderBy("trade_date").limit(days)
+    own = trades.join(F.broadcast(first), "trade_date", "left_semi")
+    return pnl.top_traders_per_day(pnl.daily_trader_pnl(pnl.compute_pnl(own)))
 
 
 def run_report(spark, sf_dir, n: int = pnl.TOP_N):
     """Run metrics of the PnL job as one row: rows read, rows kept by the
     filter, (day, trader) groups, days and rows in the output."""
-    li = table(spark, sf_dir, "lineitem", "l_returnflag", "l_linestatus")
-    kept = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
-    counts = li.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(kept).alias("rows_kept"))
-    top = pnl.topn_pnl_per_day(spark, sf_dir, n)
-    li2 = table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus")
-    groups = li2.where(kept).select("l_suppkey", F.to_date("l_shipdate").alias("d")).distinct()
-    return counts.select("rows_read", "rows_kept",
-                         groups.agg(F.count(F.lit(1))).scalar().alias("daily_groups"),
-                         top.agg(F.count_distinct("trade_date")).scalar().alias("days"),
-                         top.agg(F.count(F.lit(1))).scalar().alias("output_rows"))
+    li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus")
+    kept = F.coalesce((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(False))
+    day, trader = F.to_date("l_shipdate"), F.col("l_suppkey")
+    # one pass: rows per (day, trader) of the kept rows, all others in one group; then per day
+    groups = li.groupBy(kept.alias("kept"), F.when(kept, day).alias("day"), F.when(kept, trader).alias("trader")) \
+               .agg(F.count(F.lit(1)).alias("n"))
+    counted = F.col("kept") & F.col("day").isNotNull() & F.col("trader").isNotNull()
+    days = groups.groupBy("kept", "day").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"),
+                                             F.count_if(counted).alias("traders"))
+    listed = F.col("traders") > 0
+    return days.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_read"),
+                    F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("rows_kept"),
+                    F.coalesce(F.sum(F.when(F.col("kept"), F.col("groups"))), F.lit(0)).alias("daily_groups"),
+                    F.count_if(listed).alias("days"),
+                    F.coalesce(F.sum(F.when(listed, F.least(F.col("traders"), F.lit(n)))), F.lit(0)).alias("output_rows"))
 
 
 LABEL_LOOKUP_SQL = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey = 7"
