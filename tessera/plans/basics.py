@@ -6,9 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, DecimalType, DoubleType, FloatType
+from pyspark.sql.types import NumericType, StringType, DecimalType, DoubleType, FloatType, StructType
 
+from ..functions.text import file_suffix, safe_filename
+from ..operators.changelog import assign_ids
 from ..operators.topn import position_slice as pos_slice, top_n_per_group
+from ..sources.files import parse_csv_lines
 from ..sources.tables import table
 from . import pnl
 
@@ -159,6 +162,38 @@ def run_report(spark, sf_dir, n: int = pnl.TOP_N):
                     F.coalesce(F.sum(F.when(listed, F.least(F.col("traders"), F.lit(n)))), F.lit(0)).alias("output_rows"))
 
 
+def upper_text(spark, sf_dir):
+    """String half of the type-driven rule over ``part``."""
+    return upper_strings(table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+
+
+def order_ids(spark, sf_dir, start_after: int = 1000):
+    """Auto-increment ids of the orders in (date, key) order."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    return assign_ids(o, start_after, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
+
+
+def page_files(spark, sf_dir):
+    """Safe file name and suffix of each page address."""
+    p = table(spark, sf_dir, "pages", "page_id", "url")
+    return p.select("page_id", safe_filename(F.col("url")).alias("name"), file_suffix(F.col("url")).alias("suffix"))
+
+
+def csv_orders(spark, sf_dir):
+    """Orders rendered as CSV lines, some of them faulty, and read tolerantly:
+    key 0 mod 7 lacks the last field, 1 has one too many, 2 a word as price."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    k = F.col("o_orderkey") % 7
+    price = F.when(k == 2, "oops").otherwise(F.col("o_custkey").cast("string"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), price, F.when(k != 0, F.concat(F.lit('"'), "o_orderpriority", F.lit(', x"'))),
+                       F.when(k == 1, "more"))
+    schema = StructType.fromDDL("id bigint, price bigint, note string")
+    return parse_csv_lines(o.select("o_orderkey", line.alias("line")), "line", schema).select(
+        "o_orderkey", F.when(F.col("reason").isNull(), F.col("id")).alias("id"),
+        F.when(F.col("reason").isNull(), F.col("price")).alias("price"),
+        F.when(F.col("reason").isNull(), F.col("note")).alias("note"), "reason")
+
+
 LABEL_LOOKUP_SQL = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey = 7"
 POSITION_SLICE_SQL = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10 OFFSET 100"
 PARAM_LOOKUP_SQL = ("SELECT c_custkey, c_name, c_acctbal FROM customer "
@@ -215,3 +250,20 @@ SELECT count(*) AS rows_read,
        (SELECT count(*) FROM top) AS output_rows
 FROM lineitem
 """
+UPPER_TEXT_SQL = ("SELECT p_partkey, upper(p_name) AS p_name, upper(p_brand) AS p_brand, upper(p_type) AS p_type, p_size "
+                  "FROM part")
+ORDER_IDS_SQL = """
+SELECT o_orderkey, CAST(1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS id FROM orders
+"""
+PAGE_FILES_SQL = r"""
+SELECT page_id, regexp_replace(regexp_extract(url, '([^/\\]*)$', 1), '[^A-Za-z0-9._-]', '_', 'g') AS name,
+       lower(regexp_extract(url, '(\.[^./\\]+)$', 1)) AS suffix
+FROM pages
+"""
+CSV_ORDERS_SQL = """
+WITH o AS (SELECT *, o_orderkey % 7 AS k, o_orderkey % 7 IN (1, 2) AS bad FROM orders)
+SELECT o_orderkey, CASE WHEN NOT bad THEN o_orderkey END AS id, CASE WHEN NOT bad THEN o_custkey END AS price,
+       CASE WHEN NOT bad AND k <> 0 THEN o_orderpriority || ', x' END AS note,
+       CASE k WHEN 1 THEN 'too_many_fields' WHEN 2 THEN 'bad_value' END AS reason
+FROM o
+"""

@@ -75,6 +75,10 @@ QUERIES = {
     "date_spine": bx.date_spine,
     "first_days_semi": bx.first_days_semi,
     "run_report": bx.run_report,
+    "upper_text": bx.upper_text,
+    "order_ids": bx.order_ids,
+    "page_files": bx.page_files,
+    "csv_orders": bx.csv_orders,
 }
 
 ORACLE_SQL = {
@@ -146,6 +150,10 @@ ORACLE_SQL = {
     "date_spine": bx.DATE_SPINE_SQL,
     "first_days_semi": bx.FIRST_DAYS_SEMI_SQL,
     "run_report": bx.RUN_REPORT_SQL,
+    "upper_text": bx.UPPER_TEXT_SQL,
+    "order_ids": bx.ORDER_IDS_SQL,
+    "page_files": bx.PAGE_FILES_SQL,
+    "csv_orders": bx.CSV_ORDERS_SQL,
 }
 
 # Output columns of DATE type per query. The driver-facing layer returns them
