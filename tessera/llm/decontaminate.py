@@ -14,7 +14,8 @@ not shorten the jumps of the others. The benchmark is taken in blocks of
 bounded bytes: each block is collected, broadcast and searched in its own pass
 over the rows, and the passes follow each other in the same tasks.
 
-Defined cases: null text has no words and is clean; null items and items
+Defined cases: null text has no words and is clean; items without an id are left
+out; null texts and texts of items
 without words have no windows; the same window in several items counts for
 each; repeated rows are judged row by row; an empty benchmark leaves all rows
 clean; the columns added are named by the caller's ``prefix``, and all other

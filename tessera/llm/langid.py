@@ -40,22 +40,52 @@ EPOCHS, BATCH, RATE = 10, 48, 0.5
 REJECT_RATE, REJECT_MOST = 0.002, 0.4
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 200_000
+#: Runs kept by a worker; texts looked at together, and runs of each at a time.
+CACHE_RUNS, TEXTS, PART_RUNS = 400_000, 64, 6000
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of the word and of its n-grams of 1 to 4 characters, with marks at its ends."""
-    marked = f"<{word}>"
-    grams = [marked] + [marked[i:i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1)] + list(word)
-    return [zlib.crc32(g.encode()) % BUCKETS for g in grams]
+def run_words(run: str) -> list[str]:
+    if run.isalpha():
+        return [run.lower()]
+    parts = WORDS.findall(run.lower())
+    return [w for w in (p if p.isalpha() else "".join(filter(str.isalpha, p)) for p in parts) if w]
 
 
-def run_words(run: str) -> list[str]:
-    return ["".join(filter(str.isalpha, w)) for w in WORDS.findall(run.lower())]
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, word of each) of the words themselves and their n-grams of 1 to 4 characters.
+
+    The words, with marks at their ends, are hashed together as one array of
+    code points.
+    """
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    stops = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(codes))
+    left = np.repeat(stops, sizes) - place  # characters from here to the word's end
+    first = place == np.repeat(stops - sizes, sizes)
+    hashes = [np.add.reduceat(_mixed(codes + (left.astype(np.uint64) << np.uint64(32))), stops - sizes)]
+    owners = [np.arange(len(words))]
+    h = np.zeros(len(codes), np.uint64)
+    for n in range(1, 5):
+        h[:len(codes) - n + 1] = _mixed((h[:len(codes) - n + 1] << np.uint64(1)) + codes[n - 1:] * MIX + np.uint64(n))
+        inside = left >= n if n > 1 else ~first & (left > 1)
+        hashes.append(h[inside])
+        owners.append(owner[inside])
+    buckets = (_mixed(np.concatenate(hashes)) >> np.uint64(40)) % np.uint64(BUCKETS)
+    return buckets.astype(np.int64), np.concatenate(owners)
 
 
 def counts(words: list[str]) -> np.ndarray:
-    return np.bincount([b for w in words if w for b in subwords(w)] or [0], minlength=BUCKETS) if words else np.zeros(BUCKETS, int)
+    return np.bincount(subwords(words)[0], minlength=BUCKETS)
 
 
 @dataclass
@@ -120,30 +150,54 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.rows = np.zeros((CACHE_WORDS, len(model.languages) + 1))
+        self.rows = np.zeros((CACHE_RUNS, len(model.languages) + 1))  # logits, number of subwords
         self.place: dict[str, int] = {}
 
-    def _row(self, run: str) -> int:
-        found = [b for w in run_words(run) if w for b in subwords(w)]
-        if len(self.place) >= CACHE_WORDS:
-            return -1
-        at = self.place[run] = len(self.place)
-        self.rows[at, :-1] = self.model.logits[found].sum(0) if found else 0
-        self.rows[at, -1] = len(found)
-        return at
-
-    def __call__(self, text: str | None) -> tuple[str, float, bool]:
-        runs = (text or "").split()
-        total = np.zeros(self.rows.shape[1])
-        at = 0
-        while at < len(runs):  # in parts that fit the room, so that memory is bounded for any text
-            part = runs[at:at + CACHE_WORDS // 4]
-            at += len(part)
-            if len(self.place) + len(part) > CACHE_WORDS:
-                self.place.clear()
-            get, new = self.place.get, self._row
-            places = [p if (p := get(r)) is not None else new(r) for r in part]
-            total += self.rows[places].sum(0)
+    def _learn(self, runs: list[str]) -> None:
+        """Give each new run its row: the sum over its words."""
+        if len(self.place) + len(runs) > CACHE_RUNS:
+            raise ValueError("no room")
+        owner, words = [], {}
+        at_word = []
+        for n, run in enumerate(runs):
+            for word in run_words(run):
+                owner.append(n)
+                at_word.append(words.setdefault(word, len(words)))
+        begin = len(self.place)
+        self.place.update(zip(runs, range(begin, begin + len(runs))))
+        own = self.rows[begin:begin + len(runs)]
+        own[:] = 0
+        if words:
+            buckets, of = subwords(list(words))
+            order = np.argsort(of, kind="stable")
+            starts = np.searchsorted(of[order], np.arange(len(words)))
+            found = np.empty((len(words), self.rows.shape[1]))
+            found[:, :-1] = np.add.reduceat(self.model.logits[buckets[order]], starts)
+            found[:, -1] = np.bincount(of, minlength=len(words))
+            np.add.at(own, owner, found[at_word])
+
+    def totals(self, texts: list[list[str]]) -> np.ndarray:
+        """Summed rows of each list of runs; all their different runs fit the room."""
+        new = set().union(*texts).difference(self.place)
+        if len(self.place) + len(new) > CACHE_RUNS:
+            self.place.clear()
+            new = set().union(*texts)
+        self._learn(sorted(new))
+        look = self.place.__getitem__
+        return np.array([self.rows[list(map(look, runs))].sum(0) if runs else np.zeros(self.rows.shape[1]) for runs in texts])
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            runs = [(t or "").split() for t in texts[at:at + TEXTS]]
+            total = np.zeros((len(runs), self.rows.shape[1]))
+            while any(runs):  # a part of each text at a time, so that memory is bounded for any text
+                total += self.totals([r[:PART_RUNS] for r in runs])
+                runs = [r[PART_RUNS:] for r in runs]
+            out += map(self._named, total)
+        return out
+
+    def _named(self, total: np.ndarray) -> tuple[str, float, bool]:
         if not total[-1]:
             return UNKNOWN, 0.0, True
         z = total[:-1] / total[-1] + self.model.bias
@@ -159,7 +213,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, 64):
             out: list[list] = [[], [], [], []]
             for doc_id, text, lang in zip(*(c.to_pylist() for c in part.columns)):
-                words = [w for run in (text or "").split() for w in run_words(run) if w]
+                words = [w for run in (text or "").split() for w in run_words(run)]
                 if not words:
                     continue
                 key = zlib.crc32(f"sample {doc_id}".encode())
@@ -209,7 +263,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", out:
         import pandas as pd
 
         score = per_worker(("language", key), lambda: Scorer(Model(*held.value)))
-        return pd.DataFrame([score(t) for t in series], columns=["lang", "score", "rejected"])
+        return pd.DataFrame(score(series.tolist()), columns=["lang", "score", "rejected"])
 
     return docs.withColumn(out, F.pandas_udf(run, kind, PandasUDFType.SCALAR)(F.col(text_col).cast("string")))
 
