@@ -8,8 +8,8 @@ done in four steps, none of which emits all pairs of a group.
    indexed (s: the similarity, l(n): ``SPARE`` percent of n). Two linked
    documents miss at most n - ceil(s n) hashes of each other, so they share at
    least l(m) indexed hashes, m being the smaller size allowed to a partner.
-   Equal sets are one node from here on.
-2. *Skipping long lists.* The number of sets that index a hash is the length
+   Equal sets are indexed once.
+2. *Skipping long lists.* The number of documents that index a hash is the length
    of its inverted list. A document skips its l(ceil(s n)) - 1 longest lists,
    ties kept: too few to hold all that it shares with a partner. Lists are
    ordered by length alone, the same for both, so one list is left to both.
@@ -48,7 +48,7 @@ SPARE = 15
 #: Hashes of one block that are searched in one task.
 BLOCK_HASHES = 4_000_000
 #: Indexed hashes held by a task before it deals them out, and meant for one list partition.
-DEAL_HASHES, PART_HASHES = 2_000_000, 3_000_000
+DEAL_HASHES, PART_HASHES = 1_500_000, 3_000_000
 #: Share of T that the lists put aside may weigh.
 ASIDE = 0.8
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -118,97 +118,75 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, prefix binary")
 
 
-DOC = np.dtype([("digest", "V16"), ("id", "<i8"), ("n", "<i8")])
+def planes(values: np.ndarray, kind: str) -> bytes:
+    """The first bytes of all values, then the second ones, ...: shuffle files compress the empty ones away."""
+    return np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), -1).T).tobytes()
 
 
-def _collapse(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one row per digest with its least id, the row of each input)."""
-    _, at = np.unique(docs["digest"], return_inverse=True)
-    order = np.lexsort((docs["id"], at))
-    first = order[np.concatenate([[True], at[order][1:] != at[order][:-1]])]
-    return docs[first], at
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
 def _deal(parts: int):
-    """Deals the indexed hashes of many documents out to ``parts`` list partitions, copies once."""
+    """Deals the indexed hashes of many documents out to ``parts`` list partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        sizes: list = []
-        digests: list = []
-        prefixes: list = []
-        held = 0
+        held: list[tuple[int, int, bytes]] = []
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            docs = np.empty(len(ids), DOC)
-            docs["digest"] = np.frombuffer(b"".join(digests), "V16")
-            docs["id"], docs["n"] = ids, sizes
-            kept, at = _collapse(docs)
-            first = {}
-            for row, doc in enumerate(at.tolist()):
-                first.setdefault(doc, row)
-            rows = [first[d] for d in range(len(kept))]
-            hashes = unpack48(b"".join([prefixes[r] for r in rows]))
-            owner = np.repeat(np.arange(len(kept), dtype="<u4"), [len(prefixes[r]) // 6 for r in rows])
-            part = hashes % parts
+            ids, sizes, prefixes = zip(*held)
+            hashes = unpack48(b"".join(prefixes))
+            owner = np.repeat(np.arange(len(ids), dtype=np.uint32), [len(p) // 6 for p in prefixes])
+            part = (hashes % parts).astype(np.int32)
             order = np.lexsort((hashes, part))
-            hashes, owner = hashes[order], owner[order]
             bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
             for p in range(parts):
-                a, b = bounds[p], bounds[p + 1]
-                if a < b:
-                    own, local = np.unique(owner[a:b], return_inverse=True)
-                    kind = "<u2" if len(own) < 1 << 16 else "<u4"
-                    yield pa.record_batch([pa.array([p], pa.int32()), pa.array([pack48(hashes[a:b] << 16)], pa.binary()),
-                                           pa.array([local.astype(kind).tobytes()], pa.binary()),
-                                           pa.array([kept[own].tobytes()], pa.binary())],
-                                          ["part", "hashes", "owners", "docs"])
+                own = order[bounds[p]:bounds[p + 1]]
+                if len(own):
+                    docs = owner[own]
+                    row = (planes(hashes[own], "<i8"), planes(ids[docs], "<i8"), planes(sizes[docs], "<u4"))
+                    yield pa.record_batch([pa.array([p], pa.int32()), *[pa.array([x], pa.binary()) for x in row]],
+                                          ["part", "hashes", "ids", "sizes"])
 
         for batch in batches:
-            ids += batch.column(0).to_pylist()
-            sizes += batch.column(1).to_pylist()
-            digests += batch.column(2).to_pylist()
-            prefixes += batch.column(3).to_pylist()
-            held += sum(map(len, prefixes[-batch.num_rows:])) // 6 if batch.num_rows else 0
-            if held >= DEAL_HASHES:
-                yield from flush()
-                ids, sizes, digests, prefixes, held = [], [], [], [], 0
-        if ids:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                held.append(row)
+                size += len(row[2]) // 6
+                if size >= DEAL_HASHES:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
             yield from flush()
 
     return run
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hash, rep, n, df) of every list of two sets or more in this task's list partitions."""
+    """(hash, rep, n, df) of every list of two documents or more in this task's list partitions."""
     held: dict[int, list] = {}
     for batch in batches:
-        for part, hashes, owners, docs in zip(*(c.to_pylist() for c in batch.columns)):
-            held.setdefault(part, []).append((hashes, owners, docs))
+        for part, *block in zip(*(c.to_pylist() for c in batch.columns)):
+            held.setdefault(part, []).append(block)
     while held:
-        _, blocks = held.popitem()
-        all_docs = np.concatenate([np.frombuffer(d, DOC) for _, _, d in blocks])
-        kept, at = _collapse(all_docs)
-        hashes = np.concatenate([unpack48(h) for h, _, _ in blocks])
-        owners, base = [], 0
-        for h, o, d in blocks:
-            kind = "<u2" if 2 * (len(h) // 6) == len(o) else "<u4"
-            owners.append(at[np.frombuffer(o, kind).astype(np.int64) + base])
-            base += len(d) // DOC.itemsize
-        owner = np.concatenate(owners)
-        order = np.lexsort((owner, hashes))
-        hashes, owner = hashes[order], owner[order]
-        fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])])
-        hashes, owner = hashes[fresh], owner[fresh]
-        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        blocks = held.popitem()[1]
+        hashes = np.concatenate([from_planes(b[0], "<i8") for b in blocks])
+        ids = np.concatenate([from_planes(b[1], "<i8") for b in blocks])
+        sizes = np.concatenate([from_planes(b[2], "<u4") for b in blocks]).astype(np.int64)
+        del blocks
+        order = np.lexsort((sizes, ids, hashes))
+        hashes, ids, sizes = hashes[order], ids[order], sizes[order]
+        fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1]) | (sizes[1:] != sizes[:-1]))
+        hashes, ids, sizes = hashes[fresh], ids[fresh], sizes[fresh]
+        starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         df = np.diff(np.append(starts, len(hashes)))
         df = np.repeat(df, df)
         long = df > 1
-        docs = kept[owner[long]]
-        for at_row in range(0, len(docs), 100_000):
-            to = slice(at_row, at_row + 100_000)
-            yield pa.record_batch([pa.array(hashes[long][to]), pa.array(docs["id"][to].copy()), pa.array(docs["n"][to].copy()),
-                                   pa.array(df[long][to])], ["hash", "rep", "n", "df"])
+        columns = [c[long] for c in (hashes, ids, sizes, df)]
+        for at in range(0, len(columns[0]), 100_000):
+            yield pa.record_batch([pa.array(c[at:at + 100_000]) for c in columns], ["hash", "rep", "n", "df"])
 
 
 def _chains(percent: int):
@@ -246,13 +224,15 @@ def _chains(percent: int):
 def candidate_edges(signed: DataFrame, percent: int) -> DataFrame:
     """(a, b): chains that connect every two sets that may link."""
     spark = signed.sparkSession
-    indexed = signed.where("doc_id is not null and n > 0")
-    total = indexed.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()[0] // 6
+    named = signed.where("doc_id is not null and n > 0")
+    total = named.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()[0] // 6
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // PART_HASHES))
-    dealt = indexed.mapInArrow(_deal(parts), "part int, hashes binary, owners binary, docs binary")
+    # equal sets are indexed once, under their least id; a map-side aggregate meets hot copies first
+    indexed = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    dealt = indexed.select("rep", "n", "prefix").mapInArrow(_deal(parts), "part int, hashes binary, ids binary, sizes binary")
     rows = dealt.repartition(parts, "part").mapInArrow(_lists, "hash long, rep long, n long, df long")
     skipped = F.greatest(F.lit(1), F.floor(F.floor((F.col("n") * percent + 99) / 100) * SPARE / 100))
-    by_set = Window.partitionBy("rep")
+    by_set = Window.partitionBy("rep", "n")
     rank = F.row_number().over(by_set.orderBy(F.col("df").desc()))
     left = (rows.withColumn("rank", rank)
             .withColumn("longest", F.max(F.when(F.col("rank") == skipped, F.col("df"))).over(by_set))
@@ -302,11 +282,20 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> np.ndarray:
     by_doc = np.lexsort((lengths[kinds_of], members))
     members, kinds_of = members[by_doc], kinds_of[by_doc]
     bounds = np.searchsorted(members, np.arange(count + 1))
+    filled = np.zeros(len(postings), np.int64)  # entries of each list that lie before the query
     for q in range(1, count):
+        filled[kinds_of[bounds[q - 1]:bounds[q]]] += 1
         low = int(np.searchsorted(sizes, least_partner(sizes[q], percent)))
         own = kinds_of[bounds[q]:bounds[q + 1]]  # shortest list first
         if low >= q or not len(own):
             continue
+        for near in {q - 1, low}:  # in a group of near copies these join q to all the others
+            both = len(np.intersect1d(sets[q], sets[near], assume_unique=True))
+            if label[near] != label[q] and 100 * both >= percent * int(sizes[q] + sizes[near] - both):
+                joined = sorted((label[near], label[q]))
+                label[label == joined[1]] = joined[0]
+        if (label[low:q] == label[q]).all():
+            continue
         need = -(-percent * (int(sizes[q]) + int(sizes[low])) // (100 + percent))
         weights = weight[own]
         if int(weights.sum()) < need:
@@ -314,12 +303,12 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> np.ndarray:
         aside = int(np.searchsorted(np.cumsum(weights[::-1]), max(0, int(need * ASIDE)), "right"))
         short, long = own[:len(own) - aside], own[len(own) - aside:]
         need_short = need - int(weight[long].sum())
-        runs = [p[np.searchsorted(p, low):np.searchsorted(p, q)] for p in (postings[k] for k in short.tolist())]
-        if not runs:
+        sizes_of = filled[short]
+        if not sizes_of.any():
             continue
-        merged = np.concatenate(runs)
+        merged = np.concatenate([postings[k][:n] for k, n in zip(short.tolist(), sizes_of.tolist())])
         # the merge of the sorted short lists, with the weights of equal entries added up
-        seen = np.bincount(merged - low, np.repeat(weight[short], [len(r) for r in runs]), q - low).astype(np.int64)
+        seen = np.bincount(merged, np.repeat(weight[short], sizes_of), q)[low:].astype(np.int64)
         found = np.flatnonzero((seen >= need_short) & (seen > 0))
         overlap, found = seen[found], found + low
         while len(found):
@@ -350,31 +339,34 @@ def verified_edges(docs: DataFrame, blocks: DataFrame, size: int, percent: int,
                    block_hashes: int = BLOCK_HASHES) -> DataFrame:
     """(a, b): a spanning forest of the exact links within the blocks (rep, block, n)."""
     volume = blocks.groupBy("block").agg(F.ceil(F.sum("n") / block_hashes).alias("subs"))
-    dealt = (blocks.join(volume, "block")
-             .withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("subs")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
-             .where("subs = 1 or sub <> other")
-             .select("rep", "block", F.least("sub", "other").alias("x"), F.greatest("sub", "other").alias("y")))
-    wanted = docs.join(blocks.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    info = blocks.join(volume, "block").select(F.col("rep").alias("doc_id"), "block", "subs")
+    # documents are never small: the same join at every size
+    wanted = docs.join(info.hint("merge"), "doc_id").select("doc_id", "block", "subs", "text")
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = per_worker(("shingles",), _hasher)
         for batch in batches:
             for part in slices(batch):
-                sets = [shingle_hashes(t, size, word_hash).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], ["rep", "hashes"])
+                sets = [shingle_hashes(t, size, word_hash).tobytes() for t in part.column(3).to_pylist()]
+                yield pa.record_batch([*part.columns[:3], pa.array(sets, pa.binary())], ["rep", "block", "subs", "hashes"])
 
-    sets = wanted.select("doc_id", "text").mapInArrow(whole_sets, "rep long, hashes binary")
+    sets = (wanted.mapInArrow(whole_sets, "rep long, block long, subs long, hashes binary")
+            .withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("subs")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+            .where("subs = 1 or sub <> other")
+            .select("rep", "hashes", "block", F.least("sub", "other").alias("x"), F.greatest("sub", "other").alias("y")))
 
     def search(table: pa.Table) -> pa.Table:
         ids = table.column("rep").to_numpy()
         sets = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
         order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-        ids, label = ids[order], divide_skip([sets[i] for i in order], percent)
-        return pa.table({"a": pa.array(ids), "b": pa.array(ids[label])})
+        ids, different = ids[order], {}
+        row = [different.setdefault(sets[i].tobytes(), len(different)) for i in order]  # equal sets are searched once
+        label = divide_skip([np.frombuffer(s, np.uint64) for s in different], percent)
+        first = np.unique(label[row], return_index=True, return_inverse=True)
+        return pa.table({"a": pa.array(ids), "b": pa.array(ids[first[1][first[2]]])})
 
-    grouped = sets.join(dealt, "rep").groupBy("block", "x", "y")
-    return grouped.applyInArrow(search, "a long, b long").where("a <> b")
+    return sets.groupBy("block", "x", "y").applyInArrow(search, "a long, b long").where("a <> b")
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -382,21 +374,17 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col
     """doc_id, n_shingles, component_id (least id reachable by links, itself included) of every row."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialise(signatures(slim, size, percent), "signatures")
-    # equal sets are one node, named by its least id; ids with several texts join their nodes
-    reps = (signed.where("doc_id is not null and n > 0").groupBy("digest")
-            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
-    nodes = materialise(reps, "nodes")
+    named = signed.where("doc_id is not null and n > 0")
     blocks = components(candidate_edges(signed, percent))
-    blocks = materialise(blocks.join(nodes.groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n")), "node")
-                         .select(F.col("node").alias("rep"), F.col("component").alias("block"), "n"), "blocks")
+    sizes = named.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n"))
+    blocks = materialise(blocks.join(sizes, "node").select(F.col("node").alias("rep"), F.col("component").alias("block"), "n"), "blocks")
     links = verified_edges(slim, blocks, size, percent, block_hashes)
-    placed = signed.select("doc_id", "n", "digest").join(nodes.select("digest", "rep"), "digest", "left")
-    several = placed.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
-    shared = placed.join(several.where("least <> most"), "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    found = components(links.unionByName(shared))
-    return (placed.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "rep", "doc_id").alias("component_id")))
+    # equal sets link with the least id among them, and so do the several texts of an id
+    least = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    copies = named.select("doc_id", "digest").join(least, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    found = components(links.unionByName(copies))
+    return (signed.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
