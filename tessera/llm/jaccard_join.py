@@ -82,7 +82,7 @@ def shingle_hashes(text: str | None, size: int, word_hash) -> np.ndarray:
 def _hasher():
     import xxhash
 
-    return Memo(xxhash.xxh3_64_intdigest, 300_000)
+    return Memo(xxhash.xxh3_64_intdigest, 150_000)
 
 
 def pack48(hashes: np.ndarray) -> bytes:

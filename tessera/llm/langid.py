@@ -41,7 +41,7 @@ REJECT_RATE, REJECT_MOST = 0.002, 0.4
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 #: Runs kept by a worker; texts looked at together, and runs of each at a time.
-CACHE_RUNS, TEXTS, PART_RUNS = 400_000, 64, 6000
+CACHE_RUNS, TEXTS, PART_RUNS = 120_000, 32, 3000
 
 
 def run_words(run: str) -> list[str]:
