@@ -52,7 +52,7 @@ CACHE_RUNS = 200_000
 
 
 def letters_of(run: str) -> str:
-    return "".join(WORD.findall(run.lower()))
+    return run.lower() if run.isalpha() else "".join(WORD.findall(run.lower()))
 
 
 def entries(word: str) -> list[str]:
@@ -65,6 +65,8 @@ SUMS = 6
 
 
 def run_sums(run: str) -> tuple:
+    if run.isalpha():
+        return len(run), 0 if run.islower() else sum(map(str.isupper, run)), 0, 0, 0, False
     letters = sum(map(str.isalpha, run))
     capitals = sum(map(str.isupper, run))
     digits = sum(map(str.isdigit, run))
