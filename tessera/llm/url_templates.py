@@ -12,7 +12,10 @@ segments and this one has less than ``LEAST_SHARE`` of its pages. Below
 with those of all siblings together (a test of two proportions), and whose
 steps below are the same, are merged into one. A template is rejected when its
 smoothed purity, its share of blocked labels shrunk toward its host's and that
-toward the whole, reaches ``PURITY`` and it has ``LEAST_LABELS`` labels itself.
+toward the whole, reaches ``PURITY``. One with less than ``LEAST_LABELS``
+labels of its own, or none, is shrunk toward the nearest level above that has
+as many: an ancestor, the siblings with the same steps below, or the host.
+Where not even the host has them, nothing is rejected.
 
 Everything is DataFrame operations; a host of any size is summed on the map
 side first, and only distinct paths are joined.
@@ -32,9 +35,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import materialise
 
 WIDE, LEAST_SHARE, DEPTH = 12, 0.05, 6
+#: Stands for the step in which siblings differ; no segment has it.
+ANY = "/"
 #: Deviations within which branches are similar.
 SIMILAR = 1.96
-#: Weight of the prior, share of blocked labels that rejects, labels that a rejected template has at least.
+#: Weight of the prior, share of blocked labels that rejects, labels of the level that rejects.
 STRENGTH, PURITY, LEAST_LABELS = 4.0, 0.8, 3
 
 # The rules of the contract.
@@ -82,7 +87,7 @@ def templates(paths: DataFrame) -> DataFrame:
 
 
 def merge_branches(tree: DataFrame) -> DataFrame:
-    """(host, template, branch): similar siblings share a branch.
+    """(host, template, n, labelled, blocked, branch, merged_at): similar siblings share a branch, from the step ``merged_at``.
 
     Siblings differ in one literal step; the steps below are part of the
     profile: the template with that step taken out.
@@ -103,7 +108,30 @@ def merge_branches(tree: DataFrame) -> DataFrame:
     # null where there is no label: such a branch stays by itself
     similar = (F.col("members") > 1) & (F.abs(F.try_divide("blocked", "labelled") - rate) <= SIMILAR * spread)
     return joined.select("host", "template", "n", "labelled", "blocked",
-                         F.when(similar, F.col("family")).otherwise(F.col("template")).alias("branch"))
+                         F.when(similar, F.col("family")).otherwise(F.col("template")).alias("branch"),
+                         F.when(similar, (F.col("at") - 1).cast("int")).alias("merged_at"))
+
+
+def nearest_levels(merged: DataFrame) -> DataFrame:
+    """(host, branch, level): the nearest level at or above a branch with ``LEAST_LABELS`` labels, if there is one.
+
+    The levels are the beginnings of a template, that of ``k`` steps with rank
+    2k, and before the beginning that ends above step ``i`` the siblings that
+    differ in that step alone, with rank 2i - 1. The host is rank 0.
+    """
+    steps = F.split("template", "/")
+    places = F.sequence(F.lit(0), F.size(steps) - 1)
+    named = F.filter(places, lambda i: ~F.get(steps, i).isin("", "*", "**"))
+    level = lambda rank, parts: F.struct(rank.alias("rank"), F.array_join(parts, "/").alias("node"))
+    above = F.transform(places, lambda k: level(2 * k, F.slice(steps, 1, k + 1)))
+    beside = F.transform(named, lambda i: level(2 * i - 1, F.transform(steps, lambda s, j: F.when(j == i, F.lit(ANY)).otherwise(s))))
+    levels = merged.select("host", "branch", "labelled", "blocked", "merged_at", F.inline(F.concat(above, beside)))
+    sums = levels.where("labelled > 0").groupBy("host", "rank", "node").agg(
+        F.sum("labelled").alias("l_labelled"), F.sum("blocked").alias("l_blocked")).where(F.col("l_labelled") >= LEAST_LABELS)
+    # templates of a merged branch have the levels from the merged step on in common
+    own = levels.where("merged_at is null or rank < 2 * merged_at").select("host", "branch", "rank", "node").distinct()
+    return own.join(sums, ["host", "rank", "node"]).groupBy("host", "branch").agg(
+        F.max(F.struct("rank", "l_labelled", "l_blocked")).alias("level"))
 
 
 def judge_templates(paths: DataFrame) -> DataFrame:
@@ -115,9 +143,12 @@ def judge_templates(paths: DataFrame) -> DataFrame:
     labelled, blocked = merged.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     overall = (blocked + 1) / (labelled + 2)
     prior = (F.col("h_blocked") + STRENGTH * overall) / (F.col("h_labelled") + STRENGTH)
-    purity = (F.col("blocked") + STRENGTH * prior) / (F.col("labelled") + STRENGTH)
-    rated = branches.join(hosts, "host").select("host", "branch", purity.alias("purity"), (
-        (F.col("labelled") >= LEAST_LABELS) & (purity >= PURITY)).alias("rejected"))
+    shrunk = lambda blocked, labelled, toward: (F.col(blocked) + STRENGTH * toward) / (F.col(labelled) + STRENGTH)
+    inherited = F.when(F.col("level.rank") > 0, shrunk("level.l_blocked", "level.l_labelled", prior)).otherwise(prior)
+    purity = shrunk("blocked", "labelled", F.when(F.col("labelled") >= LEAST_LABELS, prior).otherwise(inherited))
+    # a branch with labels enough is its own level or part of one
+    rated = branches.join(hosts, "host").join(nearest_levels(merged), ["host", "branch"], "left").select(
+        "host", "branch", purity.alias("purity"), (F.col("level").isNotNull() & (purity >= PURITY)).alias("rejected"))
     by_template = merged.select("host", "template", "branch").join(rated, ["host", "branch"])
     return tree.select("host", "path", "template").join(by_template, ["host", "template"]).select(
         "host", "path", "branch", "purity", "rejected")

@@ -142,3 +142,22 @@ def test_templates_generalise_and_reject(spark):
     found = {r.path: r for r in url_templates.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
     assert found["/spam/b3/x"].template == "/spam/*/x" and found["/spam/b3/x"].verdict == "block"
     assert found["/news/b3/x"].verdict == "allow" and found["/only-c/x"].template == "/*/x"
+
+
+def test_branches_without_labels_inherit(spark):
+    urls = [f"http://{host}/{part}/{i}" for host, parts in {
+        "bad.com": {"de": 30, "en": 10}, "mixed.com": {"de": 30, "fr": 30, "en": 10}, "few.com": {"de": 2, "en": 10}, "none.net": {"de": 30, "en": 10},
+        "deep.com": {"fr": 60, "de/x": 30}}.items() for part, n in parts.items() for i in range(n)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {(r.host, r.path): r for r in url_templates.filter_urls(pages).collect()}  # with the rules of the contract
+    assert len(found) == len(urls)
+    blocked = {r.host for r in found.values() if r.rule is None and r.verdict == "block"}
+    assert blocked == {"bad.com"}
+    assert all(r.verdict == "block" for r in found.values() if r.host == "bad.com")
+    assert found["bad.com", "/en/1"].purity >= url_templates.PURITY > found["mixed.com", "/en/1"].purity
+    # a spam section of a clean host: the nearest level decides
+    rules = (("site.net", "/spam/a", "block"), ("site.net", "/news/a", "allow"))
+    urls = [f"http://site.net/{part}/{leaf}" for part in ("spam", "news") for leaf in [f"a{i}/x" for i in range(30)] + ["blue", "green"]]
+    found = {r.path: r for r in url_templates.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert found["/spam/blue"].rule is None and found["/spam/blue"].verdict == "block"
+    assert found["/news/blue"].rule is None and found["/news/blue"].verdict == "allow"
