@@ -168,6 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
     known = (labels.where("doc_id is not null and quality is not null and toxic is not null")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("good")))
+    # labels of other documents take no place of the sample
+    present = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    known = materialise(known.join(present, "doc_id", "left_semi"), "known-labels")
     order = F.xxhash64("doc_id", F.lit("quality"))
     chosen = None
     for good in (True, False):

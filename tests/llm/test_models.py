@@ -85,6 +85,15 @@ def test_quality_separates_labels(spark):
     assert sum(r.kept for r in toxic) <= 0.2 * len(toxic)
 
 
+def test_labels_of_other_documents_take_no_place(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality", "toxic")
+    others = spark.range(10**9, 10**9 + 50_000).selectExpr("id doc_id", "id % 2 quality", "0 toxic")
+    few, many = (quality.fit(docs, known, sample_docs=200) for known in (labels, labels.unionByName(others)))
+    assert few is not None and many is not None
+    assert few.lexicon == many.lexicon and (few.weights == many.weights).all()
+
+
 def test_quality_of_odd_documents(spark, documents, odd_docs, no_docs):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     judged = quality.judge(documents.unionByName(odd_docs, allowMissingColumns=True), labels, out="judged")
