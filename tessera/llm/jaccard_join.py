@@ -388,8 +388,20 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of the least id of each component, once; rows without an id stay as they are."""
-    found = jaccard_components(docs, size, percent)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """One row of each component of similar texts stays: that of the least id, an id before none, then of the least hash.
+
+    What is compared are the distinct (id, text), told apart by 64-bit hashes
+    as n-grams are, so several texts of an id are judged each by itself and
+    rows without an id like all others. Rows without id and words all stay.
+    """
+    words = F.coalesce(F.col("text").cast("string").rlike("[^ \\t-\\r]"), F.lit(False))
+    compared = F.col("doc_id").isNotNull() | words
+    marked = docs.withColumn("__node", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    named = marked.where(compared)
+    found = materialise(jaccard_components(named, size, percent, id_col="__node")
+                        .groupBy(F.col("doc_id").alias("__node")).agg(F.min("component_id").alias("component")), "found")
+    ids = named.groupBy("__node").agg(F.min(F.col("doc_id").cast("long")).alias("id"))
+    kept = found.join(ids, "__node").groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "__node")).alias("least")).select(F.col("least.__node").alias("__node"))
+    first = named.join(kept, "__node", "left_semi").dropDuplicates(["__node"])
+    return first.unionByName(marked.where(~compared)).drop("__node")

@@ -165,6 +165,15 @@ def test_jaccard_join_of_odd_documents(odd_docs, no_docs):
     assert jaccard_join.jaccard_components(no_docs).collect() == []
 
 
+def test_join_keeps_each_text_of_an_id(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcd"}
+    rows = [(1, texts["a"]), (1, texts["b"]), (2, texts["a"] + " more"), (3, texts["b"]), (4, texts["c"]), (4, texts["c"]), (None, texts["c"]),
+            (None, texts["d"]), (None, texts["d"]), (5, None), (5, ""), (5, ""), (None, " \n"), (None, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = collections.Counter((r.doc_id, r.text) for r in jaccard_join.keep_one_of_each(docs).collect())
+    assert kept == collections.Counter([(1, texts["a"]), (1, texts["b"]), (4, texts["c"]), (None, texts["d"]), (5, None), (5, ""), *rows[-2:]])
+
+
 def brute_vectors(rows, cosine=0.9):
     good = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
     units = [np.array(v, float) / np.linalg.norm(np.array(v, float) / np.abs(v).max()) / np.abs(v).max() if g else None for (_, v), g in zip(rows, good)]
