@@ -18,19 +18,45 @@ KEYS = ["currency", "trade_date"]
 UNQUOTED_EVERY = 7  # transactions whose currency key is mapped to one without rates
 
 
-def render_mixed(d):
-    """Three textual renderings of a date, picked by the row key."""
-    return F.col("o_orderkey") % 3, [F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "yyyy/MM/dd"),
-                                    F.date_format(d, "MMM dd yyyy")]
+def _ordinal(day):
+    """The day of month with its English ending."""
+    last = F.when(day.isin(11, 12, 13), 0).otherwise(day % 10)
+    return F.concat(day.cast("string"), F.when(last == 1, "st").when(last == 2, "nd").when(last == 3, "rd").otherwise("th"))
+
+
+#: Spellings of a full date, picked by the row key.
+SPELLINGS = [
+    lambda d: F.date_format(d, "yyyy-MM-dd"),
+    lambda d: F.date_format(d, "yyyy/MM/dd"),
+    lambda d: F.date_format(d, "MMM dd yyyy"),
+    lambda d: F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"),
+    lambda d: F.date_format(d, "yyyy-MM-dd HH:mm"),
+    lambda d: F.date_format(d, "dd-MMM-yy"),
+    lambda d: F.concat(F.date_format(d, "MMM "), _ordinal(F.day(d)), F.date_format(d, " yyyy")),
+    lambda d: F.date_format(d, "M/d/yy"),
+    lambda d: F.date_format(d, "MM-dd-yyyy"),
+    lambda d: F.date_format(d, "EEE MMM dd yyyy"),
+    lambda d: F.concat(F.lit("\u00a0"), F.date_format(d, "dd\u00a0MMMM\u00a0yyyy"), F.lit("\u2003")),
+    lambda d: F.date_format(d, "EEEE, MMMM d, yyyy 'at' hh:mm a"),
+    lambda d: F.date_format(d, "yyyyMMdd"),
+    lambda d: F.date_format(d, "yyyy.MM.dd"),
+]
+
+
+def render_mixed(d, key, spellings=SPELLINGS):
+    """A textual rendering of a date, picked by the row key."""
+    out = spellings[-1](d)
+    for n, spell in enumerate(spellings[:-1]):
+        out = F.when(key % len(spellings) == n, spell(d)).otherwise(out)
+    return out
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
-    sel, forms = render_mixed(F.col("o_orderdate"))
     return o.select(
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("client_id"),
-        F.when(sel == 0, forms[0]).when(sel == 1, forms[1]).otherwise(forms[2]).alias("trade_date"),
+        render_mixed(F.col("o_orderdate"), F.col("o_orderkey")).alias("trade_date"),
         F.when(F.col("o_orderkey") % UNQUOTED_EVERY == 0, F.concat(F.lit("X-"), "o_orderpriority"))
          .otherwise(F.col("o_orderpriority")).alias("currency"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount_local"),
@@ -92,37 +118,34 @@ def fx_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(normalize_keys(raw_rates(spark, sf_dir)), KEYS, 5)
 
 
+#: The spellings above and those whose reading depends on the date itself, padded, impossible or of half a date.
+MORE_SPELLINGS = [
+    *SPELLINGS,
+    lambda d: F.date_format(d, "dd-MMM-yyyy"),
+    lambda d: F.date_format(d, "MMMM dd yyyy"),
+    lambda d: F.date_format(d, "MM/dd/yyyy"),
+    lambda d: F.date_format(d, "dd/MM/yyyy"),
+    lambda d: F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd"), F.lit(" ")),
+    lambda d: F.concat(F.date_format(d, "yyyy"), F.lit("-02-30")),
+    lambda d: F.concat(F.lit("\u00a0"), F.date_format(d, "MMMM yyyy")),
+    lambda d: F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 25:00")),
+]
+
+
 def normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates rendered in eight spellings (one impossible) -> ISO or
-    ``FAILED: <text>``."""
+    """Order dates in many spellings (three without a date) -> ISO or ``FAILED: <text>``."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    d = F.col("o_orderdate")
-    k = F.col("o_orderkey") % 8
-    raw = (F.when(k == 0, F.date_format(d, "dd-MMM-yyyy"))
-            .when(k == 1, F.date_format(d, "yyyy/MM/dd"))
-            .when(k == 2, F.date_format(d, "MMM dd yyyy"))
-            .when(k == 3, F.date_format(d, "MMMM dd yyyy"))
-            .when(k == 4, F.date_format(d, "MM/dd/yyyy"))
-            .when(k == 5, F.date_format(d, "dd/MM/yyyy"))
-            .when(k == 6, F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd"), F.lit(" ")))
-            .otherwise(F.concat(F.date_format(d, "yyyy"), F.lit("-02-30"))))
+    raw = render_mixed(F.col("o_orderdate"), F.col("o_orderkey"), MORE_SPELLINGS)
     return with_iso_date(o.select(F.col("o_orderkey").alias("id"), raw.alias("raw")), "raw", "iso")
 
 
 _TX_SQL = """
-tx AS (
+txn AS (
   SELECT o_orderkey AS transaction_id, o_custkey AS client_id,
-         CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
-                             WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
-                             ELSE strftime(o_orderdate, '%b %d %Y') END AS raw_date,
+         CAST(o_orderdate AS DATE) AS trade_date,
          CASE WHEN o_orderkey % 7 = 0 THEN 'X-' || o_orderpriority ELSE o_orderpriority END AS currency,
          CAST(o_totalprice AS DECIMAL(18,2)) AS amount_local, 'orders' AS source
   FROM orders),
-txn AS (
-  SELECT * EXCLUDE (raw_date),
-         CAST(coalesce(try_strptime(raw_date, '%Y/%m/%d'), try_strptime(raw_date, '%b %d %Y'),
-                       try_strptime(raw_date, '%Y-%m-%d')) AS DATE) AS trade_date
-  FROM tx),
 fx AS (
   SELECT o_orderpriority AS currency, CAST(o_orderdate AS DATE) AS trade_date,
          CAST(1 + count(*) * 0.01 AS DECIMAL(10,4)) AS usd_rate, 'rates' AS source_fx
@@ -154,24 +177,38 @@ ORDER BY currency, trade_date LIMIT 5
 
 NORMALIZE_DATES_SQL = """
 WITH r AS (
-  SELECT o_orderkey AS id,
-         CASE o_orderkey % 8
-           WHEN 0 THEN strftime(o_orderdate, '%d-%b-%Y')
+  SELECT o_orderkey AS id, o_orderkey % 22 AS k, o_orderdate AS d,
+         CASE o_orderkey % 22
+           WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
            WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
            WHEN 2 THEN strftime(o_orderdate, '%b %d %Y')
-           WHEN 3 THEN strftime(o_orderdate, '%B %d %Y')
-           WHEN 4 THEN strftime(o_orderdate, '%m/%d/%Y')
-           WHEN 5 THEN strftime(o_orderdate, '%d/%m/%Y')
-           WHEN 6 THEN '  ' || strftime(o_orderdate, '%Y-%m-%d') || ' '
-           ELSE strftime(o_orderdate, '%Y') || '-02-30' END AS raw
-  FROM orders),
-p AS (
-  SELECT id, raw, trim(raw) AS s FROM r),
-q AS (
-  SELECT id, raw, s, coalesce(
-      try_strptime(s, '%d-%b-%Y'), try_strptime(s, '%Y/%m/%d'), try_strptime(s, '%b %d %Y'),
-      try_strptime(s, '%B %d %Y'), try_strptime(s, '%m/%d/%Y'), try_strptime(s, '%d/%m/%Y'),
-      try_strptime(s, '%Y-%m-%d')) AS d
-  FROM p)
-SELECT id, raw, CASE WHEN d IS NULL THEN 'FAILED: ' || s ELSE strftime(d, '%Y-%m-%d') END AS iso FROM q
+           WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+           WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M')
+           WHEN 5 THEN strftime(o_orderdate, '%d-%b-%y')
+           WHEN 6 THEN strftime(o_orderdate, '%b ') || day(o_orderdate)
+                       || CASE WHEN day(o_orderdate) IN (1, 21, 31) THEN 'st' WHEN day(o_orderdate) IN (2, 22) THEN 'nd'
+                               WHEN day(o_orderdate) IN (3, 23) THEN 'rd' ELSE 'th' END || strftime(o_orderdate, ' %Y')
+           WHEN 7 THEN month(o_orderdate) || '/' || day(o_orderdate) || strftime(o_orderdate, '/%y')
+           WHEN 8 THEN strftime(o_orderdate, '%m-%d-%Y')
+           WHEN 9 THEN strftime(o_orderdate, '%a %b %d %Y')
+           WHEN 10 THEN chr(160) || strftime(o_orderdate, '%d') || chr(160) || strftime(o_orderdate, '%B') || chr(160)
+                        || strftime(o_orderdate, '%Y') || chr(8195)
+           WHEN 11 THEN strftime(o_orderdate, '%A, %B ') || day(o_orderdate) || strftime(o_orderdate, ', %Y at %I:%M %p')
+           WHEN 12 THEN strftime(o_orderdate, '%Y%m%d')
+           WHEN 13 THEN strftime(o_orderdate, '%Y.%m.%d')
+           WHEN 14 THEN strftime(o_orderdate, '%d-%b-%Y')
+           WHEN 15 THEN strftime(o_orderdate, '%B %d %Y')
+           WHEN 16 THEN strftime(o_orderdate, '%m/%d/%Y')
+           WHEN 17 THEN strftime(o_orderdate, '%d/%m/%Y')
+           WHEN 18 THEN '  ' || strftime(o_orderdate, '%Y-%m-%d') || ' '
+           WHEN 19 THEN strftime(o_orderdate, '%Y') || '-02-30'
+           WHEN 20 THEN chr(160) || strftime(o_orderdate, '%B %Y')
+           ELSE strftime(o_orderdate, '%Y-%m-%d') || ' 25:00' END AS raw
+  FROM orders)
+SELECT id, raw, CASE WHEN k IN (19, 21) THEN 'FAILED: ' || raw
+                     WHEN k = 20 THEN 'FAILED: ' || strftime(d, '%B %Y')
+                     -- day first where the first number can be no month
+                     WHEN k = 17 AND day(d) <= 12 THEN strftime(d, '%Y-%d-%m')
+                     ELSE strftime(d, '%Y-%m-%d') END AS iso
+FROM r
 """

@@ -1,8 +1,11 @@
 import datetime as dt
+import random
+import warnings
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import normalize_date_string, parse_mixed_date
+from tessera.functions.dates import normalize_date_string, parse_mixed_date, with_mixed_date
 from tessera.functions.html import tag_attrs, tag_texts
 from tessera.functions.jsonx import claim_status, field_token, literal_token
 from tessera.functions.text import normalize_text, title_case
@@ -24,6 +27,57 @@ def test_normalize_dates(spark):
     assert got == list(cases.values()) + [None]
 
 
+#: Seventeen spellings of one day, texts that name no day, and readings of short numbers.
+SPELLED = ["2024-01-15T10:00:00", "2024-01-15 10:00", "15-Jan-24", "Jan 15th 2024", "1/15/24", "01-15-2024", "Mon Jan 15 2024",
+           "\u00a015\u00a0January\u2003 2024", "15th of January 2024", "Monday, January 15, 2024 at 3:04 PM", "2024/1/15 3pm",
+           "20240115T100059", "15Jan2024", "Jan. 15, '24", "10:00 2024-01-15", "2024-01-15T10:00:00.123+05:30", "15/01/2024"]
+UNREADABLE = ["2024-02-30", "29 Feb 2023", "2024-15-01", "Jan 2024", "15 Jan", "10:30", "Sunday", "2024-01-15 25:00",
+              "2024-01-15 12:61", "2024-01-15 13:00 pm", "Jan Feb 2024", "1 2 3 4", "2024015", "", "the day after", "(Jan 15 2024)",
+              "Jan 15 2024 or so", "2024-W03-1", "13/13/2024"]
+
+
+def test_dates_of_any_spelling(spark):
+    assert one_col(spark, SPELLED, normalize_date_string) == ["2024-01-15"] * len(SPELLED)
+    assert one_col(spark, UNREADABLE, normalize_date_string) == [f"FAILED: {s}" for s in UNREADABLE]
+    short = {"1/2/3": "2003-01-02", "13/2/3": "2003-02-13", "32/2/3": "2032-02-03", "Jan 2 3": "2003-01-02", "2 Jan 3": "2003-01-02",
+             "2 3 Jan": "2002-01-03", "Jan 42 3": "2042-01-03", "42 Jan 3": "2042-01-03", "3 42 Jan": "2042-01-03",
+             "1/1/69": "2069-01-01", "1/1/70": "1970-01-01"}
+    assert one_col(spark, list(short), normalize_date_string) == list(short.values())
+    assert one_col(spark, ["1/1/69", "1/1/70"], lambda c: parse_mixed_date(c, 1950)) == [dt.date(1969, 1, 1), dt.date(1970, 1, 1)]
+
+
+def test_dates_like_a_free_form_parser(spark):
+    """Against dateutil's parser, which fills missing parts from a default: texts that two defaults tell apart are partial."""
+    parser = pytest.importorskip("dateutil.parser")
+    rng, texts = random.Random(1), [*SPELLED, *UNREADABLE]
+    months = ["Jan", "February", "mar", "APR", "May", "june", "Jul", "Aug", "Sept", "October", "nov", "December"]
+    for _ in range(1500):
+        t = [str(rng.choice([rng.randint(1, 12), rng.randint(1, 31), rng.randint(1, 99), rng.randint(1980, 2050)])) for _ in range(3)]
+        t = [x.zfill(2) if rng.random() < .5 else x for x in t]
+        if rng.random() < .5:
+            t[rng.randrange(3)] = rng.choice(months)
+        s = rng.choice([" ", "-", "/", ".", ", ", " - ", "  "]).join(t)
+        s += rng.choice(["", "", "", " 10:00", "T10:00:00", " 3pm", " 11:59 PM", " 23:59:60", " 7:05:09.5 am", " 10:00 UTC"])
+        texts.append(rng.choice(["", "", "", "Mon ", "Tuesday, "]) + s)
+
+    def expected(s):
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                a, b = (parser.parse(s.strip(), default=d).date() for d in (dt.datetime(2001, 1, 1), dt.datetime(2002, 2, 2)))
+        except (ValueError, OverflowError):
+            return None
+        return a if a == b else None
+
+    window = dt.date.today().year - 50  # that parser's own rule for two-digit years
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, s string").repartition(4)
+    got = {r.i: r.d for r in with_mixed_date(df, "s", "d", window).collect()}
+    assert sum(d is not None for d in got.values()) > 500
+    assert {texts[i]: d for i, d in got.items()} == {s: expected(s) for s in texts}
+    again = {r[0]: r[1] for r in df.select("i", parse_mixed_date(F.col("s"), window)).collect()}
+    assert again == got
+
+
 def test_parse_mixed_date(spark):
     got = one_col(spark, ["Jan 02 2024", "2024/01/01"], parse_mixed_date)
     assert got == [dt.date(2024, 1, 2), dt.date(2024, 1, 1)]
