@@ -1,24 +1,18 @@
 """Skew-safe ordered scans per key (running aggregates and lags).
 
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a
-key holding a third of the data would then run in a single task. Here the
-rows are range-partitioned on ``(key, order)`` instead, so a hot key is cut
-into contiguous chunks spread over many tasks:
-
-1. ``repartitionByRange(P, key, order)``; tag rows with the chunk id ``_pid``.
-2. Local windows over ``(_pid, key)``: running sum/max/min/count and lags.
-3. One summary row per ``(_pid, key)`` chunk: totals and its last ``L`` values.
-4. Carry: a window over the (small) summary table, ordered by ``_pid``, gives
-   what precedes each chunk (prefix totals, previous chunks' tail values).
-5. Join the carry back on ``(_pid, key)`` and combine.
-
-Step 2's output is cut from its lineage with a reliable ``checkpoint()`` so
-that the chunk ids seen by steps 3-5 come from a single range shuffle.
-
-Rows with identical sort keys never straddle a chunk border (range bounds
-are on the sort key), so the result equals a single ordered pass per key.
-The summary has at most ``#keys + P`` rows, and each key spans at most P
-chunks, so every shuffle stays bounded whatever the key distribution.
+A plain ``Window.partitionBy(key)`` sends every row of a key to one task. That is right for a key of moderate size, and
+only such keys go that way here. The rows of a larger key are cut into chunks that follow one another in its order:
+
+1. Keys with more than ``chunk_rows`` rows are found by a partial count. There are at most ``rows / chunk_rows`` of them.
+2. Of their rows, those whose order value hashes to 0 are a sample; every 32nd of a key's sorted sample is a cut. A row's
+   chunk is the number of cuts not after it: a function of the row alone, so no task failure can change it, and equal
+   order values share a chunk.
+3. First pass: one summary per chunk (count, sum, max, min by partial aggregates; its last values by a group limit that
+   works on the map side). A window over the summaries gives what precedes and follows each chunk.
+4. Second pass: one shuffle by (key, chunk), the local windows, and a join with the carry of the chunk.
+
+Nothing but the cuts is checkpointed; the input is read once for the counts and once for the scan, and the rows of
+large keys once each for sample and summaries. Where no key is large the scan is a plain window and its one shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +24,13 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+#: Rows of a key that one task takes.
+CHUNK_ROWS = 1_000_000
+#: Sampled rows per chunk.
+SAMPLED = 32
+#: Summaries that may be broadcast; each is a key and a few values.
+BROADCAST_CHUNKS = 100_000
+
 _UNB = Window.unboundedPreceding
 
 
@@ -37,127 +38,133 @@ def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _packed(columns: Sequence[Column]) -> Column:
+    """One value of several; parts that are NULL are equal to each other and come first."""
+    return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def large_keys(df: DataFrame, keys: Sequence[str], chunk_rows: int) -> DataFrame:
+    """(_k, _n) of the keys with more rows than ``chunk_rows``."""
+    return (df.groupBy(_packed(_cols(keys)).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > chunk_rows))
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk_rows: int) -> tuple[DataFrame, int] | None:
+    """(_k, _cuts ascending) of every large key and the number of all cuts; None where no key is large."""
+    large = large_keys(df, keys, chunk_rows)
+    found = large.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
+    if not found["keys"]:
+        return None
+    chunks = found["keys"] + 2 * found["rows"] // chunk_rows
+    rows = df.select(_packed(_cols(keys)).alias("_k"), _packed(order).alias("_at"))
+    sample = (_join(rows, large.select("_k"), ["_k"], found["keys"])
+              .where(F.pmod(F.xxhash64("_at"), F.lit(max(1, chunk_rows // SAMPLED))) == 0))
+    nth = F.row_number().over(Window.partitionBy("_k").orderBy("_at"))
+    cuts = (sample.withColumn("_nth", nth).where(F.col("_nth") % SAMPLED == 0)
+            .groupBy("_k").agg(F.array_sort(F.collect_list("_at")).alias("_cuts")))
+    return cut_lineage(cuts), chunks
+
+
+def _join(big: DataFrame, small: DataFrame, on: list[str], rows: int, how: str = "inner") -> DataFrame:
+    """``small`` is broadcast when its counted rows are few."""
+    return big.join(F.broadcast(small) if rows <= BROADCAST_CHUNKS else small, on, how)
+
+
+def _place(cuts: Column, at: Column) -> Column:
+    """How many of the ascending ``cuts`` are not after ``at``: a binary search, 0 without cuts."""
+    steps = F.sequence(F.ceil(F.log2(F.size(cuts) + F.lit(1))).cast("int"), F.lit(0), F.lit(-1))
+    return F.when(cuts.isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), lambda low, s: F.when(
+        F.get(cuts, low + F.pow(F.lit(2), s).cast("int") - 1) <= at, low + F.pow(F.lit(2), s).cast("int")).otherwise(low)))
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str | None = None,
-               lags: int = 0, partitions: int | None = None, prefix: str = "",
+               lags: int = 0, chunk_rows: int | None = None, prefix: str = "",
                running: bool = True, suffix: bool = False) -> DataFrame:
     """Add per-key ordered-scan columns to ``df``.
 
-    ``order`` must be a total order inside each key (add a unique id).
+    ``order`` must be a total order inside each key (add a unique id), given as columns that ascend, NULL first.
     Always added: ``{prefix}rn`` (1-based position in the key).
     With ``value``: ``{prefix}run_sum``, ``run_max``, ``run_min``,
     ``run_cnt`` (non-null count) up to and including the row, and
     ``lag1..lag{lags}`` (value ``k`` rows earlier, NULL before the start).
     ``running=False`` skips the running aggregates (any value type).
     ``suffix=True`` also adds ``suf_sum``, ``suf_max``, ``suf_min`` over the
-    row and everything after it in the key, from the same pass (local window
-    to the end of the chunk plus a carry from the following chunks).
+    row and everything after it in the key, from the same pass.
     Sums are combined chunk by chunk, so for floating-point values the last
     bits may differ from a strictly sequential sum; integer and DECIMAL sums
     are exact (money is DECIMAL throughout the library).
-    Catalyst prunes whatever the caller does not select.
+    Rows with a NULL in a key are a key like any other.
     """
-    keys = list(keys)
-    order = _cols(order)
-    p = prefix
-
-    # Without an explicit count AQE may merge small neighbouring ranges;
-    # merged ranges are still contiguous, so chunk ids keep key order.
-    part_cols = [*[F.col(k) for k in keys], *order]
-    ranged = (df.repartitionByRange(partitions, *part_cols) if partitions else df.repartitionByRange(*part_cols)) \
-        .withColumn("_pid", F.spark_partition_id())
-    w_run = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(_UNB, 0)
-    w_ord = Window.partitionBy("_pid", *keys).orderBy(*order)
-
-    local_cols = [F.row_number().over(w_ord).alias("_l_rn")]
-    run = value is not None and running
-    if value is not None:
-        v = F.col(value)
+    keys, order, p = list(keys), _cols(order), prefix
+    chunk_rows = chunk_rows or CHUNK_ROWS
+    run, suffix = value is not None and running, value is not None and suffix
+    found = _cuts(df, keys, order, chunk_rows)
+    if found is None:
+        return df.select("*", *_local(_cols(keys), order, value, lags, p, run, suffix))
+
+    cuts, chunks = found
+    own = df.select("*", _packed(_cols(keys)).alias("_k"), _packed(order).alias("_at"))
+    tagged = _join(own, cuts, ["_k"], chunks, "left").withColumn("_chunk", _place(F.col("_cuts"), F.col("_at"))).drop("_cuts")
+    cut = _join(own, cuts, ["_k"], chunks).withColumn("_chunk", _place(F.col("_cuts"), F.col("_at")))
+    local = tagged.select("*", *_local([F.col("_k"), F.col("_chunk")], order, value, lags, "_l_", run, suffix))
+    out = _join(local, _carry(cut, value, lags, run, suffix), ["_k", "_chunk"], chunks, "left")
+
+    def add(before: str, own: str) -> Column:
+        return F.when(F.col(before).isNull(), F.col(own)).when(F.col(own).isNull(), F.col(before)) \
+                .otherwise(F.col(before) + F.col(own))
+
+    res = [add("_c_n", "_l_rn").alias(f"{p}rn")]
     if run:
-        local_cols += [
-            F.sum(v).over(w_run).alias("_l_sum"),
-            F.max(v).over(w_run).alias("_l_max"),
-            F.min(v).over(w_run).alias("_l_min"),
-            F.count(v).over(w_run).alias("_l_cnt"),
-        ]
-    if value is not None and suffix:
-        w_suf = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-        local_cols += [F.sum(v).over(w_suf).alias("_l_ssum"), F.max(v).over(w_suf).alias("_l_smax"),
-                       F.min(v).over(w_suf).alias("_l_smin")]
-    if value is not None:
-        local_cols += [F.lag(v, k).over(w_ord).alias(f"_l_lag{k}") for k in range(1, lags + 1)]
-    # Materialise once (reliable checkpoint in the shared folder): both the
-    # summary and the join-back read the same rows with the same ``_pid``,
-    # upstream work is not recomputed per branch, and the recorded
-    # (_pid, key) partitioning spares the big side any further shuffle.
-    local = cut_lineage(ranged.select("*", *local_cols))
-
-    # Summary per chunk; ``local`` is already clustered by (_pid, keys).
-    last_key = F.col("_l_rn")
-    summ_aggs = [F.max("_l_rn").alias("_s_n")]
-    if run or (value is not None and suffix):
-        summ_aggs += [
-            F.sum(value).alias("_s_sum"),
-            F.max(value).alias("_s_max"),
-            F.min(value).alias("_s_min"),
-            F.count(value).alias("_s_cnt"),
-        ]
-    if value is not None:
-        if lags:
-            # tail = last ``lags`` values of the chunk, oldest first
-            tail_parts = [F.max_by(F.col(f"_l_lag{k}"), last_key) for k in range(lags - 1, 0, -1)]
-            tail_parts.append(F.max_by(F.col(value), last_key))
-            summ_aggs.append(F.array(*tail_parts).alias("_s_tail_full"))
-    summary = local.groupBy("_pid", *keys).agg(*summ_aggs)
-    if value is not None and lags:
-        summary = summary.withColumn(
-            "_s_tail", F.slice("_s_tail_full", F.greatest(F.lit(lags) - F.col("_s_n"), F.lit(0)) + 1, lags))
-
-    w_prev = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB, -1)
-    carry_cols = [F.coalesce(F.sum("_s_n").over(w_prev), F.lit(0)).alias("_c_n")]
-    if value is not None and suffix:
-        w_next = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(1, Window.unboundedFollowing)
-        carry_cols += [F.sum("_s_sum").over(w_next).alias("_cf_sum"), F.max("_s_max").over(w_next).alias("_cf_max"),
-                       F.min("_s_min").over(w_next).alias("_cf_min")]
+        res += [add("_c_sum", "_l_run_sum").alias(f"{p}run_sum"), F.greatest("_c_max", "_l_run_max").alias(f"{p}run_max"),
+                F.least("_c_min", "_l_run_min").alias(f"{p}run_min"), add("_c_cnt", "_l_run_cnt").alias(f"{p}run_cnt")]
+    if suffix:
+        res += [add("_f_sum", "_l_suf_sum").alias(f"{p}suf_sum"), F.greatest("_f_max", "_l_suf_max").alias(f"{p}suf_max"),
+                F.least("_f_min", "_l_suf_min").alias(f"{p}suf_min")]
+    for k in range(1, lags + 1 if value is not None else 1):
+        # inside the chunk when k < local position; else so far back in the values before the chunk
+        back = F.get(F.col("_c_tail"), F.size("_c_tail") - (F.lit(k) - F.col("_l_rn")) - 1)
+        res.append(F.when(F.col("_l_rn") > k, F.col(f"_l_lag{k}")).otherwise(back).alias(f"{p}lag{k}"))
+    return out.select(*df.columns, *res)
+
+
+def _local(keys: list[Column], order: list[Column], value: str | None, lags: int, p: str, run: bool,
+           suffix: bool) -> list[Column]:
+    """The scan's columns by windows over ``keys``."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    cols = [F.row_number().over(w).cast("bigint").alias(f"{p}rn")]
     if run:
-        carry_cols += [
-            F.sum("_s_sum").over(w_prev).alias("_c_sum"),
-            F.max("_s_max").over(w_prev).alias("_c_max"),
-            F.min("_s_min").over(w_prev).alias("_c_min"),
-            F.coalesce(F.sum("_s_cnt").over(w_prev), F.lit(0)).alias("_c_cnt"),
-        ]
+        so_far = w.rowsBetween(_UNB, 0)
+        cols += [f(value).over(so_far).alias(f"{p}run_{n}")
+                 for n, f in (("sum", F.sum), ("max", F.max), ("min", F.min), ("cnt", F.count))]
+    if suffix:
+        rest = w.rowsBetween(0, Window.unboundedFollowing)
+        cols += [f(value).over(rest).alias(f"{p}suf_{n}") for n, f in (("sum", F.sum), ("max", F.max), ("min", F.min))]
     if value is not None:
-        if lags:
-            w_tail = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(-lags, -1)
-            flat = F.flatten(F.collect_list("_s_tail").over(w_tail))
-            carry_cols.append(flat.alias("_c_tail"))
-    carry = summary.select("_pid", *keys, *carry_cols)
-
-    out = local.join(carry, ["_pid", *keys], "left")
-    res = [(F.col("_c_n") + F.col("_l_rn")).alias(f"{p}rn")]
+        cols += [F.lag(value, k).over(w).alias(f"{p}lag{k}") for k in range(1, lags + 1)]
+    return cols
+
+
+def _carry(rows: DataFrame, value: str | None, lags: int, run: bool, suffix: bool) -> DataFrame:
+    """(_k, _chunk) with what lies before (``_c_``) and after (``_f_``) each chunk of the large keys."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if run or suffix:
+        aggs += [F.sum(value).alias("_sum"), F.max(value).alias("_max"), F.min(value).alias("_min"), F.count(value).alias("_cnt")]
+    summary = rows.groupBy("_k", "_chunk").agg(*aggs)
+    if value is not None and lags:
+        last = Window.partitionBy("_k", "_chunk").orderBy(F.desc("_at"))
+        tail = (rows.select("_k", "_chunk", "_at", F.col(value).alias("_v")).withColumn("_nth", F.row_number().over(last))
+                .where(F.col("_nth") <= lags).groupBy("_k", "_chunk")
+                .agg(F.array_sort(F.collect_list(F.struct(F.negative("_nth").alias("nth"), F.col("_v").alias("v")))).alias("_tail")))
+        summary = summary.join(tail.withColumn("_tail", F.col("_tail.v")), ["_k", "_chunk"])
+    key = Window.partitionBy("_k").orderBy("_chunk")
+    before, after = key.rowsBetween(_UNB, -1), key.rowsBetween(1, Window.unboundedFollowing)
+    cols = [F.sum("_n").over(before).alias("_c_n")]
     if run:
-        sum_null = F.col("_c_sum").isNull() & F.col("_l_sum").isNull()
-        res += [
-            F.when(sum_null, None).otherwise(F.coalesce("_c_sum", F.lit(0)) + F.coalesce("_l_sum", F.lit(0)))
-             .alias(f"{p}run_sum"),
-            F.greatest("_c_max", "_l_max").alias(f"{p}run_max"),
-            F.least("_c_min", "_l_min").alias(f"{p}run_min"),
-            (F.col("_c_cnt") + F.col("_l_cnt")).alias(f"{p}run_cnt"),
-        ]
-    if value is not None and suffix:
-        ssum_null = F.col("_cf_sum").isNull() & F.col("_l_ssum").isNull()
-        res += [
-            F.when(ssum_null, None).otherwise(F.coalesce("_cf_sum", F.lit(0)) + F.coalesce("_l_ssum", F.lit(0)))
-             .alias(f"{p}suf_sum"),
-            F.greatest("_cf_max", "_l_smax").alias(f"{p}suf_max"),
-            F.least("_cf_min", "_l_smin").alias(f"{p}suf_min"),
-        ]
-    if value is not None:
-        for k in range(1, lags + 1):
-            # inside the chunk when k < local rn; else from the carried tail
-            from_tail = F.element_at(F.col("_c_tail"), F.size("_c_tail") - (F.lit(k) - F.col("_l_rn")))
-            back = F.lit(k) - F.col("_l_rn")  # 0-based distance into the tail from its end
-            res.append(F.when(F.col("_l_rn") > k, F.col(f"_l_lag{k}"))
-                        .when(F.size("_c_tail") > back, from_tail)
-                        .otherwise(F.lit(None)).alias(f"{p}lag{k}"))
-    keep = [c for c in df.columns]
-    return out.select(*keep, *res)
+        cols += [F.sum("_sum").over(before).alias("_c_sum"), F.max("_max").over(before).alias("_c_max"),
+                 F.min("_min").over(before).alias("_c_min"), F.sum("_cnt").over(before).alias("_c_cnt")]
+    if suffix:
+        cols += [F.sum("_sum").over(after).alias("_f_sum"), F.max("_max").over(after).alias("_f_max"),
+                 F.min("_min").over(after).alias("_f_min")]
+    if value is not None and lags:
+        cols.append(F.flatten(F.collect_list("_tail").over(key.rowsBetween(-lags, -1))).alias("_c_tail"))
+    return summary.select("_k", "_chunk", *cols)

@@ -238,7 +238,7 @@ def avg_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     Distinct (customer, amount) counts first, then a skew-safe running count."""
     e = enriched_orders(spark, sf_dir).select("order_id", "customer_id", "amount")
     d = e.groupBy("customer_id", "amount").agg(F.count(F.lit(1)).alias("c"))
-    s = keyed_scan(d, ["customer_id"], [F.desc("amount")], "c")
+    s = keyed_scan(d, ["customer_id"], [F.col("amount").isNull(), -F.col("amount")], "c")
     r = s.select("customer_id", "amount",
                  (F.col("run_sum") - (F.col("c") - 1) / F.lit(2.0)).cast("double").alias("amount_rank"))
     return e.join(r, ["customer_id", "amount"], "inner").select("order_id", "customer_id", "amount", "amount_rank")

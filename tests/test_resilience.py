@@ -32,7 +32,7 @@ SCRIPT = textwrap.dedent("""
     base = ev.select(F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("k"),
                      "ts", "event_id", F.round(F.col("value") * 100).cast("long").alias("value")).repartition(8)
     bad = base.withColumn("value", flaky("value"))
-    got = keyed_scan(bad, ["k"], [F.col("ts"), F.col("event_id")], "value", lags=2, partitions=6)
+    got = keyed_scan(bad, ["k"], [F.col("ts"), F.col("event_id")], "value", lags=2, chunk_rows=40)
     w = Window.partitionBy("k").orderBy("ts", "event_id")
     want = base.select("*", F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run_sum"),
                        F.lag("value", 2).over(w).alias("lag2"))

@@ -55,7 +55,7 @@ def run(mode: str, sf_dir: str) -> dict:
         w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
         out = hot.select("*", F.sum("value").over(w).alias("run_sum"))
     else:
-        out = keyed_scan(hot, ["user_id"], [F.col("ts"), F.col("event_id")], "value", partitions=PARTS)
+        out = keyed_scan(hot, ["user_id"], [F.col("ts"), F.col("event_id")], "value", chunk_rows=n // PARTS)
     out.write.format("noop").mode("overwrite").save()
     spark.stop()
     return {"mode": mode, "rows": n, "hot_key_rows": n // 3, "max_rows_one_task": max_task_records(log_dir)}
