@@ -18,37 +18,22 @@ KEYS = ["currency", "trade_date"]
 UNQUOTED_EVERY = 7  # transactions whose currency key is mapped to one without rates
 
 
-def _ordinal(day):
-    """The day of month with its English ending."""
+def _ending(day):
+    """The English ending of a day's number."""
     last = F.when(day.isin(11, 12, 13), 0).otherwise(day % 10)
-    return F.concat(day.cast("string"), F.when(last == 1, "st").when(last == 2, "nd").when(last == 3, "rd").otherwise("th"))
-
-
-#: Spellings of a full date, picked by the row key.
-SPELLINGS = [
-    lambda d: F.date_format(d, "yyyy-MM-dd"),
-    lambda d: F.date_format(d, "yyyy/MM/dd"),
-    lambda d: F.date_format(d, "MMM dd yyyy"),
-    lambda d: F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"),
-    lambda d: F.date_format(d, "yyyy-MM-dd HH:mm"),
-    lambda d: F.date_format(d, "dd-MMM-yy"),
-    lambda d: F.concat(F.date_format(d, "MMM "), _ordinal(F.day(d)), F.date_format(d, " yyyy")),
-    lambda d: F.date_format(d, "M/d/yy"),
-    lambda d: F.date_format(d, "MM-dd-yyyy"),
-    lambda d: F.date_format(d, "EEE MMM dd yyyy"),
-    lambda d: F.concat(F.lit("\u00a0"), F.date_format(d, "dd\u00a0MMMM\u00a0yyyy"), F.lit("\u2003")),
-    lambda d: F.date_format(d, "EEEE, MMMM d, yyyy 'at' hh:mm a"),
-    lambda d: F.date_format(d, "yyyyMMdd"),
-    lambda d: F.date_format(d, "yyyy.MM.dd"),
-]
+    return F.when(last == 1, "st").when(last == 2, "nd").when(last == 3, "rd").otherwise("th")
+
+
+#: Spellings of a full date; ~ stands for the ending of the day's number.
+SPELLINGS = ["yyyy-MM-dd", "yyyy/MM/dd", "MMM dd yyyy", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "dd-MMM-yy", "MMM d'~' yyyy",
+             "M/d/yy", "MM-dd-yyyy", "EEE MMM dd yyyy", "\u00a0dd\u00a0MMMM\u00a0yyyy\u2003", "EEEE, MMMM d, yyyy 'at' hh:mm a",
+             "yyyyMMdd", "yyyy.MM.dd"]
 
 
 def render_mixed(d, key, spellings=SPELLINGS):
-    """A textual rendering of a date, picked by the row key."""
-    out = spellings[-1](d)
-    for n, spell in enumerate(spellings[:-1]):
-        out = F.when(key % len(spellings) == n, spell(d)).otherwise(out)
-    return out
+    """A textual rendering of a date, in the spelling that the row key picks."""
+    spelling = F.replace(F.get(F.array(*map(F.lit, spellings)), key % len(spellings)), F.lit("~"), _ending(F.day(d)))
+    return F.call_function("date_format", d, spelling)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,17 +104,8 @@ def fx_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The spellings above and those whose reading depends on the date itself, padded, impossible or of half a date.
-MORE_SPELLINGS = [
-    *SPELLINGS,
-    lambda d: F.date_format(d, "dd-MMM-yyyy"),
-    lambda d: F.date_format(d, "MMMM dd yyyy"),
-    lambda d: F.date_format(d, "MM/dd/yyyy"),
-    lambda d: F.date_format(d, "dd/MM/yyyy"),
-    lambda d: F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd"), F.lit(" ")),
-    lambda d: F.concat(F.date_format(d, "yyyy"), F.lit("-02-30")),
-    lambda d: F.concat(F.lit("\u00a0"), F.date_format(d, "MMMM yyyy")),
-    lambda d: F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 25:00")),
-]
+MORE_SPELLINGS = [*SPELLINGS, "dd-MMM-yyyy", "MMMM dd yyyy", "MM/dd/yyyy", "dd/MM/yyyy", "  yyyy-MM-dd ", "yyyy'-02-30'",
+                  "\u00a0MMMM yyyy", "yyyy-MM-dd' 25:00'"]
 
 
 def normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
