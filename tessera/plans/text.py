@@ -60,16 +60,25 @@ def write_export(conversations: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("conv_id").text(path)
 
 
-def tag_text(spark, sf_dir, tag: str = "h1"):
+#: Added to the pages, picked by id: nested elements, references by name and number, an element that is never closed, and
+#: attributes with marks in their values, repeated, without a value and bare.
+NESTED = ["<h1>x<h1>y</h1>z</h1>", '<h1 title="1>2">caf&eacute; &#8217;&#x2014;&nope;</h1>', "<h1>open <b>end", ""]
+LINKS = ['<a title="1>2" href="k">', "<a href='first' HREF='a&amp;b&eacute;&#8217;'>", "<a href>", '<a data-href="no" href = bare/x>']
+
+
+def with_markup(spark, sf_dir, added) -> DataFrame:
     p = table(spark, sf_dir, "pages", "page_id", "html")
-    return p.select("page_id", F.posexplode(tag_texts(F.col("html"), tag)).alias("pos", "text")) \
-            .withColumn("pos", F.col("pos").cast("bigint"))
+    return p.withColumn("html", F.concat("html", F.get(F.array(*map(F.lit, added)), F.col("page_id") % len(added))))
+
+
+def tag_text(spark, sf_dir, tag: str = "h1"):
+    return with_markup(spark, sf_dir, NESTED).select("page_id", F.posexplode(tag_texts(F.col("html"), tag)).alias("pos", "text")) \
+        .withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def tag_attr(spark, sf_dir, tag: str = "a", attr: str = "href"):
-    p = table(spark, sf_dir, "pages", "page_id", "html")
-    return p.select("page_id", F.posexplode(tag_attrs(F.col("html"), tag, attr)).alias("pos", "value")) \
-            .withColumn("pos", F.col("pos").cast("bigint"))
+    return with_markup(spark, sf_dir, LINKS).select("page_id", F.posexplode(tag_attrs(F.col("html"), tag, attr)).alias("pos", "value")) \
+        .withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def string_ops(spark, sf_dir):
@@ -174,8 +183,13 @@ def _unescape_sql(x):
 TAG_TEXT_SQL = f"""
 WITH l AS (SELECT page_id, regexp_extract_all({_clean_html('html')}, '(?is)<h1(?:[\\s/][^>]*)?>(.*?)</h1\\s*>', 1) AS xs
            FROM pages),
-u AS (SELECT page_id, unnest(xs) AS x, generate_subscripts(xs, 1) - 1 AS pos FROM l)
-SELECT page_id, CAST(pos AS BIGINT) AS pos, {_unescape_sql("regexp_replace(x, '<[^>]*>', '', 'g')")} AS text FROM u
+own AS (SELECT page_id, unnest(xs) AS x, generate_subscripts(xs, 1) - 1 AS pos FROM l),
+added AS (SELECT page_id, len(xs) AS n, CASE page_id % 4 WHEN 0 THEN ['xyz', 'y']
+                 WHEN 1 THEN ['caf' || chr(233) || ' ' || chr(8217) || chr(8212) || '&nope;']
+                 WHEN 2 THEN ['open end'] ELSE [] END AS ys FROM l)
+SELECT page_id, CAST(pos AS BIGINT) AS pos, {_unescape_sql("regexp_replace(x, '<[^>]*>', '', 'g')")} AS text FROM own
+UNION ALL
+SELECT page_id, CAST(n + generate_subscripts(ys, 1) - 1 AS BIGINT), unnest(ys) FROM added
 """
 
 TAG_ATTR_SQL = f"""
@@ -185,6 +199,9 @@ WITH l AS (SELECT page_id,
 q AS (SELECT page_id, unnest(xs) AS y, generate_subscripts(xs, 1) - 1 AS pos FROM l),
 u AS (SELECT page_id, pos, CASE WHEN y[1] IN ('"', '''') THEN y[2:length(y) - 1] ELSE y END AS x FROM q)
 SELECT page_id, CAST(pos AS BIGINT) AS pos, {_unescape_sql('x')} AS value FROM u
+UNION ALL
+SELECT page_id, CAST(len(xs) AS BIGINT), CASE page_id % 4 WHEN 0 THEN 'k' WHEN 1 THEN 'a&b' || chr(233) || chr(8217)
+                                                          WHEN 2 THEN '' ELSE 'bare/x' END FROM l
 """
 
 

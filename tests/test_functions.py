@@ -1,12 +1,13 @@
 import datetime as dt
 import random
 import warnings
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import normalize_date_string, parse_mixed_date, with_mixed_date
-from tessera.functions.html import tag_attrs, tag_texts
+from tessera.functions.html import VOID, tag_attrs, tag_texts
 from tessera.functions.jsonx import claim_status, field_token, literal_token
 from tessera.functions.text import normalize_text, title_case
 
@@ -162,3 +163,58 @@ def test_attributes_and_noise_in_document_order(spark):
 def test_field_with_a_dot(spark):
     df = spark.createDataFrame([('{"a.b": 1, "a": {"b": 2}}',)], "s string")
     assert df.select(field_token(F.col("s"), "a.b") == literal_token("1")).first()[0]
+
+
+class Tree(HTMLParser):
+    """Texts and attributes by a stack of open elements; an end tag closes what is open above its element."""
+
+    def __init__(self, tag, attr):
+        super().__init__(convert_charrefs=True)
+        self.tag, self.attr, self.stack, self.found, self.values = tag, attr, [], [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == self.tag:
+            self.found.append([])
+            if self.attr in dict(attrs):
+                self.values.append(dict(attrs)[self.attr] or "")
+        if tag not in VOID:
+            self.stack.append((tag, self.found[-1] if tag == self.tag else None))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.stack.pop()
+
+    def handle_endtag(self, tag):
+        if tag in [t for t, _ in self.stack]:
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        for _, texts in self.stack:
+            if texts is not None:
+                texts.append(data)
+
+
+def test_html_like_a_tree(spark):
+    rng, pages = random.Random(8), [
+        "<div>x<div>y</div>z</div>", "<div title='a>b'>caf&eacute;&#8217;&#x2014; &amp;lt; &nope; &#150;&#0;&#xD800;</div><div>open <b>e",
+        "no tags < here", "<p><div>a<div/>b</p>c</div><DIV>q</DIV >", '<a title="1>2" href="k">', "<a href='1' HREF='2&quot;'>",
+        "<a href><a hreflang=x><a data-href='no' href = bare/x>", "<a href=it's><a\nhref='say \"x\"'/>", ""]
+    parts = ["<div>", "<div class='x>y'>", "</div>", "<p>", "</p>", "<br>", "<b>", "</b>", "<a href=one>", "<a href='t&amp;o'>", "</a>",
+             "<a id=x href>", "text ", "&lt;", "&eacute;", "&#65;", " more", "<div/>", "<img href=no>"]
+    pages += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)] + [(-1, None)], "i int, h string").repartition(4)
+    rows = df.select("i", tag_texts(F.col("h"), "div"), tag_attrs(F.col("h"), "a", "href")).collect()
+    for i, texts, values in rows:
+        if i < 0:
+            assert texts is None and values is None
+            continue
+        tree = Tree("div", None)
+        tree.feed(pages[i])
+        tree.close()
+        links = Tree("a", "href")
+        links.feed(pages[i])
+        links.close()
+        assert texts == ["".join(t) for t in tree.found], pages[i]
+        assert values == links.values, pages[i]
