@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds, local_day as local_day_of, seconds_to_window_end, tumbling_index
-from ..functions.jsonx import canonical_json, claim_status as claim_rule, record_checksum
+from ..functions.jsonx import canonical_json, claim_status as claim_rule, field_text, record_checksum
 from ..operators import changelog as kv
 from ..operators.admission import sliding_admission as admit
 from ..operators.joins import band_match, first_offset_pair, zero_sum_triples
@@ -192,9 +192,19 @@ def claim_status(spark, sf_dir):
     return e.select("event_id", claim_rule(claims_column(), now.cast("double"), AUDIENCE).alias("status"))
 
 
+def written_props():
+    """Properties as they might be written, picked by id: as they are, in an object with other fields, with a repeated
+    field, with text after the value, and as no JSON at all."""
+    k = F.col("event_id") % 5
+    return (F.when(k == 1, F.concat(F.lit('{ "b" : 1.0,\t"a":"x : \\\\\\"y" , "p":'), "props", F.lit(' }')))
+             .when(k == 2, F.concat(F.lit('{"k":1e5, "k" : '), k_of().cast("string"), F.lit("}")))
+             .when(k == 3, F.concat("props", F.lit(" x"))).when(k == 4, F.lit("k=v")).otherwise(F.col("props")))
+
+
 def json_ops(spark, sf_dir):
-    e = events(spark, sf_dir, "event_id", "event_type", "value", "props")
+    e = events(spark, sf_dir, "event_id", "event_type", "value", "props").withColumn("written", written_props())
     return e.select("event_id", canonical_json(F.col("props")).alias("props_json"), k_of().alias("k"),
+                    canonical_json(F.col("written")).alias("written_json"), field_text(F.col("written"), "k").alias("written_k"),
                     F.to_json(F.struct("event_id", "event_type", "value"))
                     .alias("row_json"))
 
@@ -421,6 +431,10 @@ SELECT event_id, CASE WHEN coalesce(exp, 0) < now THEN 'expired' WHEN aud <> 'ot
 
 JSON_OPS_SQL = f"""
 SELECT event_id, CAST(json(props) AS VARCHAR) AS props_json, k,
+       CASE event_id % 5 WHEN 1 THEN '{{"b":1.0,"a":"x : \\\\\\"y","p":' || CAST(json(props) AS VARCHAR) || '}}'
+                         WHEN 2 THEN '{{"k":1e5,"k":' || k || '}}' WHEN 3 THEN CAST(to_json(props || ' x') AS VARCHAR)
+                         WHEN 4 THEN '"k=v"' ELSE CAST(json(props) AS VARCHAR) END AS written_json,
+       CASE WHEN event_id % 5 IN (0, 2) THEN CAST(k AS VARCHAR) END AS written_k,
        CAST(to_json(struct_pack(event_id := event_id, event_type := event_type, value := value)) AS VARCHAR)
          AS row_json
 FROM ({_EV})

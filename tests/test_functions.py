@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 import warnings
 from html.parser import HTMLParser
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import normalize_date_string, parse_mixed_date, with_mixed_date
 from tessera.functions.html import VOID, tag_attrs, tag_texts
-from tessera.functions.jsonx import claim_status, field_token, literal_token
+from tessera.functions.jsonx import canonical_json, claim_status, field_text, field_token, literal_token
 from tessera.functions.text import normalize_text, title_case
 
 
@@ -218,3 +219,29 @@ def test_html_like_a_tree(spark):
         links.close()
         assert texts == ["".join(t) for t in tree.found], pages[i]
         assert values == links.values, pages[i]
+
+
+def test_json_comes_back_as_it_is(spark):
+    kept = ['{"b":1.0,"a":2}', '{"a":1,"a":2}', '{"a":{"b":1,"b":2.50}}', "[1e5,-0,0.10,123456789012345678901234567890]",
+            '"say \\"x : y\\" \\\\"', '["a",":",", "]', "null", "true", '{"":[]}', '"\\u00e9\\n"', "[[[[[[]]]]]]"]
+    assert one_col(spark, kept, canonical_json) == kept
+    spaced = {' { "b" : 1.0 ,\n"a": [ 1 , "x  y" ] } ': '{"b":1.0,"a":[1,"x  y"]}', '["a \\" ]", 1 ]\t': '["a \\" ]",1]'}
+    assert one_col(spark, list(spaced), canonical_json) == list(spaced.values())
+    text = ['{"a":1} x', "1 2", "[1,]", "01", "{} {}", "[1]]", '"a" : 1', "{'a':1}", "1,2", '1,"k":2', "1}", "1] [2", "", "plain",
+            '{"a":1,"a":}', '"\x01"', '"tab\t"', '{"a":1 "a":2}']
+    assert one_col(spark, text, canonical_json) == [json.dumps(t) for t in text]
+    assert one_col(spark, [None], canonical_json) == [None]
+    # thousands of escapes do not deepen the matcher
+    long = '"' + '\\"' * 50_000 + '"'
+    assert one_col(spark, [long], canonical_json) == [long]
+
+
+def test_fields_at_the_top_as_written(spark):
+    cases = {'{"f": 1.0}': "1.0", '{"f":1,"g":{"f":2}}': "1", '{"g":{"f":2}}': None, '{"f":1,"f":[2, {"f":3}]}': '[2,{"f":3}]',
+             '[{"f":1}]': None, '{"x":"f","f":"a\\"b, c"}': '"a\\"b, c"', '{"\\u0066":true}': "true", '{"f":1} x': None, "f": None,
+             '{"g":["f",":"],"f":null}': "null", "{}": None}
+    assert one_col(spark, list(cases) + [None], lambda c: field_text(c, "f")) == [*cases.values(), None]
+    equal = [('{"f":"\\u0041"}', '{"f":"A"}'), ('{"f":1e2}', '{"f":100.0}'), ('{"f":{"a":1,"b":2}}', '{"f":{"b":2,"a":1}}'),
+             ('{"f":-0}', '{"f":0}'), ('{"f":2,"f":1}', '{"f":1}')]
+    a, b = (one_col(spark, list(x), lambda c: field_token(c, "f")) for x in zip(*equal))
+    assert a == b and None not in a
