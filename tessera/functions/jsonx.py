@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,7 +49,9 @@ def _numbered_keys(masked: Column) -> Column:
 
 def is_json(s: Column) -> Column:
     """Whether a text is one JSON value, repeated keys allowed."""
-    clean = ~s.contains(_BACKSLASH) & ~s.contains(_QUOTE)
+    # most text that is no JSON shows at its ends, which spares the parser's exception
+    clean = (~s.contains(_BACKSLASH) & ~s.contains(_QUOTE) & s.rlike(r'^[ \t\r\n]*+[\[{"0-9tfn-]')
+             & s.rlike(r'[\]}"0-9el][ \t\r\n]*$'))
     return F.coalesce(clean & (_one_value(s) | _let(_numbered_keys(_masked(s)), _one_value)), F.lit(False))
 
 
@@ -87,7 +91,8 @@ def field_text(s: Column, field: str) -> Column:
         return F.aggregate(numbered, zero, step, lambda e: F.when(
             F.get(tokens, F.lit(0)) == "{", _unmasked(F.array_join(F.slice(tokens, e["a"] + 1, e["b"] - e["a"]), ""))))
 
-    return F.when(is_json(s), _let(F.regexp_extract_all(_masked(s), F.lit(_TOKEN), 0), found))
+    named = s.contains(json.dumps(field, ensure_ascii=False)) | s.contains("\\")
+    return F.when(named & is_json(s), _let(F.regexp_extract_all(_masked(s), F.lit(_TOKEN), 0), found))
 
 
 def _string(text: Column) -> Column:

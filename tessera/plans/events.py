@@ -195,7 +195,7 @@ def claim_status(spark, sf_dir):
 def written_props():
     """Properties as they might be written, picked by id: as they are, in an object with other fields, with a repeated
     field, with text after the value, and as no JSON at all."""
-    k = F.col("event_id") % 5
+    k = F.col("event_id") % 20
     return (F.when(k == 1, F.concat(F.lit('{ "b" : 1.0,\t"a":"x : \\\\\\"y" , "p":'), "props", F.lit(' }')))
              .when(k == 2, F.concat(F.lit('{"k":1e5, "k" : '), k_of().cast("string"), F.lit("}")))
              .when(k == 3, F.concat("props", F.lit(" x"))).when(k == 4, F.lit("k=v")).otherwise(F.col("props")))
@@ -431,10 +431,10 @@ SELECT event_id, CASE WHEN coalesce(exp, 0) < now THEN 'expired' WHEN aud <> 'ot
 
 JSON_OPS_SQL = f"""
 SELECT event_id, CAST(json(props) AS VARCHAR) AS props_json, k,
-       CASE event_id % 5 WHEN 1 THEN '{{"b":1.0,"a":"x : \\\\\\"y","p":' || CAST(json(props) AS VARCHAR) || '}}'
+       CASE event_id % 20 WHEN 1 THEN '{{"b":1.0,"a":"x : \\\\\\"y","p":' || CAST(json(props) AS VARCHAR) || '}}'
                          WHEN 2 THEN '{{"k":1e5,"k":' || k || '}}' WHEN 3 THEN CAST(to_json(props || ' x') AS VARCHAR)
                          WHEN 4 THEN '"k=v"' ELSE CAST(json(props) AS VARCHAR) END AS written_json,
-       CASE WHEN event_id % 5 IN (0, 2) THEN CAST(k AS VARCHAR) END AS written_k,
+       CASE WHEN event_id % 20 NOT IN (1, 3, 4) THEN CAST(k AS VARCHAR) END AS written_k,
        CAST(to_json(struct_pack(event_id := event_id, event_type := event_type, value := value)) AS VARCHAR)
          AS row_json
 FROM ({_EV})
