@@ -106,19 +106,25 @@ def first_offset_pair(df: DataFrame, group: str, pos: str, value: str, target) -
     return latest.select(group, F.col("_i").alias("i"), F.col("_j").alias("j"))
 
 
-def zero_sum_triples(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Distinct value triples (a <= b <= c, a + b + c = 0) per group, honouring
-    multiplicity. Rows are first reduced to distinct (group, value, count),
-    so the pair step is bounded by the value domain of a group, not by its
-    row count."""
+def zero_sum_triples(df: DataFrame, group: str, value: str, values_per_task: int = 5_000) -> DataFrame:
+    """Distinct value triples (a <= b <= c, a + b + c = 0) per group, honouring multiplicity.
+
+    Rows are first reduced to distinct (group, value, count). The least of three values with sum 0 is at most 0 and the
+    middle one at most minus half of it, so only such pairs are formed, inside the join's condition. The least values of
+    a group are dealt over a part for every ``values_per_task`` values it has, its other values are repeated in each:
+    a hot group's pairs are formed in many tasks."""
     d = df.groupBy(group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("m"))
-    a = d.select(group, F.col("v").alias("a"), F.col("m").alias("ma"))
-    b = d.select(group, F.col("v").alias("b"), F.col("m").alias("mb"))
+    parts = d.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / values_per_task).alias("_parts"))
+    own = d.join(parts, group)
+    a = own.where(F.col("v") <= 0).select(group, F.pmod(F.xxhash64("v"), F.col("_parts")).alias("_part"),
+                                          F.col("v").alias("a"), F.col("m").alias("ma"))
+    b = own.select(group, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part"),
+                   F.col("v").alias("b"), F.col("m").alias("mb"))
     c = d.select(group, F.col("v").alias("c"), F.col("m").alias("mc"))
-    ab = a.join(b, group).where(F.col("a") <= F.col("b"))
-    abc = ab.withColumn("c", -(F.col("a") + F.col("b"))).join(c, [group, "c"]).where(F.col("b") <= F.col("c"))
+    ab = (a.join(b, [group, "_part"]).where((F.col("b") >= F.col("a")) & (F.col("b") * 2 <= -F.col("a")))
+          .withColumn("c", -(F.col("a") + F.col("b"))))
     need = (F.when((F.col("a") == F.col("b")) & (F.col("b") == F.col("c")), F.col("ma") >= 3)
              .when(F.col("a") == F.col("b"), F.col("ma") >= 2)
              .when(F.col("b") == F.col("c"), F.col("mb") >= 2)
              .otherwise(F.lit(True)))
-    return abc.where(need).select(group, "a", "b", "c")
+    return ab.join(c, [group, "c"]).where(need).select(group, "a", "b", "c")

@@ -62,7 +62,10 @@ def offset_pairs(spark, sf_dir, target: int = 9):
 
 
 def netting_triples(spark, sf_dir):
-    e = events(spark, sf_dir, "user_id", "props").withColumn("v", k_of() % 21 - 10)
+    """Three amounts of a user that cancel out: purchases in cents count up, other events down."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    e = events(spark, sf_dir, "user_id", "event_type", "value") \
+        .withColumn("v", F.when(F.col("event_type") == "purchase", cents).otherwise(-cents))
     return zero_sum_triples(e, "user_id", "v")
 
 
@@ -341,8 +344,9 @@ FROM j JOIN e b ON b.user_id = j.user_id AND b.event_id = j.j
 GROUP BY j.user_id, j.j
 """
 
-NETTING_TRIPLES_SQL = f"""
-WITH e AS (SELECT user_id, k % 21 - 10 AS v FROM ({_EV})),
+NETTING_TRIPLES_SQL = """
+WITH e AS (SELECT user_id, CAST(round(value * 100) AS BIGINT) * CASE WHEN event_type = 'purchase' THEN 1 ELSE -1 END AS v
+           FROM events),
 d AS (SELECT user_id, v, count(*) AS m FROM e GROUP BY ALL)
 SELECT a.user_id, a.v AS a, b.v AS b, c.v AS c
 FROM d a JOIN d b ON a.user_id = b.user_id AND a.v <= b.v

@@ -1,4 +1,7 @@
+import collections
 import difflib
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,20 +101,23 @@ def test_order_bands(spark):
 
 
 def test_series_answers(spark):
-    assert best_window_sum(series(spark, "a", [2, 1, 5, 1, 3, 2]), ["s"], [F.col("pos")], "v", 3).first()[1] == 9
-    runs = series(spark, "a", list("abcabcbb"), "v string")
-    assert longest_distinct_run(runs, ["s"], [F.col("pos")], "v").first()[1] == 3
-    assert change_points(series(spark, "a", [1, 1, 2, 3, 3, 4]), ["s"], [F.col("pos")], "v").first()[1] == 4
-    water = series(spark, "a", [0, 1, 0, 2, 1, 0, 1, 3, 1, 0, 1, 2])
-    assert underwater_depth(water, ["s"], [F.col("pos")], "v").first()[1] == 9
-    dd = max_drawdown(series(spark, "a", [100.0, 120.0, 110.0, 130.0, 90.0], "v double"), ["s"], [F.col("pos")], "v")
-    assert abs(dd.first()[1] - (90 - 130) / 130) < 1e-12
-    tri = zero_sum_triples(series(spark, "a", [-4, -1, -1, 0, 1, 2]), "s", "v")
-    assert sorted((r.a, r.b, r.c) for r in tri.collect()) == [(-1, -1, 2), (-1, 0, 1)]
-    pair = first_offset_pair(series(spark, "a", [2, 7, 11, 15]), "s", "pos", "v", 9).first()
-    assert (pair.i, pair.j) == (0, 1)
-    pair = first_offset_pair(series(spark, "a", [3, 3, 1, 5, 6]), "s", "pos", "v", 6).first()
-    assert (pair.i, pair.j) == (0, 1)
+    rng = random.Random(12)
+    for n in (1, 2, 9, 40):
+        v = [rng.randint(1, 9) for _ in range(n)]
+        rows = series(spark, "a", v)
+        at = [F.col("pos")]
+        sums = [sum(v[i:i + 3]) for i in range(n - 2)]
+        assert best_window_sum(rows, ["s"], at, "v", 3).first()[1] == (max(sums) if sums else None)
+        runs = [k for i in range(n) for k in range(1, n - i + 1) if len(set(v[i:i + k])) == k]
+        assert longest_distinct_run(rows, ["s"], at, "v").first()[1] == max(runs)
+        assert change_points(rows, ["s"], at, "v").first()[1] == 1 + sum(x != y for x, y in zip(v, v[1:]))
+        depth = sum(max(0, min(max(v[:i + 1]), max(v[i:])) - x) for i, x in enumerate(v))
+        assert underwater_depth(rows, ["s"], at, "v").first()[1] == depth
+        drop = min((x - max(v[:i + 1])) / max(v[:i + 1]) for i, x in enumerate(v))
+        assert abs(max_drawdown(rows, ["s"], at, "v").first()[1] - drop) < 1e-12
+        pairs = [(j, max(i for i in range(j) if v[i] + v[j] == 10)) for j in range(n) if 10 - v[j] in v[:j]]
+        pair = first_offset_pair(rows, "s", "pos", "v", 10).first()
+        assert (pair and (pair.j, pair.i)) == (min(pairs) if pairs else None)
 
 
 def test_top5_with_tie(spark):
@@ -245,3 +251,30 @@ def test_admission_split_at_idle_gaps_is_exact(spark):
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
     segs = idle_segments(df.select("key", F.col("t").alias("ts"), "id"), 10)
     assert segs.where("key = 'hot'").agg(F.max("seg")).first()[0] > 10   # the hot key is cut into many pieces
+
+
+def test_triples_of_a_large_group_in_parts(spark):
+    rng = random.Random(4)
+    rows = [("hot", rng.randint(-300, 300)) for _ in range(900)] + [("small", v) for v in (-4, 2, 2, 0, 0, 0, 5, -1)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    want = set()
+    for g in ("hot", "small"):
+        m = collections.Counter(v for k, v in rows if k == g)
+        want |= {(g, a, b, -a - b) for a in m for b in m if a <= b <= -a - b
+                 and not collections.Counter([a, b, -a - b]) - m}
+    for size in (5000, 40):
+        got = [tuple(r) for r in zero_sum_triples(df, "g", "v", size).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_mart_counts_like_distinct_counts(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["d1", "d2"]), rng.choice(["x", None]), "s", rng.choice([None, *range(40)]), rng.choice([None, 1, 2, 3]), Decimal(i))
+            for i in range(400)]
+    e = spark.createDataFrame(rows, "order_date string, city string, segment string, order_id int, customer_id int, "
+                                    "gross_revenue decimal(18,2)").repartition(5)
+    mart = retail.build_sales_mart(e)
+    group = ["order_date", "city", "segment"]
+    want = e.groupBy(*group).agg(F.count_distinct("order_id"), F.count_distinct("customer_id"), F.sum("gross_revenue").cast("double"))
+    assert sorted(map(tuple, mart.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert "Expand" not in mart._jdf.queryExecution().optimizedPlan().toString()
