@@ -37,6 +37,16 @@ def guard_unique(df: DataFrame, keys: Sequence[str], sample: int = 5) -> None:
             f"lookup must hold a single row per {tuple(keys)}; {dups} duplicated keys, e.g. {shown}")
 
 
+def unique_lookup(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with ``_matched``, grouped in the plan itself: a key that occurs twice raises when it is read."""
+    others = [c for c in lookup.columns if c not in keys]
+    rows = F.first(F.struct(*others, F.lit(True).alias("_matched"))).alias("_r")
+    name = F.concat(F.lit("lookup must hold a single row per key; it holds several of "), F.to_json(F.struct(*keys)))
+    return (lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), rows)
+            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others],
+                    F.when(F.col("_n") > 1, F.raise_error(name).cast("boolean")).otherwise(F.col("_r._matched")).alias("_matched")))
+
+
 def suffix_overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
     """Rename right-side non-key columns that also exist on the left."""
     clash = (set(left.columns) & set(right.columns)) - set(keys)

@@ -10,10 +10,12 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.admission import OUT_SCHEMA, admit, micros
-from ..operators.changelog import apply_changes
+from ..operators.changelog import SET
+from ..operators.joins import unique_lookup
 from ..plans.pnl import compute_pnl, filter_trades
 
 STATE_SCHEMA = "admitted array<long>"
@@ -71,11 +73,40 @@ def filter_append(stream: DataFrame, condition, path: str, checkpoint: str, trig
 
 # K4 -------------------------------------- stream-static lookup join, misses
 def lookup_stream(stream: DataFrame, lookup: DataFrame, keys) -> DataFrame:
-    """Left join of each micro-batch to a static lookup; ``_matched`` marks hits."""
-    return stream.join(lookup.withColumn("_matched", F.lit(True)), list(keys), "left") \
+    """Left join of each micro-batch to a static lookup; ``_matched`` marks hits. A key that the lookup holds twice fails
+    the batch that meets it, and names the key: its rows would be written twice."""
+    return stream.join(unique_lookup(lookup, keys), list(keys), "left") \
                  .withColumn("_matched", F.coalesce("_matched", F.lit(False)))
 
 
+class BatchRates(StreamingQueryListener):
+    """Rows written and rows without a match of every micro-batch, taken from the batches' own observed metrics."""
+
+    def __init__(self, name: str):
+        self.name, self.batches = name, {}
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None and row["rows_written"]:
+            self.batches[event.progress.batchId] = (row["rows_written"], row["missing"])
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+
+def write_joined(stream: DataFrame, lookup: DataFrame, keys, path: str, checkpoint: str, rates: BatchRates,
+                 trigger_once: bool = True):
+    """Append the joined micro-batches to ``path``; ``rates`` learns the rows and misses of each as it is written. Its
+    owner has registered it with ``spark.streams.addListener``."""
+    joined = lookup_stream(stream, lookup, keys).observe(
+        rates.name, F.count(F.lit(1)).alias("rows_written"), F.count_if(~F.col("_matched")).alias("missing"))
+    w = joined.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    return (w.trigger(availableNow=True) if trigger_once else w).start()
+
+
 # K5 ----------------------------------------------- running per-key totals
 def running_pnl(trades: DataFrame, watermark: str = "2 days", **equals) -> DataFrame:
     """Streaming (day, trader) PnL totals in update mode; the watermark on the
@@ -86,37 +117,65 @@ def running_pnl(trades: DataFrame, watermark: str = "2 days", **equals) -> DataF
 
 
 # K6 ------------------------------------------- change log via foreachBatch
-def changelog_sink(state_dir: str):
-    """``foreachBatch`` function: merge the batch's changes into the latest
-    snapshot and write ``state_dir/batch=<id>``. Re-running a batch id
-    rewrites the same folder, so retries are idempotent. Deleted keys stay
-    as tombstones (``deleted``); ``live_state`` leaves them out. A batch
-    after the first without any earlier snapshot raises."""
+STATE = "key string, seq long, value string, deleted boolean, batch int"
+
+
+def changelog_sink(state_dir: str, least_rows: int = 10_000):
+    """``foreachBatch`` function that keeps the state of a change log.
+
+    A batch writes the last change of each of its keys to ``state_dir/delta/batch=<id>``. When the deltas since the last
+    snapshot hold as many rows as that snapshot (``least_rows`` at least), they are merged into a new one under
+    ``state_dir/base/batch=<id>``: over time a few rows are written per change, however large the state is. Both are
+    written anew, in the same place and from earlier data only, when a batch id is run again. Deleted keys stay as
+    tombstones (``deleted``), so that a late change cannot revive them; ``live_state`` leaves them out. A batch whose
+    predecessor is missing raises."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = _latest_snapshot(spark, state_dir, batch_id)
-        base = prev if prev is not None else spark.createDataFrame([], "key string, seq long, value string, deleted boolean")
-        apply_changes(base, batch.select("seq", "key", "flag", "value")) \
-            .write.mode("overwrite").parquet(f"{state_dir}/batch={batch_id}")
+        if batch_id > 0 and _deltas(spark, f"{state_dir}/delta/batch={batch_id - 1}") is None:
+            raise RuntimeError(f"no state before batch {batch_id} in {state_dir}")
+        last = batch.groupBy("key").agg(F.max_by(F.struct("seq", "flag", "value"), F.col("seq")).alias("c"))
+        gone = ~F.coalesce(F.col("c.flag") == SET, F.lit(False))
+        last.select("key", "c.seq", F.when(~gone, F.col("c.value")).alias("value"), gone.alias("deleted")) \
+            .write.mode("overwrite").parquet(f"{state_dir}/delta/batch={batch_id}")
+        base, pending = _parts(spark, state_dir, batch_id, batch_id)
+        if pending.count() >= max(least_rows, base.count() if base is not None else 0):
+            _merged(base, pending).write.mode("overwrite").parquet(f"{state_dir}/base/batch={batch_id}")
 
     return handle
 
 
-def _latest_snapshot(spark, state_dir: str, before: int):
-    """Newest snapshot written by an earlier batch, found by partition
-    discovery on the ``batch=`` folders (a re-run batch's own folder is
-    ignored)."""
+def changelog_state(spark, state_dir: str, upto: int | None = None) -> DataFrame:
+    """(key, seq, value, deleted) after batch ``upto``, or after all."""
+    return _merged(*_parts(spark, state_dir, upto, None if upto is None else upto + 1))
+
+
+def _deltas(spark, path: str) -> DataFrame | None:
+    """The rows under a folder, with their batch; None where there is no such folder."""
     try:
-        snaps = spark.read.parquet(state_dir)
-        last = snaps.where(F.col("batch") < before).agg(F.max("batch")).first()[0]
-    except AnalysisException:  # nothing written yet
-        last = None
-    if last is None:
-        if before > 0:
-            raise RuntimeError(f"no snapshot before batch {before} in {state_dir}")
+        return spark.read.schema(STATE).parquet(path)
+    except AnalysisException:
         return None
-    return snaps.where(F.col("batch") == last).drop("batch")
+
+
+def _parts(spark, state_dir: str, upto: int | None, before: int | None) -> tuple[DataFrame | None, DataFrame]:
+    """(newest snapshot of a batch below ``before``, the deltas after it up to ``upto``)."""
+    base, since = _deltas(spark, f"{state_dir}/base"), None
+    if base is not None:
+        since = base.where(F.col("batch") < before if before is not None else F.lit(True)).agg(F.max("batch")).first()[0]
+    pending = _deltas(spark, f"{state_dir}/delta")
+    if since is not None:
+        pending = pending.where(F.col("batch") > since)
+    if upto is not None:
+        pending = pending.where(F.col("batch") <= upto)
+    return (None if since is None else base.where(F.col("batch") == since)), pending
+
+
+def _merged(base: DataFrame | None, pending: DataFrame) -> DataFrame:
+    """The row of the largest seq of each key; of equal ones that of the later batch."""
+    rows = pending if base is None else base.unionByName(pending)
+    return (rows.groupBy("key").agg(F.max_by(F.struct("seq", "value", "deleted"), F.struct("seq", "batch")).alias("r"))
+            .select("key", "r.seq", "r.value", "r.deleted"))
 
 
 def live_state(snapshot: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 """Streaming forms equal their batch forms over several micro-batches."""
 
 import os
+import random
 import tempfile
+import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import epoch_seconds, tumbling_index
@@ -102,13 +105,13 @@ def test_changelog_stream_equals_batch(spark, event_dir):
                          F.when(is_del, "DELETE").otherwise("SET").alias("flag"),
                          F.when(is_del, F.lit(None)).otherwise(F.col("props")).alias("value"))
 
-    q = (to_log(stream_of(spark, root, schema)).writeStream.foreachBatch(rules.changelog_sink(state_dir))
+    q = (to_log(stream_of(spark, root, schema)).writeStream.foreachBatch(rules.changelog_sink(state_dir, 30))
          .option("checkpointLocation", os.path.join(root, "ckpt", "kv")).trigger(availableNow=True).start())
     q.awaitTermination(600)
-    last = max(int(n.split("=")[1]) for n in os.listdir(state_dir) if n.startswith("batch="))
-    assert last > 3  # several micro-batches
-    snapshot = spark.read.parquet(f"{state_dir}/batch={last}")
-    got = sorted(map(tuple, rules.live_state(snapshot).select("key", "seq", "value").collect()))
+    batches = {f: {int(n.split("=")[1]) for n in os.listdir(os.path.join(state_dir, f)) if n.startswith("batch=")}
+               for f in ("delta", "base")}
+    assert len(batches["delta"]) > 3 and 0 < len(batches["base"]) < len(batches["delta"])
+    got = sorted(map(tuple, rules.live_state(rules.changelog_state(spark, state_dir)).select("key", "seq", "value").collect()))
     want = sorted(map(tuple, kv.current_state(to_log(spark.read.parquet(f"{SMALL}/events.parquet"))).collect()))
     assert got == want
 
@@ -153,5 +156,64 @@ def test_changelog_sink_needs_its_earlier_snapshot(spark):
         handle(spark.createDataFrame([(1, "k", "SET", "{}")], cols), 5)
     handle(spark.createDataFrame([(4, "k", "SET", "4"), (9, "gone", "DELETE", None)], cols), 0)
     handle(spark.createDataFrame([(3, "k", "SET", "3"), (8, "gone", "SET", "8"), (6, "new", "SET", "6")], cols), 1)
-    state = rules.live_state(spark.read.parquet(f"{state_dir}/batch=1"))
+    state = rules.live_state(rules.changelog_state(spark, state_dir))
     assert sorted((r.key, r.seq, r.value) for r in state.collect()) == [("k", 4, "4"), ("new", 6, "6")]
+
+
+def test_changelog_batches_write_their_changes_only(spark):
+    rng = random.Random(2)
+    state_dir = tempfile.mkdtemp(prefix="tessera-kv-")
+    handle, cols, log, seq = rules.changelog_sink(state_dir, 200), "seq long, key string, flag string, value string", [], 0
+    size = lambda folder: spark.read.parquet(os.path.join(state_dir, folder)).count()
+    for batch in range(8):
+        rows = []
+        for _ in range(400 if batch == 0 else 60):
+            seq += 1
+            rows.append((seq, f"k{rng.randint(0, 900)}", *rng.choice([("SET", str(seq)), ("SET", str(seq)), ("DELETE", None)])))
+        rng.shuffle(rows)
+        log += rows
+        frame = spark.createDataFrame(rows, cols)
+        handle(frame, batch)
+        assert size(f"delta/batch={batch}") == len({r[1] for r in rows})
+        want = sorted(map(tuple, kv.current_state(spark.createDataFrame(log, cols)).collect()))
+        for _ in range(2):  # the same after the batch is run again
+            got = rules.live_state(rules.changelog_state(spark, state_dir)).select("key", "seq", "value").collect()
+            assert sorted(map(tuple, got)) == want
+            handle(frame, batch)
+    snapshots = sorted(os.listdir(os.path.join(state_dir, "base")))
+    assert 2 <= len(snapshots) <= 4
+    old = rules.live_state(rules.changelog_state(spark, state_dir, 3)).select("key", "seq", "value").collect()
+    assert sorted(map(tuple, old)) == sorted(map(tuple, kv.current_state(spark.createDataFrame(log[:580], cols)).collect()))
+
+
+def test_missing_rates_of_a_joined_append(spark):
+    root = tempfile.mkdtemp(prefix="tessera-join-")
+    rng, want = random.Random(3), []
+    cols = "id int, cur string"
+    for n in range(4):
+        rows = [(i, rng.choice(["EUR", "USD", "???", None])) for i in range(10 * n + 5)]
+        want.append((len(rows), sum(c not in ("EUR", "USD") for _, c in rows)))
+        spark.createDataFrame(rows, cols).coalesce(1).write.parquet(os.path.join(root, "in", f"part={n}"))
+    lookup = spark.createDataFrame([("EUR", 1.1), ("USD", 1.0)], "cur string, rate double")
+    rates = rules.BatchRates("joined")
+    spark.streams.addListener(rates)
+    try:
+        def stream():
+            return (spark.readStream.schema(cols).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+                    .parquet(os.path.join(root, "in")))
+
+        q = rules.write_joined(stream(), lookup, ["cur"], os.path.join(root, "out"), os.path.join(root, "ckpt"), rates)
+        q.awaitTermination(300)
+        for _ in range(100):  # the listener runs beside the query
+            if len(rates.batches) == 4:
+                break
+            time.sleep(0.1)
+        assert sorted(rates.batches.values()) == sorted(want)
+        out = spark.read.parquet(os.path.join(root, "out"))
+        assert (out.count(), out.where("not _matched and rate is null").count()) == tuple(map(sum, zip(*want)))
+        twice = lookup.unionByName(lookup.where("cur = 'EUR'"))
+        q = rules.write_joined(stream(), twice, ["cur"], os.path.join(root, "out2"), os.path.join(root, "ckpt2"), rates)
+        with pytest.raises(StreamingQueryException, match="several of .*EUR"):
+            q.awaitTermination(300)
+    finally:
+        spark.streams.removeListener(rates)
