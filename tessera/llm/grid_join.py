@@ -11,8 +11,9 @@ and is dropped, any other pair is replaced by the pairs of its parts. Pairs
 of blocks that remain are compared in double precision.
 
 Equal vectors are one vector with a multiplicity, so copies cost nothing. A
-pair of blocks returns a number of links for each vector and a spanning
-forest of its links, never the pairs.
+pair of blocks returns a number of links for each vector and, of its links,
+at most about two for each vector, which join the same components; never all
+its pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing and are kept; vectors of different lengths do not
@@ -169,13 +170,15 @@ def compare(nodes_a, units_a, many_a, nodes_b, units_b, many_b, cosine: float, s
         links_a[at:at + STRIP] = near @ many_b
         if not same:
             links_b += many_a[at:at + STRIP] @ near
-        while True:  # join rows and columns that are not joined yet, one of each row at a time
-            own = label[at:at + len(near)]
-            open_ = near & (own[:, None] != label[None, len(nodes_a):])
-            rows = np.flatnonzero(open_.any(1))
+        while True:  # every component with an open link takes one of them, so each turn at least halves their number
+            own, other = label[at:at + len(near)], label[len(nodes_a):]
+            open_ = near & (own[:, None] != other[None, :])
+            rows, cols = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
             if not len(rows):
                 break
-            cols = open_[rows].argmax(1)
+            chosen = np.unique(np.concatenate([own[rows], other[cols]]), return_index=True)[1]
+            rows, cols = (np.concatenate([rows, open_[:, cols].argmax(0)])[chosen],
+                          np.concatenate([open_[rows].argmax(1), cols])[chosen])
             left.append(nodes_a[at + rows])
             right.append(nodes_b[cols])
             nodes, roots = local_labels(label[at + rows], label[len(nodes_a) + cols])

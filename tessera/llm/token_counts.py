@@ -13,7 +13,8 @@ strings matched in the raw text as one token each) are applied here.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); repeated rows
 are counted row by row; an empty table gives no rows; only the id and text
-columns are read, so further columns cannot clash.
+columns are read, so further columns cannot clash; a tokenizer file with
+another normaliser, splitter or model raises a ValueError.
 """
 
 from __future__ import annotations
@@ -27,11 +28,26 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Memo, per_worker, slices, tokenizer_file
+from .common import Memo, load_tokenizer, per_worker, slices, tokenizer_file
 from .tokens import CACHE_RUNS, HEAD, WORD, byte_symbols, split_words
 
 # Fixed value: the split pattern of the tokenizer files with word ends.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What a file has to say of its normaliser and splitter to be counted here.
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+
+
+def check_spec(spec: dict, name: str) -> None:
+    """Raise for files whose steps before merging are not those done here."""
+    parts = (spec.get("normalizer") or {}).get("normalizers") or []
+    split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])
+    patterns = [p.get("pattern", {}).get("Regex") for p in (parts[1:2] + split[:1])]
+    flags = [spec["model"].get(f) for f in ("byte_fallback", "fuse_unk", "ignore_merges", "dropout", "continuing_subword_prefix")]
+    plain = all(not (t.get("normalized") or t.get("lstrip") or t.get("rstrip") or t.get("single_word"))
+                for t in spec.get("added_tokens") or ())
+    if ([p.get("type") for p in parts] != NORMALISERS or patterns != [r"\s+", SPLIT] or [p.get("type") for p in split] !=
+            ["Split", "ByteLevel"] or any(flags) or not plain or spec["model"].get("type") != "BPE"):
+        raise ValueError(f"{name}: another normaliser, splitter or model than the one handled here")
 
 
 class PairMerger:
@@ -84,20 +100,30 @@ class PairMerger:
         return size - merges
 
 
+def other_lower(tokenizer) -> dict[int, str]:
+    """Characters whose normal form in this tokenizer, whose Unicode tables may be newer, is not the one made here."""
+    chars = [c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x40000)]) if not c.isspace()]
+    found = tokenizer.normalizer.normalize_str(" ".join(chars)).split(" ")
+    mine = ["".join(map(str.lower, unicodedata.normalize("NFC", c))) for c in chars]
+    return {ord(c): theirs for c, theirs, own in zip(chars, found, mine) if theirs != own} if len(found) == len(chars) else {}
+
+
 def make_counter(name_or_path: str) -> Callable[[str], int]:
     """``text -> number of tokens`` for a byte-pair file with word ends."""
     import regex
 
     with open(tokenizer_file(name_or_path), encoding="utf-8") as f:
         spec = json.load(f)
+    check_spec(spec, name_or_path)
     merger = PairMerger(spec["model"]["merges"], spec["model"].get("end_of_word_suffix") or "")
     special = sorted((t["content"] for t in spec.get("added_tokens", ())), key=len, reverse=True)
     cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
     find = regex.compile(SPLIT).findall
+    newer = other_lower(load_tokenizer(name_or_path))
     word = Memo(lambda w: merger.count(w.encode()), CACHE_RUNS)
 
     def plain(part: str) -> int:
-        lower = "".join(map(str.lower, unicodedata.normalize("NFC", part)))
+        lower = "".join(map(str.lower, unicodedata.normalize("NFC", part).translate(newer)))
         return sum([word[w] for w in find(lower)])
 
     def whole(run: str) -> int:

@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 from tessera.llm import decontaminate, grid_join, jaccard_join
-from tessera.llm.components import components
+from tessera.llm.components import components, local_labels
 
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SHINGLE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -209,3 +209,27 @@ def test_grid_join_of_repeated_ids(spark):
     got = grid_join.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert len(got) == len(rows)
     assert all(r.component_id == 1 for r in got)
+
+
+def test_block_pairs_return_few_edges():
+    """Near copies are joined by at most two edges a vector, and the components stay those of all links."""
+    rng = np.random.default_rng(3)
+    for shape in ((500, 500), (700, 40), (1, 300)):
+        base = rng.normal(size=(6, 64))
+        sides = []
+        for n in shape:
+            v = base[rng.integers(0, 6, n)] + rng.normal(size=(n, 64)) * 0.05
+            sides.append(v / np.linalg.norm(v, axis=1, keepdims=True))
+        a, b = sides
+        ids_a, ids_b = np.arange(len(a)), np.arange(len(a), len(a) + len(b))
+        ones = [np.ones(len(x), np.int64) for x in sides]
+        near = a @ b.T >= 0.9
+        la, lb, left, right = grid_join.compare(ids_a, a, ones[0], ids_b, b, ones[1], 0.9, False)
+        assert (la == near.sum(1)).all() and (lb == near.sum(0)).all()
+        assert len(left) <= 2 * (len(a) + len(b)) and near[left, right - len(a)].all()
+        want, got = (dict(zip(*(x.tolist() for x in local_labels(*e)))) for e in (
+            tuple(x + [0, len(a)][i] for i, x in enumerate(np.nonzero(near))), (left, right)))
+        assert want == got
+        own = a @ a.T >= 0.9
+        la, _, left, right = grid_join.compare(ids_a, a, ones[0], ids_a, a, ones[0], 0.9, True)
+        assert (la == own.sum(1) - 1).all() and len(left) <= 2 * len(a)

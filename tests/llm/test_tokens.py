@@ -33,6 +33,19 @@ def test_merging_counts_like_the_library():
         assert count(text) == len(whole.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+def test_letters_are_those_of_the_library():
+    whole, count = load_tokenizer("word_bpe_49k.json"), token_counts.make_counter("word_bpe_49k.json")
+    codes = [c for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [f"b{chr(c)}b" for c in codes]
+    for text, coded in zip(texts, whole.encode_batch(texts, add_special_tokens=False)):
+        assert count(text) == len(coded.ids), ascii(text)
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError, match="byte_bpe_50k"):
+        token_counts.make_counter("byte_bpe_50k.json")
+
+
 def test_token_counts_of_odd_documents(odd_docs, no_docs):
     whole = load_tokenizer("word_bpe_49k.json")
     expected = collections.Counter()
