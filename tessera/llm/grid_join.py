@@ -161,7 +161,7 @@ def block_pairs(blocks: DataFrame, epsilon: float, fan: int = FAN) -> DataFrame:
 def compare(nodes_a, units_a, many_a, nodes_b, units_b, many_b, cosine: float, same: bool):
     """(links of a's vectors, links of b's vectors, edges) between two blocks of one vector length."""
     links_a, links_b = np.zeros(len(nodes_a), np.int64), np.zeros(len(nodes_b), np.int64)
-    label = np.arange(len(nodes_a) + len(nodes_b))
+    label = np.tile(np.arange(len(nodes_a)), 2) if same else np.arange(len(nodes_a) + len(nodes_b))
     left, right = [], []
     for at in range(0, len(nodes_a), STRIP):
         near = units_a[at:at + STRIP] @ units_b.T >= cosine
