@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from tessera.operators import scan
 from tessera.plans import events, fx, pnl, retail, text
 from tessera.sources.tables import TABLES
 
@@ -42,11 +43,14 @@ def test_lookup_side_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan_of(df)
 
 
-def test_scan_has_no_single_key_window(spark):
-    """The per-key windows run on (_pid, key) chunks, never on the key alone."""
+def test_scan_has_no_single_key_window(spark, monkeypatch):
+    """The windows over the rows of large keys run on (key, chunk), never on the key alone."""
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 5)
     df = retail.cumulative_spend(spark, SMALL)
     p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in p.split("LogicalRDD")[0] or "_pid" in p
+    assert "windowspecdefinition(_k" in p and "windowspecdefinition(customer_id" not in p
+    windows = [line for line in p.splitlines() if "Window [" in line and "amount" in line]
+    assert windows and all("_chunk" in line.split("windowspecdefinition(", 1)[1].split(" ASC")[0] for line in windows)
 
 
 def _norm(v):
