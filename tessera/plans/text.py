@@ -28,15 +28,8 @@ def normalize_text(spark, sf_dir):
 
 
 def combined_export(spark, sf_dir):
-    """One document per conversation: numbered sections in turn order,
-    separated by blank lines. The output row is the whole document, so the
-    group is exactly as large as the row it produces."""
-    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    g = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", norm(F.col("text")).alias("t"))))
-                                 .alias("parts"))
-    sections = F.transform("parts", lambda x, i: F.concat(F.lit("===== Turn "), (i + 1).cast("string"), F.lit(": "),
-                                                           x["role"], F.lit(" =====\n"), x["t"]))
-    return g.select("conv_id", strip_all(F.array_join(sections, "\n\n")).alias("export"))
+    """Numbered sections of every conversation in turn order, a row each: nothing is gathered per conversation."""
+    return export_sections(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
 def export_sections(conversations: DataFrame) -> DataFrame:
@@ -158,13 +151,9 @@ def _norm_sql(x: str) -> str:
 NORMALIZE_TEXT_SQL = f"SELECT doc_id, {_norm_sql('raw')} AS text FROM ({_INJ})"
 
 COMBINED_EXPORT_SQL = f"""
-WITH s AS (
-  SELECT conv_id, turn,
-         '===== Turn ' || CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS VARCHAR) || ': '
-           || role || ' =====' || chr(10) || {_norm_sql('text')} AS sec
-  FROM conversations)
-SELECT conv_id, regexp_replace(string_agg(sec, chr(10) || chr(10) ORDER BY turn), '^{BLANK_CLASS}+|{BLANK_CLASS}+$', '', 'g') AS export
-FROM s GROUP BY conv_id
+WITH s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS pos FROM conversations)
+SELECT conv_id, pos, '===== Turn ' || CAST(pos AS VARCHAR) || ': ' || role || ' =====' || chr(10) || {_norm_sql('text')} AS section
+FROM s
 """
 
 
