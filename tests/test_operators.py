@@ -198,6 +198,16 @@ def test_fuzzy_matches_difflib(spark):
     assert got == want
 
 
+def test_ratios_equal_difflib():
+    from tessera.operators.fuzzy import ratios
+    rnd = random.Random(3)
+    word = lambda most: "".join(rnd.choice("abcd é\U0001f600") for _ in range(rnd.randint(0, most)))
+    pairs = [(word(most), word(most)) for most in (3, 8, 20, 60) for _ in range(400)] + [("", ""), ("a", ""), ("", "a")]
+    pairs += [(word(260), "ab" * 60 + word(150)) for _ in range(5)]  # long enough for difflib to leave frequent characters out
+    want = [difflib.SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+    assert ratios([a for a, _ in pairs], [b for _, b in pairs]).tolist() == want
+
+
 def test_null_keys_never_match_unless_null_safe(spark):
     left = spark.createDataFrame([(1, "a", None), (2, None, "x")], "id int, k1 string, k2 string")
     right = spark.createDataFrame([("a", None, 10), (None, "x", 20)], "k1 string, k2 string, v int")
