@@ -77,6 +77,17 @@ def _place(cuts: Column, at: Column) -> Column:
         F.get(cuts, low + F.pow(F.lit(2), s).cast("int") - 1) <= at, low + F.pow(F.lit(2), s).cast("int")).otherwise(low)))
 
 
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk_rows: int | None = None) -> DataFrame | None:
+    """``df`` with ``_chunk``: the place of the row's chunk in its key, NULL in keys that are not large. None where no key is."""
+    found = _cuts(df, list(keys), _cols(order), chunk_rows or CHUNK_ROWS)
+    if found is None:
+        return None
+    cuts, chunks = found
+    own = df.select("*", _packed(_cols(keys)).alias("_k"), _packed(_cols(order)).alias("_at"))
+    place = F.when(F.col("_cuts").isNotNull(), _place(F.col("_cuts"), F.col("_at")))
+    return _join(own, cuts, ["_k"], chunks, "left").select(*df.columns, place.alias("_chunk"))
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str | None = None,
                lags: int = 0, chunk_rows: int | None = None, prefix: str = "",
                running: bool = True, suffix: bool = False) -> DataFrame:

@@ -263,6 +263,26 @@ def test_admission_split_at_idle_gaps_is_exact(spark):
     assert segs.where("key = 'hot'").agg(F.max("seg")).first()[0] > 10   # the hot key is cut into many pieces
 
 
+@pytest.mark.parametrize("steps, most", [((0.5, 1.0, 2.0, 3.0, 4.0), 5), ((1.0,), None)])
+def test_admission_of_a_key_that_is_never_idle(spark, steps, most):
+    """Slices folded at the same time give the fold's decisions: runs that meet again, and runs that never do."""
+    from tessera.operators.admission import idle_segments, settle, slice_segments
+    rnd = random.Random(6)
+    rows, t = [], 0.0
+    for i in range(4000):
+        t += rnd.choice(steps)
+        rows.append((None if i % 3 == 0 else "hot" if i % 20 else f"k{i % 7}", t, i))
+    df = spark.createDataFrame(rows, "key string, t double, id long")
+    whole = sliding_admission(df, "key", "t", "id", 3, 40, split_idle=False)
+    split = sliding_admission(df, "key", "t", "id", 3, 40, slice_rows=250)
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    own = slice_segments(idle_segments(df.select("key", F.col("t").alias("ts"), "id"), 40), 250).where("slice IS NOT NULL")
+    assert own.groupBy("nokey", "seg").agg(F.countDistinct("slice").alias("n")).agg(F.min("n")).first()[0] > 4
+    if most:
+        states, rounds = settle(own, 3, 40)
+        assert rounds <= most and states.where("size(held) > 3").isEmpty()
+
+
 def test_triples_of_a_large_group_in_parts(spark):
     rng = random.Random(4)
     rows = [("hot", rng.randint(-300, 300)) for _ in range(900)] + [("small", v) for v in (-4, 2, 2, 0, 0, 0, 5, -1)]
