@@ -5,14 +5,16 @@ inside texts are escaped reversibly: every ``<|`` (and every ``<\|``, ``<\\|``,
 ...) gets one more backslash, so none is left; a role escapes backslashes and
 line ends.
 
-Conversations are cut into segments of ``SEGMENT`` turn numbers, so one long
-conversation is formatted by many tasks. In a segment the prefix sums of the
-turns' token counts choose the longest spans of whole turns that fit the
-budget beside their context: the conversation's first system turn, and the
-latest turns before the span, limited in number and tokens. Context is never
-under the loss mask, so an assistant text is a target once. Context does not
-reach back over a segment's edge, except for the system turn. A turn that is
-longer than the budget is a window of its own, never cut.
+Turns are numbered by their place in the conversation and cut into segments of
+``SEGMENT`` turns, so one long conversation is formatted by many tasks. In a
+segment the prefix sums of the turns' token counts choose the longest spans of
+whole turns that fit the budget beside their context: the conversation's first
+system turn, and the latest turns before the span, limited in number and
+tokens. Context is never under the loss mask, so an assistant text is a target
+once. The last turns before a segment come with it as history, so only spans
+end at a segment's edge. Context gives way to the span's first turn: first the
+history, then the system turn. So a window exceeds the budget only if it is
+one turn that does by itself; such a turn is never cut.
 
 Defined cases: null texts and roles are empty strings; turns are ordered by
 turn (null last), then role and text, repeated rows included; a null
@@ -30,16 +32,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.scan import keyed_scan
 from .common import slices
 from .tokens import worker_encoder
 
-#: Tokens of a window; share of it for history; turns of history; turn numbers of a segment.
+#: Tokens of a window; share of it for history; turns of history; turns of a segment.
 BUDGET, HISTORY_SHARE, HISTORY_TURNS, SEGMENT = 2048, 0.25, 4, 256
 #: Turns held before spans are chosen; bounds a task's memory where many turns share a number.
 HELD_TURNS = 512
 START, END = "<|im_start|>", "<|im_end|>\n"
 TARGET_ROLE, SYSTEM_ROLE = "assistant", "system"
-LAST_SEGMENT = 1 << 62
+#: Rows of a segment: its conversation's system turn, the history before it, its own turns.
+SYSTEM_ROW, HISTORY_ROW, OWN_ROW = 0, 1, 2
 
 WINDOW_SCHEMA = ("conv_id long, segment long, window long, text string, context_chars long, n_turns long, "
                  "n_tokens long, loss array<struct<start:long,end:long>>")
@@ -84,28 +88,33 @@ class Segment:
 
     def __init__(self, conv_id, segment: int, budget: int):
         self.conv_id, self.segment, self.budget = conv_id, segment, budget
-        self.system: tuple[str, int] | None = None
-        self.turns: list[tuple[str, int, int, int, str]] = []  # text, text start, text end, tokens, role
-        self.past: list[tuple[str, int]] = []
+        self.system: tuple[str, int, int] | None = None  # text, tokens, place
+        self.turns: list[tuple[str, int, int, int, str, int]] = []  # text, text start, text end, tokens, role, place
+        self.past: list[tuple[str, int, int]] = []
         self.windows = 0
 
-    def context(self) -> list[tuple[str, int]]:
-        history, room = [], int(self.budget * HISTORY_SHARE)
-        for turn in reversed(self.past[-HISTORY_TURNS:]):
-            if turn is self.system or turn[1] > room:
+    def remember(self, turn: tuple[str, int, int]) -> None:
+        self.past = self.past[-HISTORY_TURNS + 1:] + [turn]
+
+    def context(self, first: int) -> list[tuple[str, int, int]]:
+        """The system turn and the history that fit the budget beside a turn of ``first`` tokens."""
+        system = [self.system] if self.system and self.system[1] + first <= self.budget else []
+        history, room = [], min(int(self.budget * HISTORY_SHARE), self.budget - first - sum(t[1] for t in system))
+        for turn in reversed(self.past):
+            if (self.system and turn[2] == self.system[2]) or turn[1] > room:
                 break
             room -= turn[1]
             history.insert(0, turn)
-        return ([self.system] if self.system else []) + history
+        return system + history
 
     def choose(self, final: bool) -> Iterator[tuple]:
         """Windows of the turns held; the last span stays held unless the segment ends."""
         sums = np.cumsum([t[3] for t in self.turns])
         at = 0
         while at < len(self.turns):
-            context = self.context()
+            context = self.context(self.turns[at][3])
             before = int(sums[at - 1]) if at else 0
-            room = self.budget - sum(tokens for _, tokens in context)
+            room = self.budget - sum(t[1] for t in context)
             stop = max(at + 1, int(np.searchsorted(sums, before + room, "right")))
             if stop >= len(self.turns) and not final:
                 break
@@ -114,18 +123,18 @@ class Segment:
         self.turns = self.turns[at:]
 
     def window(self, context: list[tuple[str, int]], span: list) -> tuple:
-        head = "".join(text for text, _ in context)
-        loss, place = [], len(head)
-        for text, begin, end, tokens, role in span:
+        head = "".join(t[0] for t in context)
+        loss, at = [], len(head)
+        for text, begin, end, tokens, role, place in span:
             if role == TARGET_ROLE:
-                loss.append({"start": place + begin, "end": place + end})
-            place += len(text)
-            turn = (text, tokens)
+                loss.append({"start": at + begin, "end": at + end})
+            at += len(text)
+            turn = (text, tokens, place)
             if role == SYSTEM_ROLE and self.system is None:
                 self.system = turn
-            self.past = self.past[-HISTORY_TURNS:] + [turn]
+            self.remember(turn)
         row = (self.conv_id, self.segment, self.windows, head + "".join(t[0] for t in span), len(head), len(span),
-               sum(tokens for _, tokens in context) + sum(t[3] for t in span), loss)
+               sum(t[1] for t in context) + sum(t[3] for t in span), loss)
         self.windows += 1
         return row
 
@@ -136,18 +145,22 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, tokeniz
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("segment", F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(LAST_SEGMENT)).cast("long"))
-    order = F.struct(F.col("turn").isNull(), "turn", "text")
-    systems = (rows.where(F.col("role") == SYSTEM_ROLE).groupBy("conv_id")
-               .agg(F.min_by(F.struct("segment", "text"), order).alias("s")))
-    systems = systems.select(F.col("conv_id").alias("conv"), F.col("s.segment").alias("first"), F.col("s.text").alias("text"))
-    later = (rows.groupBy("conv_id", "segment").agg(F.count(F.lit(1)).alias("n"))
-             .join(systems, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("segment") > F.col("first")))
-             .select("conv_id", F.lit(None).cast("long").alias("turn"), F.lit(SYSTEM_ROLE).alias("role"), "text", "segment",
-                     F.lit(0).alias("kind")))
-    keys = ["conv_id", "segment", "kind", F.col("turn").asc_nulls_last(), "role", "text"]
-    ordered = (rows.withColumn("kind", F.lit(1)).unionByName(later).repartition("conv_id", "segment")
-               .sortWithinPartitions(*keys).select("conv_id", "segment", "kind", "role", "text"))
+    rows = keyed_scan(rows, ["conv_id"], [F.col("turn").isNull(), F.col("turn"), F.col("role"), F.col("text")])
+    rows = rows.select("conv_id", "role", "text", (F.col("rn") - 1).alias("place"),
+                       F.floor((F.col("rn") - 1) / SEGMENT).cast("long").alias("segment"))
+    systems = (rows.groupBy("conv_id").agg(
+        F.min_by(F.struct("text", "place", "segment"), F.when(F.col("role") == SYSTEM_ROLE, F.col("place"))).alias("s"),
+        F.max("segment").alias("last")).where(F.col("last") > F.col("s.segment"))
+        .select("conv_id", F.explode(F.sequence(F.col("s.segment") + 1, F.col("last"))).alias("segment"),
+                F.lit(SYSTEM_ROW).alias("kind"), F.col("s.place").alias("place"), F.lit(SYSTEM_ROLE).alias("role"),
+                F.col("s.text").alias("text")))
+    own = F.struct("segment", F.lit(OWN_ROW).alias("kind"))
+    history = F.struct((F.col("segment") + 1).alias("segment"), F.lit(HISTORY_ROW).alias("kind"))
+    turns = (rows.withColumn("at", F.explode(F.when(F.col("place") % SEGMENT >= SEGMENT - HISTORY_TURNS, F.array(own, history))
+                                             .otherwise(F.array(own))))
+             .select("conv_id", "at.segment", "at.kind", "place", "role", "text"))
+    ordered = (turns.unionByName(systems).repartition("conv_id", "segment")
+               .sortWithinPartitions("conv_id", "segment", "kind", "place"))
     names = [f.split()[0] for f in WINDOW_SCHEMA.split(", ")]
     kinds = [pa.int64()] * 3 + [pa.string()] + [pa.int64()] * 3 + [pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
 
@@ -160,17 +173,19 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, tokeniz
 
         for batch in batches:
             for part in slices(batch):
-                for conv_id, segment, kind, role, text in zip(*(c.to_pylist() for c in part.columns)):
+                for conv_id, segment, kind, place, role, text in zip(*(c.to_pylist() for c in part.columns)):
                     if now is None or (now.conv_id, now.segment) != (conv_id, segment):
                         if now is not None:
                             out += now.choose(True)
                         now = Segment(conv_id, segment, budget)
                     turn, begin, end = render(role, text)
                     tokens = len(encode(turn)) // 4
-                    if kind == 0:
-                        now.system = (turn, tokens)
-                        continue
-                    now.turns.append((turn, begin, end, tokens, role))
+                    if kind == SYSTEM_ROW:
+                        now.system = (turn, tokens, place)
+                    elif kind == HISTORY_ROW:
+                        now.remember((turn, tokens, place))
+                    else:
+                        now.turns.append((turn, begin, end, tokens, role, place))
                     if len(now.turns) >= HELD_TURNS:
                         out += now.choose(False)
                 if out:

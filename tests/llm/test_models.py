@@ -42,9 +42,26 @@ def test_chat_windows_read_back(spark, budget):
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.format_digests(table, budget).collect()}
     assert got == brute_chat(rows + PROBE)
     windows = chat.format_conversations(table, budget).collect()
-    assert all(w.n_tokens <= budget for w in windows if w.n_turns > 1 and w.context_chars == 0)
-    late = [w for w in windows if w.conv_id == 4 and w.segment == 2]
-    assert all(list(chat.parse(w.text[:w.context_chars]))[0] == ("system", "late") for w in late)
+    assert all(w.n_tokens <= budget or (w.n_turns == 1 and w.context_chars == 0) for w in windows)
+
+
+@pytest.mark.parametrize("budget", [80, 2048])
+def test_context_reaches_over_segments(spark, budget):
+    """Turns are numbered by place; every window has the system turn and the history right before it."""
+    rows = [(1, 1000 * i, "system" if i == 2 else "user", f"say {i}") for i in range(600)]
+    windows = sorted(chat.format_conversations(spark.createDataFrame(rows, CHAT), budget).collect(), key=lambda w: (w.segment, w.window))
+    assert {w.segment for w in windows} == {0, 1, 2} and all(w.n_tokens <= budget for w in windows)
+    place = 0
+    for w in windows:
+        context = [t for _, t in chat.parse(w.text[:w.context_chars])]
+        own = [t for _, t in chat.parse(w.text[w.context_chars:])]
+        assert own == [f"say {i}" for i in range(place, place + len(own))]
+        if place > 2:
+            assert context[0] == "say 2" and len(context) <= 1 + chat.HISTORY_TURNS
+            assert context[1:] == [f"say {i}" for i in range(place - len(context) + 1, place)]
+            assert len(context) > 1 or place == 3
+        place += len(own)
+    assert place == 600
 
 
 def test_no_conversations(spark):
