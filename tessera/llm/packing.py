@@ -7,7 +7,9 @@ partition whose bin count equals the bound. While the bins of all partitions
 together exceed the bound of the whole input (from its length histogram),
 each partition gives up its emptiest bins, enough of them to hold its gap in
 free space; their documents are exchanged, dealt to fewer partitions, and
-packed anew. Only slim rows (ids and lengths) take part in the exchange.
+packed anew, also where one partition is left. The exchange ends at the bound
+or when a round gains nothing; a round that needs more bins than the one
+before is dropped for it. Only slim rows (ids and lengths) take part.
 
 Defined cases: null text is empty; every document ends with ``end_id``, so an
 empty one is a single id; rows are packed one by one, repeated rows and null
@@ -152,7 +154,7 @@ def pack(pieces: DataFrame, capacity: int, group_items: int = GROUP_ITEMS) -> Da
     histogram = pool.groupBy("length").count().toPandas()  # at most ``capacity`` rows
     bound = lower_bound(histogram["length"].to_numpy(), histogram["count"].to_numpy(), capacity)
     waiting, settled, number = int(histogram["count"].sum()), None, 0
-    others, best = 0, None  # bins settled before this round; all bins after the last one
+    others, best, before = 0, None, None  # bins settled before this round; all bins after the last one, what it released
     names = pool.columns
     while True:
         groups = max(1, -(-waiting // group_items))
@@ -163,12 +165,15 @@ def pack(pieces: DataFrame, capacity: int, group_items: int = GROUP_ITEMS) -> Da
             F.count(F.when(F.col("released"), 1))).first()
         total = others + bins
         gained = best is None or total < best
-        last = total == bound or free < 2 or groups == 1 or not gained or number == 63
-        keep = (packed if last else packed.where(~F.col("released"))).select(*names, "sequence_id", "offset")
+        last = total == bound or free < 2 or not gained or number == 63
+        placed = packed.select(*names, "sequence_id", "offset", "released")
+        # a round that needs more bins than the one before is not kept
+        keep = (before if best is not None and total > best else placed if last else placed.where(~F.col("released"))).drop("released")
         settled = keep if settled is None else settled.unionByName(keep)
         if last:
             return settled
-        pool, waiting, others = packed.where("released").select(*names), free_items, total - free
+        before = placed.where("released")
+        pool, waiting, others = before.select(*names), free_items, total - free
         best, number = total, number + 1
 
 

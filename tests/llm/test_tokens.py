@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
 from tessera.llm import packing, token_counts, token_files
 from tessera.llm.common import load_tokenizer
 from tessera.llm.tokens import make_encoder
@@ -98,6 +99,31 @@ def test_partitions_exchange_until_the_bound(spark, documents):
     assert bound <= alone <= apart <= bound + max(2, bound // 100)
 
 
+def test_a_worse_round_is_dropped(spark, monkeypatch):
+    """The second round gives each item a bin of its own; the first round's packing stays, whole."""
+    right, rounds = packing._pack_round, []
+
+    def spoilt(pool, groups, number, capacity):
+        rounds.append(number)
+        packed = right(pool, groups, number, capacity)
+        if number:
+            packed = packed.withColumns({"sequence_id": F.col("doc_id") + (1 << 60), "offset": F.lit(0).cast("long"),
+                                         "opens": F.lit(1).cast("long")})
+        return packed
+
+    rng = random.Random(8)
+    lengths = [rng.randint(200, 700) for _ in range(400)]
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, length long")
+    monkeypatch.setattr(packing, "_pack_round", spoilt)
+    got = packing.pack(pieces, 1024, group_items=50).collect()
+    assert rounds == [0, 1] and sorted(r.doc_id for r in got) == list(range(400))
+    assert max(r.sequence_id for r in got) < 1 << 60
+    fill = collections.Counter()
+    for r in got:
+        fill[r.sequence_id] += r.length
+    assert max(fill.values()) <= 1024
+
+
 def test_dual_feasible_bound():
     rng = np.random.default_rng(3)
     for _ in range(60):
