@@ -5,8 +5,9 @@ embedding table; a text is the average over all of them. The table and the
 softmax are trained together by stochastic gradient descent in numpy, on at
 most ``SAMPLE_DOCS`` labelled documents, each seen whole and as short
 snippets. A held-back fifth of the sample sets the temperature that calibrates the
-probabilities, and the score under which a text is rejected: the score that
-all but ``REJECT_RATE`` of its correctly named texts reach, ``REJECT_MOST`` at most.
+probabilities, and the scores under which a text is rejected: one from the
+correctly named whole texts, with a margin, and one from the snippets for
+texts no longer than these.
 
 Every text is scored whole, in Arrow batches on the executors; only the
 bounded sample's hashed counts reach the driver.
@@ -19,6 +20,7 @@ table gives no rows. Predictions read only the text.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,7 +39,9 @@ BUCKETS, DIM = 1 << 13, 16
 #: Words of the snippets that are learned from beside the whole text.
 SNIPPETS = (2, 5, 12)
 EPOCHS, BATCH, RATE = 10, 48, 0.5
-REJECT_RATE, REJECT_MOST = 0.002, 0.4
+#: A whole text is rejected when the odds of its language are under a share of those that all but ``REJECT_RATE`` of
+#: the held-back whole texts reach; one no longer than a snippet, under the score that all but so many snippets reach.
+REJECT_RATE, REJECT_SHARE, REJECT_SNIPPETS = 0.05, 1 / 20, 0.002
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 #: Runs kept by a worker; texts looked at together, and runs of each at a time.
@@ -94,10 +98,12 @@ class Model:
     logits: np.ndarray  # BUCKETS x languages: the embedding times the softmax weights, over the temperature
     bias: np.ndarray
     threshold: float
+    short: float  # texts of at most so many subwords are held to ``short_threshold``
+    short_threshold: float
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray, bool]], seed: int = 7) -> Model | None:
-    """rows: (language, buckets, counts, whether it calibrates)."""
+def train(rows: list[tuple[str, np.ndarray, np.ndarray, bool, bool]], seed: int = 7) -> Model | None:
+    """rows: (language, buckets, counts, whether it calibrates, whether it is a whole text)."""
     languages = sorted({r[0] for r in rows})
     if not languages:
         return None
@@ -106,7 +112,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray, bool]], seed: int = 7) -
 
     def dense(own: list) -> np.ndarray:
         x = np.zeros((len(own), BUCKETS), np.float32)
-        for i, (_, at, n, _) in enumerate(own):
+        for i, (_, at, n, *_) in enumerate(own):
             x[i, at] = n
         return x / np.maximum(x.sum(1, keepdims=True), 1)
 
@@ -140,9 +146,17 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray, bool]], seed: int = 7) -
     losses = [-np.log(np.maximum(probabilities(h)[np.arange(len(truth)), truth], 1e-9)).mean() for h in heats]
     heat = float(heats[int(np.argmin(losses))])
     p = probabilities(heat)
-    right = np.sort(p.max(1)[p.argmax(1) == truth])
-    threshold = float(right[int(len(right) * REJECT_RATE)]) if len(right) else 0.0
-    return Model(languages, (table @ weights / heat).astype(np.float64), (bias / heat).astype(np.float64), min(threshold, REJECT_MOST))
+    right, whole = p.argmax(1) == truth, np.array([r[4] for r in check])
+    size = np.array([r[2].sum() for r in check])
+
+    def reached(own: np.ndarray, rate: float) -> float:
+        scores = np.sort(p.max(1)[own & right])
+        return float(scores[int(len(scores) * rate)]) if len(scores) else 0.0
+
+    least = reached(whole, REJECT_RATE)
+    odds = least / max(1 - least, 1e-9) * REJECT_SHARE
+    return Model(languages, (table @ weights / heat).astype(np.float64), (bias / heat).astype(np.float64), odds / (1 + odds),
+                 float(size[~whole].max(initial=0)), reached(~whole, REJECT_SNIPPETS))
 
 
 class Scorer:
@@ -204,7 +218,9 @@ class Scorer:
         p = np.exp(z - z.max())
         p /= p.sum()
         best = int(p.argmax())
-        return self.model.languages[best], float(p[best]), bool(p[best] < self.model.threshold)
+        model = self.model
+        threshold = model.short_threshold if total[-1] <= model.short else model.threshold
+        return model.languages[best], float(p[best]), bool(p[best] < threshold)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +261,8 @@ def fit(docs: DataFrame, learn_from: Column, label_col: str = "lang", id_col: st
               .mapInArrow(_features, "lang string, key long, buckets binary, counts binary")
               .limit(sample_docs * (1 + len(SNIPPETS))).collect())
     rows = sorted(sample, key=lambda r: (r["key"], r["lang"], r["counts"]))
-    return train([(r["lang"], np.frombuffer(r["buckets"], "<u2"), np.frombuffer(r["counts"], "<f4"), r["key"] // 8 % 5 == 0)
+    return train([(r["lang"], np.frombuffer(r["buckets"], "<u2"), np.frombuffer(r["counts"], "<f4"), r["key"] // 8 % 5 == 0,
+                   r["key"] % 8 == 0)
                   for r in rows])
 
 
@@ -255,9 +272,10 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", out:
     if model is None:
         unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
         return docs.withColumn(out, unknown)
-    key = zlib.crc32(model.logits.tobytes() + model.bias.tobytes())
+    key = hashlib.sha256(repr((model.languages, model.threshold, model.short, model.short_threshold)).encode()
+                         + model.logits.tobytes() + model.bias.tobytes()).digest()
     # BUCKETS x languages numbers; plain values, since workers need not have this package
-    held = docs.sparkSession.sparkContext.broadcast((model.languages, model.logits, model.bias, model.threshold))
+    held = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
     def run(series):
         import pandas as pd

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import pytest
 
@@ -77,6 +78,21 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_unknown_languages_are_rejected(spark):
+    """A language that no label names goes, and so do letters without a language; learned ones stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(2, 9))) for _ in range(60)) for _ in range(100)]
+    for left_out in ("de", "fr"):
+        model = langid.fit(docs.where(F.col("lang") != left_out), ~langid.held_out())
+        own = docs.where(langid.held_out() & F.col("text").rlike("[A-Za-z]")).select("text", "lang")
+        own = own.unionByName(spark.createDataFrame([(t, "noise") for t in noise], "text string, lang string"))
+        gone = {r.kind: r.gone for r in langid.identify(own, model).groupBy(
+            F.when(F.col("lang").isin(left_out, "noise"), F.col("lang")).otherwise("learned").alias("kind"))
+            .agg(F.avg(F.col("language.rejected").cast("int")).alias("gone")).collect()}
+        assert gone[left_out] >= 0.8 and gone["noise"] >= 0.95 and gone["learned"] <= 0.01, gone
+
+
 def test_language_of_odd_documents(documents, odd_docs, no_docs):
     model = langid.fit(documents, ~langid.held_out(), sample_docs=80)
     named = langid.identify(odd_docs, model, out="language")
