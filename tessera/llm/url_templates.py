@@ -7,8 +7,9 @@ that rules decide are the labels for the rest.
 The tree is built one level at a time, per host, on distinct paths with their
 counts. At a node, a segment becomes the wildcard ``*`` when it looks like an
 identifier (it has a digit), or when the node has more than ``WIDE`` different
-segments and this one has less than ``LEAST_SHARE`` of its pages. Below
-``DEPTH`` levels the rest is ``**``. Then sibling branches whose labels agree
+segments and this one has less than ``LEAST_SHARE`` of its pages. The steps
+that all paths of a node have in common are named at once, so there are as
+many rounds as a path has branchings; paths are never cut. Then sibling branches whose labels agree
 with those of all siblings together (a test of two proportions), and whose
 steps below are the same, are merged into one. A template is rejected when its
 smoothed purity, its share of blocked labels shrunk toward its host's and that
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialise
 
-WIDE, LEAST_SHARE, DEPTH = 12, 0.05, 6
+WIDE, LEAST_SHARE = 12, 0.05
 #: Stands for the step in which siblings differ; no segment has it.
 ANY = "/"
 #: Deviations within which branches are similar.
@@ -66,24 +67,39 @@ def apply_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """``paths`` (host, path, n, labelled, blocked; a row per distinct path) plus template."""
+    """``paths`` (host, path, n, labelled, blocked; a row per distinct path) plus template and marks.
+
+    ``marks`` are the steps at which the template's paths part from others, and the steps before those.
+    """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    tree = materialise(paths.withColumn("segments", segments).withColumn("template", F.lit("")), "paths")
-    deepest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(deepest, DEPTH)):
-        inside = tree.where(F.size("segments") > level).withColumn("step", F.get("segments", F.lit(level)))
-        children = inside.groupBy("host", "template", "step").agg(F.sum("n").alias("own"))
-        children = materialise(children, "children")
+    tree = materialise(paths.withColumns({"rest": segments, "template": F.lit(""), "marks": F.array().cast("array<int>")}), "paths")
+    settled = None
+    while True:
+        named = tree.where(F.size("rest") == 0).drop("rest")
+        settled = named if settled is None else settled.unionByName(named)
+        inside = tree.where(F.size("rest") > 0)
+        if inside.isEmpty():
+            return settled
+        # what the first and the last path of a node have in common, all have
+        ends = inside.groupBy("host", "template").agg(F.min("rest").alias("low"), F.max("rest").alias("high"))
+        parts = F.array_position(F.zip_with("low", "high", lambda a, b: F.coalesce(a != b, F.lit(True))), True)
+        ends = ends.select("host", "template", F.when(parts == 0, F.size("low")).otherwise(parts - 1).cast("int").alias("common"))
+        chain = F.transform(F.slice("rest", F.lit(1), F.col("common")), lambda s: F.concat(F.lit("/"), F.when(s.rlike("[0-9]"), "*").otherwise(s)))
+        down = inside.join(ends, ["host", "template"])
+        down = down.withColumns({"template": F.concat("template", F.array_join(chain, "")),
+                                 "rest": F.slice("rest", F.col("common") + 1, F.size("rest"))})
+        down = materialise(down.drop("common"), "chains")
+        ended, inside = down.where(F.size("rest") == 0), down.where(F.size("rest") > 0).withColumn("step", F.get("rest", F.lit(0)))
+        children = materialise(inside.groupBy("host", "template", "step").agg(F.sum("n").alias("own")), "children")
         nodes = children.groupBy("host", "template").agg(F.sum("own").alias("total"), F.count(F.lit(1)).alias("wide"))
-        literal = children.join(nodes, ["host", "template"]).where(
-            ~F.col("step").rlike("[0-9]") & ((F.col("wide") <= WIDE) | (F.col("own") >= LEAST_SHARE * F.col("total")))
-        ).select("host", "template", "step", F.lit(True).alias("kept"))
-        named = inside.join(literal, ["host", "template", "step"], "left")
-        token = F.when(F.col("kept"), F.col("step")).otherwise(F.lit("*"))
-        grown = named.withColumn("template", F.concat("template", F.lit("/"), token)).drop("step", "kept")
-        tree = materialise(grown.unionByName(tree.where(F.size("segments") <= level)), "tree")
-    deeper = F.when(F.size("segments") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    return tree.withColumn("template", F.concat("template", deeper)).drop("segments")
+        literal = ~F.col("step").rlike("[0-9]") & ((F.col("wide") <= WIDE) | (F.col("own") >= LEAST_SHARE * F.col("total")))
+        tokens = children.join(nodes, ["host", "template"]).select(
+            "host", "template", "step", F.when(literal, F.col("step")).otherwise(F.lit("*")).alias("token"))
+        at = F.size(F.split("template", "/"))  # the step that follows the template
+        grown = inside.join(tokens, ["host", "template", "step"]).withColumns({
+            "marks": F.concat("marks", F.array(at - 1, at)), "template": F.concat("template", F.lit("/"), "token"),
+            "rest": F.slice("rest", F.lit(2), F.size("rest"))}).drop("step", "token")
+        tree = materialise(grown.unionByName(ended), "tree")
 
 
 def merge_branches(tree: DataFrame) -> DataFrame:
@@ -94,8 +110,9 @@ def merge_branches(tree: DataFrame) -> DataFrame:
     """
     steps = F.split("template", "/")
     # the first step that is no wildcard is where siblings differ
-    at = F.array_position(F.transform(steps, lambda s: (s != "") & (s != "*") & (s != "**")), True)
-    sums = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
+    at = F.array_position(F.transform(steps, lambda s: (s != "") & (s != "*")), True)
+    sums = tree.groupBy("host", "template").agg(
+        *[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")], F.max("marks").alias("marks"))
     own = sums.withColumn("at", at).withColumn(
         "family", F.when(F.col("at") > 0, F.array_join(F.transform(steps, lambda s, i: F.when(i == F.col("at") - 1, F.lit("~")).otherwise(s)), "/"))
         .otherwise(F.col("template")))
@@ -107,7 +124,7 @@ def merge_branches(tree: DataFrame) -> DataFrame:
     spread = F.sqrt(F.try_divide(F.greatest(rate * (1 - rate), F.lit(1e-3)), F.col("labelled")))
     # null where there is no label: such a branch stays by itself
     similar = (F.col("members") > 1) & (F.abs(F.try_divide("blocked", "labelled") - rate) <= SIMILAR * spread)
-    return joined.select("host", "template", "n", "labelled", "blocked",
+    return joined.select("host", "template", "n", "labelled", "blocked", "marks",
                          F.when(similar, F.col("family")).otherwise(F.col("template")).alias("branch"),
                          F.when(similar, (F.col("at") - 1).cast("int")).alias("merged_at"))
 
@@ -117,11 +134,12 @@ def nearest_levels(merged: DataFrame) -> DataFrame:
 
     The levels are the beginnings of a template, that of ``k`` steps with rank
     2k, and before the beginning that ends above step ``i`` the siblings that
-    differ in that step alone, with rank 2i - 1. The host is rank 0.
+    differ in that step alone, with rank 2i - 1. The host is rank 0. Between
+    the marks of a template nothing changes, so they and its end are enough.
     """
     steps = F.split("template", "/")
-    places = F.sequence(F.lit(0), F.size(steps) - 1)
-    named = F.filter(places, lambda i: ~F.get(steps, i).isin("", "*", "**"))
+    places = F.array_distinct(F.concat(F.array(F.lit(0), F.size(steps) - 1), "marks"))
+    named = F.filter(places, lambda i: ~F.get(steps, i).isin("", "*"))
     level = lambda rank, parts: F.struct(rank.alias("rank"), F.array_join(parts, "/").alias("node"))
     above = F.transform(places, lambda k: level(2 * k, F.slice(steps, 1, k + 1)))
     beside = F.transform(named, lambda i: level(2 * i - 1, F.transform(steps, lambda s, j: F.when(j == i, F.lit(ANY)).otherwise(s))))

@@ -186,6 +186,20 @@ def test_templates_generalise_and_reject(spark):
     assert found["/news/b3/x"].verdict == "allow" and found["/only-c/x"].template == "/*/x"
 
 
+def test_deep_paths_are_not_cut(spark):
+    """Branches part at any depth; a path of thousands of segments is named to its end."""
+    deep, long = "a/b/c/d/e/f/g", "/x" * 20_000 + "/7"
+    rules = (("site.net", f"/{deep}/spam/a", "block"), ("site.net", f"/{deep}/good/a", "allow"))
+    urls = [f"http://site.net/{deep}/{part}/{leaf}" for part in ("spam", "good") for leaf in [f"a{i}" for i in range(30)] + ["blue"]]
+    urls += [f"http://long.net{long}", f"http://long.net{long}", f"http://long.net{long}/y"]
+    got = url_templates.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    found = {r.path: r for r in got}
+    assert len(got) == len(urls)
+    assert found[f"/{deep}/spam/blue"].verdict == "block" and found[f"/{deep}/good/blue"].verdict == "allow"
+    assert found[f"/{deep}/spam/a3"].template == f"/{deep}/spam/*"
+    assert found[long].template == long[:-1] + "*" and found[long + "/y"].template == long[:-1] + "*/y"
+
+
 def test_branches_without_labels_inherit(spark):
     urls = [f"http://{host}/{part}/{i}" for host, parts in {
         "bad.com": {"de": 30, "en": 10}, "mixed.com": {"de": 30, "fr": 30, "en": 10}, "few.com": {"de": 2, "en": 10}, "none.net": {"de": 30, "en": 10},
