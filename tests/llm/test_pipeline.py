@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 
