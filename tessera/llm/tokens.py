@@ -7,7 +7,9 @@ encoded by the library once per cache filling.
 * ``byte_bpe`` files (byte-level, white space kept): runs are white space and
   the other characters after it. No match of the split pattern starts in
   other characters and ends in white space, and its only look-around looks to
-  the right.
+  the right. A run that starts with Latin letters, after one space or line end
+  or none, and goes on with an ASCII mark is cut before the mark, and one of a
+  line end and such letters after the line end.
 * ``word_bpe`` files (white space dropped): runs are the characters between
   white space.
 """
@@ -24,11 +26,12 @@ from .common import Memo, load_tokenizer, per_worker
 WHITE = "\t-\r \x85\xa0  -     　"
 #: White space for str.split() but not for the tokenizers.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-KEEPS_SPACE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 DROPS_SPACE = re.compile(f"[^{WHITE}]+")
 #: Latin letters that are one code point in composed form; ASCII marks end any run of letters.
-LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-HEAD = re.compile(f"([{LETTERS}]+)([!-/:-@\\[-`{{-~].*)", re.DOTALL)
+LETTERS, MARKS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-/:-@\\[-`{-~"
+ALONE = f"[{LETTERS}]++(?![^{WHITE}{MARKS}])"
+KEEPS_SPACE = re.compile(f" ?{ALONE}|\n(?={ALONE})|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+HEAD = re.compile(f"([{LETTERS}]+)([{MARKS}].*)", re.DOTALL)
 WORD = re.compile(f" ?[{LETTERS}]+")
 #: Distinct runs kept by a worker.
 CACHE_RUNS = 400_000
@@ -63,26 +66,22 @@ def make_encoder(name_or_path: str) -> Callable[[str], bytes]:
     through the library's whole pipeline.
     """
     tokenizer = load_tokenizer(name_or_path)
-    keeps, model, symbols = keeps_space(tokenizer), tokenizer.model, byte_symbols()
+    model, symbols = tokenizer.model, byte_symbols()
+    space, others = symbols[32], dict(enumerate(symbols))
 
     def run_ids(run: str) -> bytes:
         if WORD.fullmatch(run):
-            mapped = "".join([symbols[b] for b in run.encode()])
+            mapped = run.replace(" ", space) if run.isascii() else run.encode().decode("latin-1").translate(others)
             return array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
         return array("I", tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
 
     memo = Memo(run_ids, CACHE_RUNS)
+    if keeps_space(tokenizer):
+        look_up, runs_of = memo.__getitem__, KEEPS_SPACE.findall
+        return lambda text: b"".join(map(look_up, runs_of(text)))
 
     def compound(run: str) -> bytes:
         """A run that is not in the cache."""
-        if keeps:
-            lead = run[:1] if run[:1] in " \n" else ""
-            cut = HEAD.fullmatch(run, len(lead))
-            if lead == "\n":
-                if cut:
-                    return memo[lead] + memo[cut[1]] + memo[cut[2]]
-                return memo[lead] + memo[run[1:]] if WORD.fullmatch(run, 1) and run[1] != " " else memo[run]
-            return memo[lead + cut[1]] + memo[cut[2]] if cut else memo[run]
         cut = HEAD.fullmatch(run)
         if cut:
             return low(cut[1]) + memo[cut[2]]
@@ -95,8 +94,6 @@ def make_encoder(name_or_path: str) -> Callable[[str], bytes]:
         get = memo.get
         return b"".join([get(r) or compound(r) for r in runs])
 
-    if keeps:
-        return lambda text: ids(KEEPS_SPACE.findall(text))
     return lambda text: ids(split_words(text))
 
 

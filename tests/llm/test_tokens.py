@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tessera.llm import packing, token_counts, token_files
 from tessera.llm.common import load_tokenizer
-from tessera.llm.tokens import make_encoder
+from tessera.llm.tokens import KEEPS_SPACE, make_encoder
 
 ALPHABET = list("abcdeTHE's'll  \t\n\r\x1c\x1f\x85\xa0 　.,!?0123456789İΣßéÉñ漢字☃😀́‍") + [
     "<|endoftext|>", "<|startoftext|>", "the ", "tion", "\x00", "ﬁ", "Å", "½", "Ⅷ", "ẞ", "﻿"]
@@ -28,6 +28,19 @@ def test_runs_give_the_ids_of_the_text(name):
         assert np.frombuffer(by_run(text), np.uint32).tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_letters_before_a_mark_are_runs_by_themselves():
+    text = "Abé, cd.\nEf x1, a\x1cb; \n gh'll  ij! İk,"
+    runs = ["Abé", ",", " cd", ".", "\n", "Ef", " x1,", " a\x1cb;", " \n gh'll", "  ij!", " İk,"]
+    assert KEEPS_SPACE.findall(text) == runs
+    # the ids are the library's
+    whole, by_run = load_tokenizer("byte_bpe_50k.json"), make_encoder("byte_bpe_50k.json")
+    rng = random.Random(2)
+    words = ["the", "Été", "don't", "x1", "naïve", "ſ", "re", "\n", " ", "", "\xa0", "漢字"]
+    for _ in range(2000):
+        text = "".join(rng.choice(words) + rng.choice(list(",.!'’-_`{~ \n  ")) for _ in range(rng.randint(1, 12)))
+        assert np.frombuffer(by_run(text), np.uint32).tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_merging_counts_like_the_library():
     whole, count = load_tokenizer("word_bpe_49k.json"), token_counts.make_counter("word_bpe_49k.json")
     for text in random_texts():
