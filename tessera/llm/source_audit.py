@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise, slices
@@ -144,9 +145,13 @@ def accumulate_cell(sources: np.ndarray, terms: np.ndarray, p: np.ndarray, base:
 
 
 def _cell_rows(key: tuple, cell: pa.Table) -> pa.Table:
-    """(lang, a, b, value) of a cell's pairs of groups; each pair once, also where both blocks are the same."""
-    source = cell["source"].combine_chunks().dictionary_encode()
-    names, code = source.dictionary, source.indices.to_numpy(zero_copy_only=False)
+    """(lang, a, b, value) of a cell's pairs of groups; each pair once, also where both blocks are the same.
+
+    Sources are numbered by name: the rows of a cell come in any order, and every slice has to name a pair alike.
+    """
+    listed = cell["source"].combine_chunks()
+    names = listed.unique().sort()
+    code = pc.index_in(listed, names).to_numpy(zero_copy_only=False)
     block, p = cell["block"].to_numpy(), cell["p"].to_numpy()
     head = np.asarray(cell["term"].combine_chunks().is_null())
     term = cell["term"].combine_chunks().filter(pa.array(~head)).dictionary_encode().indices.to_numpy(zero_copy_only=False)

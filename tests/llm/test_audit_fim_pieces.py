@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import fill_middle, sentence_pieces, source_audit
@@ -67,6 +68,24 @@ def test_audit_like_brute_force(spark, mixed, monkeypatch, block, entries):
     assert set(got) == brute_audit(mixed, 12, 5, 7)
 
 
+def test_slices_name_a_pair_alike():
+    # rows reach a cell in the order in which its blocks are fetched
+    heads = [("s1", None, 0, 5, 2), ("s2", None, 0, 7, 2), ("Ü", None, 0, 9, 2)]
+    body = [("s2", "x", 0, 20, 0), ("s1", "x", 0, 30, 0), ("Ü", "y", 0, 40, 0)]
+
+    def pairs(rows):
+        names = ["source", "term", "block", "p", "kept"]
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        cell = pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        key = (pa.scalar("en"), pa.scalar(0), pa.scalar(0), pa.scalar(0))
+        return sorted(tuple(r.values()) for r in source_audit._cell_rows(key, cell).to_pylist())
+
+    # x: 30, 20, 9; y: 5, 7, 40
+    assert pairs(heads + body) == [("en", "s1", "s2", 12), ("en", "s1", "Ü", 56), ("en", "s2", "Ü", 44)]
+    for rows in (body + heads, heads[::-1] + body, body[::-1] + heads[::-1]):
+        assert pairs(rows) == pairs(heads + body)
+
+
 def test_audit_of_little(spark):
     empty = audit_rows(spark, [("a", "b", "c")]).limit(0)
     assert source_audit.audit_sources(empty).collect() == []
