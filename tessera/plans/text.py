@@ -13,6 +13,10 @@ from ..operators.scan import keyed_scan
 from ..sources.tables import table
 
 
+#: Sections of a conversation that one group joins.
+PART_SECTIONS = 1_000
+
+
 def injected_text(spark, sf_dir) -> DataFrame:
     """Documents with OCR-like noise added by a rule on the id."""
     d = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -28,15 +32,28 @@ def normalize_text(spark, sf_dir):
 
 
 def combined_export(spark, sf_dir):
-    """Numbered sections of every conversation in turn order, a row each: nothing is gathered per conversation."""
-    return export_sections(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    """One document per conversation: numbered sections in turn order, separated by blank lines."""
+    return export_documents(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def export_documents(conversations: DataFrame) -> DataFrame:
+    """(conv_id, export). The sections of a conversation are joined ``PART_SECTIONS`` at a time in groups of their own;
+    only these parts meet in its group, which holds no more than the row it returns. NULL where no turn has a role."""
+    joined = export_sections(conversations)
+    for at, group in (("pos", ["conv_id", F.floor((F.col("pos") - 1) / PART_SECTIONS).alias("part")]), ("part", ["conv_id"])):
+        found = F.collect_list(F.when(F.col("section").isNotNull(), F.struct(at, "section")))
+        in_order = F.array_join(F.array_sort("found")["section"], "\n\n")
+        joined = (joined.groupBy(*group).agg(found.alias("found"))
+                  .withColumn("section", F.when(F.size("found") > 0, in_order)).drop("found"))
+    return joined.select("conv_id", strip_all(F.col("section")).alias("export"))
 
 
 def export_sections(conversations: DataFrame) -> DataFrame:
     """Row form of the combined export: (conv_id, pos, section). Nothing is
     collected per conversation; ``write_export`` streams it to text."""
+    order = [x for c in ("turn", "role", "text") for x in (F.col(c).isNull(), F.col(c))]  # NULL last, as in the SQL
     numbered = keyed_scan(conversations.select("conv_id", "turn", "role", "text"), ["conv_id"],
-                          [F.col("turn"), F.col("role")])  # skew-safe position, no per-key window
+                          order)  # skew-safe position, no per-key window
     return numbered.select(
         "conv_id", F.col("rn").alias("pos"),
         F.concat(F.lit("===== Turn "), F.col("rn").cast("string"), F.lit(": "), F.col("role"),
@@ -151,9 +168,11 @@ def _norm_sql(x: str) -> str:
 NORMALIZE_TEXT_SQL = f"SELECT doc_id, {_norm_sql('raw')} AS text FROM ({_INJ})"
 
 COMBINED_EXPORT_SQL = f"""
-WITH s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS pos FROM conversations)
-SELECT conv_id, pos, '===== Turn ' || CAST(pos AS VARCHAR) || ': ' || role || ' =====' || chr(10) || {_norm_sql('text')} AS section
-FROM s
+WITH s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM conversations),
+t AS (SELECT conv_id, pos, '===== Turn ' || CAST(pos AS VARCHAR) || ': ' || role || ' =====' || chr(10) || {_norm_sql('text')} AS section
+      FROM s)
+SELECT conv_id, regexp_replace(string_agg(section, chr(10) || chr(10) ORDER BY pos), '^{BLANK_CLASS}+|{BLANK_CLASS}+$', '', 'g') AS export
+FROM t GROUP BY conv_id
 """
 
 

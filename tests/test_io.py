@@ -123,6 +123,27 @@ def test_write_export_matches_combined_string(spark):
     assert "\n".join(lines) == "===== Turn 1: user =====\nAlpha\n\n===== Turn 2: assistant =====\nBeta"
 
 
+def test_combined_export_is_the_whole_document(spark, monkeypatch):
+    import duckdb
+    from tessera.plans import text as tx
+    d = tmp()
+    rows = [(1, 0, "user", "Alpha  \r\n"), (1, 1, "assistant", "Beta"), (1, 1, "assistant", "Beta"), (1, 1, "assistant", "Abc"),
+            (1, None, "user", "last"), (1, 2, None, "no role"), (1, 3, "user", None), (2, 0, "user", " \n"), (3, 0, None, "x"),
+            (None, 0, "user", "no id")] + [(4, i, None if 5 < i < 14 else "user", f"a\n\n\n\nb {i}") for i in range(20)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    conv.repartition(3).write.parquet(os.path.join(d, "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{d}/conversations.parquet/*.parquet')")
+    want = dict(con.execute(tx.COMBINED_EXPORT_SQL).fetchall())
+    assert want[1] == "\n\n".join(f"===== Turn {n}: {t}" for n, t in (
+        (1, "user =====\nAlpha"), (2, "assistant =====\nAbc"), (3, "assistant =====\nBeta"), (4, "assistant =====\nBeta"),
+        (6, "user =====\nNo text detected."), (7, "user =====\nlast")))
+    assert want[3] is None and len(want) == 5
+    for most in (1000, 3):
+        monkeypatch.setattr(tx, "PART_SECTIONS", most)
+        assert sorted(map(tuple, tx.combined_export(spark, d).collect()), key=str) == sorted(want.items(), key=str)
+
+
 def test_pnl_job_report_matches_query(spark):
     from tessera.plans import pnl
     d = tmp()
