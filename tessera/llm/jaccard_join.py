@@ -48,7 +48,7 @@ SPARE = 15
 #: Hashes of one block that are searched in one task.
 BLOCK_HASHES = 4_000_000
 #: Indexed hashes held by a task before it deals them out, and meant for one list partition.
-DEAL_HASHES, PART_HASHES = 1_500_000, 3_000_000
+DEAL_HASHES, PART_HASHES = 1_000_000, 400_000
 #: Share of T that the lists put aside may weigh.
 ASIDE = 0.8
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -164,6 +164,15 @@ def _deal(parts: int):
     return run
 
 
+def list_partitions(indexed: DataFrame, parts: int) -> DataFrame:
+    """(part, hashes, ids, sizes): the indexed hashes of (rep, n, prefix), one list partition a task.
+
+    Dealt by a hash of ``part``, some tasks would hold several list partitions at once.
+    """
+    dealt = indexed.select("rep", "n", "prefix").mapInArrow(_deal(parts), "part int, hashes binary, ids binary, sizes binary")
+    return dealt.repartitionById(parts, "part")
+
+
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, rep, n, df) of every list of two documents or more in this task's list partitions."""
     held: dict[int, list] = {}
@@ -229,8 +238,7 @@ def candidate_edges(signed: DataFrame, percent: int) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // PART_HASHES))
     # equal sets are indexed once, under their least id; a map-side aggregate meets hot copies first
     indexed = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    dealt = indexed.select("rep", "n", "prefix").mapInArrow(_deal(parts), "part int, hashes binary, ids binary, sizes binary")
-    rows = dealt.repartition(parts, "part").mapInArrow(_lists, "hash long, rep long, n long, df long")
+    rows = list_partitions(indexed, parts).mapInArrow(_lists, "hash long, rep long, n long, df long")
     skipped = F.greatest(F.lit(1), F.floor(F.floor((F.col("n") * percent + 99) / 100) * SPARE / 100))
     by_set = Window.partitionBy("rep", "n")
     rank = F.row_number().over(by_set.orderBy(F.col("df").desc()))

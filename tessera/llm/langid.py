@@ -29,9 +29,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.functions import PandasUDFType
+from pyspark.sql.functions import ArrowUDFType
 
-from .common import per_worker, slices
+from .common import SLICE_ROWS, per_worker, slices
 
 #: Labelled documents learned from at most, and at most so many of one language (if there are few).
 SAMPLE_DOCS = 1600
@@ -277,13 +277,15 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", out:
     # BUCKETS x languages numbers; plain values, since workers need not have this package
     held = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
-    def run(series):
-        import pandas as pd
-
+    def run(texts):
         score = per_worker(("language", key), lambda: Scorer(Model(*held.value)))
-        return pd.DataFrame(score(series.tolist()), columns=["lang", "score", "rejected"])
+        # a slice of the texts as Python strings at a time
+        found = [row for at in range(0, len(texts), SLICE_ROWS) for row in score(texts.slice(at, SLICE_ROWS).to_pylist())]
+        columns = zip(*found) if found else [()] * 3
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.bool_()))],
+                                          ["lang", "score", "rejected"])
 
-    return docs.withColumn(out, F.pandas_udf(run, kind, PandasUDFType.SCALAR)(F.col(text_col).cast("string")))
+    return docs.withColumn(out, F.arrow_udf(run, kind, ArrowUDFType.SCALAR)(F.col(text_col).cast("string")))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -34,9 +34,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import PandasUDFType
+from pyspark.sql.functions import ArrowUDFType
 
-from .common import materialise, per_worker, slices
+from .common import SLICE_ROWS, materialise, per_worker, slices
 
 #: Labelled documents learned from at most; a kind of label gives half of them at most.
 SAMPLE_DOCS = 6000
@@ -204,15 +204,15 @@ def evidence(docs: DataFrame, model: Model, out: str, text_col: str = "text") ->
     key = zlib.crc32(model.weights.tobytes() + repr(sorted(model.lexicon.items())).encode())
     held = docs.sparkSession.sparkContext.broadcast(values)  # LEXICON_WORDS words and a few numbers
 
-    def run(series):
-        import pandas as pd
-
+    def run(texts):
         statistics, m = per_worker(("quality", key), lambda: (Statistics(held.value[0]), Model(*held.value)))
-        x = np.array([statistics(t) for t in series]).reshape(-1, len(m.centre))
+        # a slice of the texts as Python strings at a time
+        rows = [statistics(t) for at in range(0, len(texts), SLICE_ROWS) for t in texts.slice(at, SLICE_ROWS).to_pylist()]
+        x = np.array(rows).reshape(-1, len(m.centre))
         p = 1 / (1 + np.exp(-np.clip(expand(x, m.centre, m.scale) @ m.weights, -30, 30)))
-        return pd.Series(np.clip(p, SURE, 1 - SURE))
+        return pa.array(np.clip(p, SURE, 1 - SURE))
 
-    return docs.withColumn(out, F.pandas_udf(run, "double", PandasUDFType.SCALAR)(F.col(text_col).cast("string")))
+    return docs.withColumn(out, F.arrow_udf(run, "double", ArrowUDFType.SCALAR)(F.col(text_col).cast("string")))
 
 
 def site_priors(scored: DataFrame) -> DataFrame:

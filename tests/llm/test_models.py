@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import chat, langid, quality, url_templates
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 
 def brute_chat(rows):
@@ -217,3 +219,13 @@ def test_branches_without_labels_inherit(spark):
     found = {r.path: r for r in url_templates.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
     assert found["/spam/blue"].rule is None and found["/spam/blue"].verdict == "block"
     assert found["/news/blue"].rule is None and found["/news/blue"].verdict == "allow"
+
+
+def test_texts_reach_the_models_as_arrow(spark):
+    """As pandas a worker would hold all texts of a batch as strings at once, and pandas itself."""
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
+    language = langid.Model(["de"], np.zeros((1, 1)), np.zeros(1), 0.5, 1.0, 0.5)
+    good = quality.Model({}, np.zeros(12), np.ones(12), np.zeros(12), 0.5)
+    for scored in (langid.identify(docs, language), quality.evidence(docs, good, "p")):
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan and str(ArrowUDFType.SCALAR) in plan.split("ArrowEvalPython")[1].split("\n")[0]

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, grid_join, jaccard_join
 from tessera.llm.components import components, local_labels
@@ -233,3 +234,27 @@ def test_block_pairs_return_few_edges():
         own = a @ a.T >= 0.9
         la, _, left, right = grid_join.compare(ids_a, a, ones[0], ids_a, a, ones[0], 0.9, True)
         assert (la == own.sum(1) - 1).all() and len(left) <= 2 * len(a)
+
+
+def test_a_task_holds_one_list_partition(spark):
+    rng, parts = np.random.default_rng(8), 40
+    rows = [(i, 30, jaccard_join.pack48(rng.integers(0, 2 ** 64, 30, np.uint64))) for i in range(500)]
+    indexed = spark.createDataFrame([(i, n, bytearray(p)) for i, n, p in rows], "rep long, n long, prefix binary").repartition(3)
+    dealt = jaccard_join.list_partitions(indexed, parts)
+    tasks = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("part").alias("own")).collect()
+    assert len(tasks) == parts and all(len(t.own) == 1 for t in tasks)
+    held = [jaccard_join.from_planes(bytes(r.hashes), "<i8") for r in dealt.collect()]
+    wanted = np.concatenate([jaccard_join.unpack48(p) for _, _, p in rows])
+    assert (np.sort(np.concatenate(held)) == np.sort(wanted)).all()
+
+
+def test_rows_of_the_lists_grow_with_the_input(spark):
+    """A group of k similar sets gives at most k rows a hash: five times the group, five times the rows."""
+    words = " ".join(f"w{i}" for i in range(120))
+    made = []
+    for copies in (20, 100):
+        docs = spark.createDataFrame([(i, f"{words} end{i}") for i in range(copies)], "doc_id long, text string")
+        indexed = jaccard_join.signatures(docs, 5, 75).withColumnRenamed("doc_id", "rep")
+        made.append(jaccard_join.list_partitions(indexed, 8).mapInArrow(
+            jaccard_join._lists, "hash long, rep long, n long, df long").count())
+    assert 0 < made[0] and abs(made[1] - 5 * made[0]) <= made[0] // 2
