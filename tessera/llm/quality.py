@@ -212,7 +212,10 @@ def evidence(docs: DataFrame, model: Model, out: str, text_col: str = "text") ->
         p = 1 / (1 + np.exp(-np.clip(expand(x, m.centre, m.scale) @ m.weights, -30, 30)))
         return pa.array(np.clip(p, SURE, 1 - SURE))
 
-    return docs.withColumn(out, F.arrow_udf(run, "double", ArrowUDFType.SCALAR)(F.col(text_col).cast("string")))
+    # deterministic, a filter that follows would be pushed below it in part and score each text a second time, in a second
+    # Python worker of the same task
+    score = F.arrow_udf(run, "double", ArrowUDFType.SCALAR).asNondeterministic()
+    return docs.withColumn(out, score(F.col(text_col).cast("string")))
 
 
 def site_priors(scored: DataFrame) -> DataFrame:
